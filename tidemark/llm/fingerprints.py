@@ -29,8 +29,9 @@ def once(value: Column, body) -> Column:
 
 
 def text_words(text: Column) -> Column:
-    parts = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), r"[\x20\x09-\x0D]+")
-    return F.filter(parts, lambda w: w != "")
+    """Words of a text, A-Z lower-cased, as an array."""
+    plain = F.translate(F.coalesce(text, F.lit("")), UPPER + "\t\n\x0b\x0c\r", LOWER + "     ")
+    return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
 def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
@@ -73,44 +74,51 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(a) > 0, common(a, b) / F.size(a)).otherwise(F.lit(0.0))
 
 
-def with_next(docs: DataFrame, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
-    """(doc_id, text, next_text): the text of the row that follows by descending doc_id; the last is followed by the first.
+def with_next(docs: DataFrame, value: Column, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
+    """(doc_id, text, value, next_text, next_value): the row that follows by descending doc_id; the last is followed by the first.
 
     Rows are dealt by ranges of ids, each ordered on its own. Only one row a
     range is ordered over all ranges, to find what follows a range's last
     row. Null ids come last; equal ids are ordered by their texts' hashes.
+    `value` is worked out of `text` once a row.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
     width = 1 if low is None else max(1, (int(high) - int(low) + 1) * rows_a_range // max(n, 1))
     at = F.coalesce(F.expr(f"(doc_id - ({low or 0}L)) div {width}L"), F.lit(-1).cast("long"))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    ranged = Window.partitionBy("at").orderBy(*order)
-    rows = rows.withColumn("at", at).withColumn("next_in", F.lead("text").over(ranged)).withColumn("first", F.row_number().over(ranged) == 1)
-    ids = docs.select(at.alias("at")).distinct()
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("at", at)
+
+    tops = rows.groupBy("at").agg(F.max("doc_id").alias("top"))
     down = Window.orderBy(F.col("at").desc())
-    follows = cut(ids.select("at", F.coalesce(F.lead("at").over(down), F.first("at").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("follows")))
-    heads = rows.where("first").select(F.col("at").alias("follows"), F.col("text").alias("head")).join(follows, "follows").select("at", "head")
-    last = rows.where(F.col("next_in").isNull()).drop("next_in").join(heads, "at")
-    inner = rows.where(F.col("next_in").isNotNull())
-    return inner.select("doc_id", "text", F.col("next_in").alias("next_text")).unionByName(last.select("doc_id", "text", F.col("head").alias("next_text")))
+    follows = cut(tops.select("at", "top", F.coalesce(F.lead("at").over(down), F.first("at").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("follows")))
+    top = follows.select(F.col("at").alias("top_at"), "top")
+    firsts = rows.join(top, (F.col("at") == F.col("top_at")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("at").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("head"))
+    heads = firsts.select(F.col("at").alias("follows"), F.col("head.text").alias("text")).join(follows, "follows").select("at", F.col("text").alias("head_text"), value.alias("head_value"))
+
+    ranged = Window.partitionBy("at").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text"))
+    rows = rows.withColumn("value", value).withColumn("after_text", F.lead("text").over(ranged)).withColumn("after_value", F.lead("value").over(ranged))
+    return rows.join(heads, "at", "left").select(
+        "doc_id",
+        "text",
+        "value",
+        F.coalesce(F.col("after_text"), F.col("head_text")).alias("next_text"),
+        F.coalesce(F.col("after_value"), F.col("head_value")).alias("next_value"),
+    )
 
 
 def compared(docs: DataFrame, shingle: int = SHINGLE, scale: int = SCALE) -> DataFrame:
     """Every document against its edited text (its second half replaced from the next document) and the next document."""
-    n = F.length("text")
     half = F.expr("length(text) div 2")
-    edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half))
-    pairs = with_next(docs).select("doc_id", "text", "next_text", n.cast("long").alias("n_chars"), edited.alias("edited"))
+    edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr("next_text", F.lit(1), half))
+    pairs = with_next(docs, sketch(F.col("text"), shingle, scale)).withColumn("edited", edited)
     shaped = pairs.select(
         "doc_id",
-        "n_chars",
+        F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         (F.col("edited") == F.col("text")).alias("same_edited"),
         (F.col("next_text") == F.col("text")).alias("same_next"),
-        sketch(F.col("text"), shingle, scale).alias("own"),
+        F.col("value").alias("own"),
         sketch(F.col("edited"), shingle, scale).alias("changed"),
-        sketch(F.col("next_text"), shingle, scale).alias("next"),
+        F.col("next_value").alias("next"),
     )
 
     def like(other: str, same: str) -> Column:
