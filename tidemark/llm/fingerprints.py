@@ -20,6 +20,7 @@ from tidemark.sources.tables import table
 SHINGLE = 5
 SCALE = 8
 ROWS_A_RANGE = 1024
+MOST_BROADCAST = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -91,6 +92,8 @@ def with_next(docs: DataFrame, value: Column, rows_a_range: int = ROWS_A_RANGE)
     down = Window.orderBy(F.col("at").desc())
     follows = cut(tops.select("at", "top", F.coalesce(F.lead("at").over(down), F.first("at").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("follows")))
     top = follows.select(F.col("at").alias("top_at"), "top")
+    if n // rows_a_range < MOST_BROADCAST:  # two numbers a range; beyond, a shuffled join
+        top = F.broadcast(top)
     firsts = rows.join(top, (F.col("at") == F.col("top_at")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("at").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("head"))
     heads = firsts.select(F.col("at").alias("follows"), F.col("head.text").alias("text")).join(follows, "follows").select("at", F.col("text").alias("head_text"), value.alias("head_value"))
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from tidemark.llm import fingerprints, mixing
+from tidemark.llm import fingerprints, language_id, license_scan, mixing, packing, token_counts, url_filters
 
 QUERIES = {
+    "op1_language_id": language_id.op1_language_id,
+    "op3_url_filters": url_filters.op3_url_filters,
     "op4_mixing": mixing.op4_mixing,
+    "op5_token_counts": token_counts.op5_token_counts,
+    "op6_license_scans": license_scan.op6_license_scans,
+    "op8_packing": packing.op8_packing,
     "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 
