@@ -11,9 +11,9 @@ mixed probability and the partial byte refines the result.
   which are summed slot by slot in a stream.
 - Weights and the refining table are learned online on a bounded sample
   (`SAMPLE` windows of `SAMPLE_BYTES`), each event's own count left out.
-- For scoring the model is fixed, so a byte's probability depends only on it
-  and the five bytes before it: a slice of texts is sorted by these six bytes
-  and every distinct combination is worked out once.
+- For scoring the model is fixed, so a byte's probability depends only on it,
+  the five bytes before it and the word so far: a slice of texts is sorted by
+  a hash of these, and every distinct combination is worked out once.
 
 The word-frequency base score needs each token's count in the whole corpus.
 Texts are dealt into chunks of documents; each chunk asks for its own distinct
@@ -41,14 +41,15 @@ from tidemark.sources.tables import table
 
 CHUNK_ROWS = 4096
 CHUNKS_A_TASK = 4
-SLICE = 8 << 20
+SLICE = 4 << 20
 END = 0xFF  # no byte of UTF-8
 PAD = 6
 CONTEXTS = 6  # the last 1..5 bytes, and the word so far
-TABLE_BITS = 20
-PIECE = 1 << 16
-SAMPLE, SAMPLE_BYTES = 256, 384  # the bound on what weights are learned from
-LEVELS, BUCKETS = CONTEXTS + 1, 33
+TABLE_BITS = (16, 18, 20, 21, 22, 23)  # slots of each context's table
+PIECE = 1 << 17
+SAMPLE, SAMPLE_BYTES = 256, 768
+RATE = 0.02  # the bound on what weights are learned from
+GATES, BUCKETS = 16, 33
 U = np.uint64
 _HASH = _text.mix(np.arange(CONTEXTS, dtype=np.uint64) + U(77)) | U(1)
 
@@ -94,18 +95,37 @@ def sixes(stream: np.ndarray) -> np.ndarray:
     return out
 
 
-def context_hashes(keys: np.ndarray) -> list[np.ndarray]:
+def prefixes(stream: np.ndarray) -> np.ndarray:
+    """At each place a hash of the word so far: what stands since the last space or end, without the byte itself."""
+    n = len(stream)
+    up, down = _text._power(n + 1)
+    total = np.empty(n + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(_text._CODE[stream] * up[:n], out=total[1:])
+    at = np.arange(n)
+    cut = (stream == 0x20) | (stream == END)
+    since = np.zeros(n, np.int64)
+    since[1:] = np.where(cut[:-1], at[1:], 0)
+    np.maximum.accumulate(since, out=since)
+    return (total[:n] - total[since]) * down[since]
+
+
+def combinations(stream: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct events at the masked places: their sixes, their prefixes, how often each, and the places in the events' order."""
+    six, prefix = sixes(stream)[mask], prefixes(stream)[mask]
+    joint = _text.mix(six * _text._SALT[40] + prefix * _text._SALT[41])
+    order = np.argsort(joint)
+    joint = joint[order]
+    first = np.flatnonzero(np.concatenate([[True], joint[1:] != joint[:-1]])) if len(joint) else np.zeros(0, np.int64)
+    times = np.diff(np.concatenate([first, [len(joint)]]))
+    return six[order[first]], prefix[order[first]], times, order
+
+
+def context_hashes(keys: np.ndarray, prefix: np.ndarray) -> list[np.ndarray]:
     """For each context the 64-bit hash of what stands before the byte."""
     before = keys >> U(8)
     out = [_text.mix((before & U((1 << (8 * n)) - 1)) * _HASH[n - 1]) for n in range(1, 6)]
-    # the word so far: the bytes after the last space or end among the five
-    gap = np.zeros(len(keys), bool)
-    word = np.zeros(len(keys), np.uint64)
-    for j in range(5):
-        b = (before >> U(8 * j)) & U(0xFF)
-        gap |= (b == U(0x20)) | (b == U(END))
-        word |= np.where(gap, U(0), b) << U(8 * j)
-    out.append(_text.mix((word | (gap.astype(np.uint64) << U(40))) * _HASH[5]))
+    out.append(_text.mix(prefix * _HASH[5]))
     return out
 
 
@@ -118,31 +138,47 @@ def nodes(symbol: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
     return (U(1) << U(bit)) | (symbol >> U(8 - bit)), ((symbol >> U(7 - bit)) & U(1)).astype(np.int64)
 
 
+def squeezed(part: np.ndarray) -> bytes:
+    """Counts as compressed bytes, those of 255 and over listed behind."""
+    over = np.flatnonzero(part >= 255)
+    return zlib.compress(np.minimum(part, 255).astype(np.uint8).tobytes() + over.astype(np.uint32).tobytes() + part[over].astype(np.uint32).tobytes() + np.uint32(len(part)).tobytes(), 1)
+
+
+def unsqueezed(body: bytes) -> np.ndarray:
+    plain = zlib.decompress(body)
+    n = int(np.frombuffer(plain[-4:], np.uint32)[0])
+    out = np.frombuffer(plain, np.uint8, n).astype(np.uint32)
+    rest = np.frombuffer(plain[n:-4], np.uint32)
+    out[rest[: len(rest) // 2]] = rest[len(rest) // 2 :]
+    return out
+
+
+def table_starts(bits: tuple[int, ...]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(1 << np.array(bits))])
+
+
 class Counts:
     """n0 and n1 of all contexts' slots."""
 
-    def __init__(self, bits: int):
-        self.bits = bits
-        self.n = np.zeros((CONTEXTS, 1 << bits, 2), np.uint32)
+    def __init__(self, bits: tuple[int, ...]):
+        self.bits, self.starts = bits, table_starts(bits)
+        self.n = np.zeros((int(self.starts[-1]), 2), np.uint32)
 
-    def add(self, keys: np.ndarray, times: np.ndarray) -> None:
+    def add(self, keys: np.ndarray, prefix: np.ndarray, times: np.ndarray) -> None:
         symbol = keys & U(0xFF)
-        contexts = context_hashes(keys)
-        for bit in range(8):
-            node, one = nodes(symbol, bit)
-            for c, h in enumerate(contexts):
-                got = np.bincount(slots(h, node, self.bits) * 2 + one, times, 2 << self.bits) if len(keys) > 1 << 16 else None
-                if got is not None:
-                    self.n[c].reshape(-1)[:] += got.astype(np.uint32)
-                else:
-                    np.add.at(self.n[c].reshape(-1), slots(h, node, self.bits) * 2 + one, times.astype(np.uint32))
+        contexts = context_hashes(keys, prefix)
+        flat = self.n.reshape(-1)
+        for c, h in enumerate(contexts):
+            for bit in range(8):
+                node, one = nodes(symbol, bit)
+                np.add.at(flat, (slots(h, node, self.bits[c]) + self.starts[c]) * 2 + one, times.astype(np.uint32))
 
     def pieces(self) -> Iterator[tuple[int, bytes]]:
         flat = self.n.reshape(-1)
         for i in range(0, len(flat), PIECE):
             part = flat[i : i + PIECE]
             if part.any():
-                yield i // PIECE, zlib.compress(part.tobytes(), 1)
+                yield i // PIECE, squeezed(part)
 
 
 def distinct(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +198,7 @@ def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
 GATHERED = "chunk long, key long, n long, piece int, body binary, docs long"
 
 
-def gathered(bits: int):
+def gathered(bits: tuple[int, ...]):
     """Rows (chunk, text, training), ordered by chunk -> each chunk's distinct words with their training counts, and the task's tables."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,10 +236,9 @@ def gathered(bits: int):
                     waiting += [(hashes[taught], True), (np.unique(hashes[~taught]), False)]
                     stream, lengths, scored = normal_form(part, own)
                     scored &= np.repeat(np.concatenate([[False], training[a:b]]), np.concatenate([[PAD], np.diff(own) * 0 + _spans(lengths, stream, scored)]))
-                    keys, times = distinct(np.sort(sixes(stream)[scored]))
                     if counts is None:
                         counts = Counts(bits)
-                    counts.add(keys, times)
+                    counts.add(*combinations(stream, scored)[:3])
                     if sum(len(w) for w, _ in waiting) > 4_000_000:
                         yield flush(last)
         if last is not None:
@@ -232,12 +267,12 @@ def summed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (piece, body), ordered by piece -> one summed body a piece; one piece is held at a time."""
 
     def out(piece: int, total: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([zlib.compress(total.astype(np.uint32).tobytes(), 1)], pa.binary())], ["piece", "body"])
+        return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([squeezed(total.astype(np.uint32))], pa.binary())], ["piece", "body"])
 
     last, total = None, None
     for batch in rows:
         for piece, body in zip(batch.column("piece").to_pylist(), batch.column("body").to_pylist(), strict=True):
-            part = np.frombuffer(zlib.decompress(body), np.uint32).astype(np.uint64)
+            part = unsqueezed(body).astype(np.uint64)
             if piece != last:
                 if last is not None:
                     yield out(last, np.minimum(total, U(0xFFFFFFFF)))
@@ -256,78 +291,85 @@ class Mixer:
     """Gated weights and the refining table."""
 
     def __init__(self):
-        self.weights = np.full((LEVELS, 8, CONTEXTS + 1), 0.3, np.float32)
+        self.weights = np.full((GATES, 8, CONTEXTS + 1), 0.3, np.float32)
         self.weights[..., -1] = 0
         centre = 1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2) / 2.0))
         self.refined = np.tile(centre.astype(np.float32), (256, 1))
 
-    def learn(self, counts: np.ndarray, bits: int, stream: np.ndarray) -> None:
+    def learn(self, counts: np.ndarray, bits: tuple[int, ...], stream: np.ndarray) -> None:
         """One online pass over (lanes, bytes): all lanes are one step, each event's own count left out."""
         lanes, n = stream.shape
+        table = table_starts(bits)
         flat = np.concatenate([np.full((lanes, PAD), END, np.uint8), stream], 1)
         keys = sixes(flat.reshape(-1)).reshape(lanes, -1)[:, PAD:]
+        words = prefixes(flat.reshape(-1)).reshape(lanes, -1)[:, PAD:]
         for t in range(n):
             k = keys[:, t]
             live = stream[:, t] != 0
             if not live.any():
                 break
             k = k[live]
-            symbol, contexts = k & U(0xFF), context_hashes(k)
+            symbol, contexts = k & U(0xFF), context_hashes(k, words[:, t][live])
             for bit in range(8):
                 node, one = nodes(symbol, bit)
-                s, known = [], np.zeros(len(k), np.int64)
+                s = []
                 for c, h in enumerate(contexts):
-                    pair = counts[c][slots(h, node, bits)].astype(np.float64)
+                    pair = counts[slots(h, node, bits[c]) + table[c]].astype(np.float64)
                     pair[np.arange(len(k)), one] = np.maximum(pair[np.arange(len(k)), one] - 1, 0)
                     s.append(stretched(pair[:, 0], pair[:, 1]))
-                    known += pair.sum(1) > 0
                 x = np.stack([*s, np.ones(len(k), np.float32)], 1)
+                known = gate(s[4], s[5])
                 w = self.weights[known, bit]
                 z = np.clip((w * x).sum(1), -12, 12)
                 p = 1 / (1 + np.exp(-z))
                 err = (one - p).astype(np.float32)
-                np.add.at(self.weights, (known, bit), 0.02 / math.sqrt(1 + t / 32) * err[:, None] * np.clip(x, -8, 8) / math.sqrt(max(1, len(k) / 8)))
+                np.add.at(self.weights, (known, bit), RATE / math.sqrt(1 + t / 64) * err[:, None] * np.clip(x, -8, 8) / math.sqrt(max(1, len(k) / 8)))
                 at = bucket(z)
                 np.add.at(self.refined, (node.astype(np.int64), at), 0.02 * (one - self.refined[node.astype(np.int64), at]) / math.sqrt(max(1, len(k) / 8)))
                 np.clip(self.refined, 0.0005, 0.9995, out=self.refined)
 
 
+def sure(s: np.ndarray) -> np.ndarray:
+    a = np.abs(s)
+    return (a > 0.3).astype(np.int64) + (a > 1.5) + (a > 3.5)
+
+
+def gate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which set of weights: how sure the longest context and the word so far are."""
+    return sure(a) * 4 + sure(b)
+
+
 def bucket(z: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(z * 2), -(BUCKETS // 2), BUCKETS // 2).astype(np.int64) + BUCKETS // 2
 
 
-def log2_probability(keys: np.ndarray, model: dict) -> np.ndarray:
-    """log2 of the probability of each key's byte after the five before it."""
-    symbol, contexts = keys & U(0xFF), context_hashes(keys)
-    total = np.zeros(len(keys))
+def log2_probability(keys: np.ndarray, prefix: np.ndarray, model: dict) -> np.ndarray:
+    """log2 of the probability of each key's byte after what stands before it."""
+    symbol, contexts = keys & U(0xFF), context_hashes(keys, prefix)
+    starts, total = table_starts(model["bits"]), np.zeros(len(keys))
     for bit in range(8):
         node, one = nodes(symbol, bit)
-        xs, known = [], np.zeros(len(keys), np.int64)
-        for c, h in enumerate(contexts):
-            got = model["stretch"][c][slots(h, node, model["bits"])]
-            here = got != UNSEEN
-            known += here
-            xs.append(np.where(here, got, np.int8(0)))
-        w = model["weights"][known, bit]
-        z = w[:, -1].copy()
+        xs = [model["stretch"][slots(h, node, model["bits"][c]) + starts[c]] * np.float32(1 / STEPS) for c, h in enumerate(contexts)]
+        chosen = gate(xs[4], xs[5])
+        w = model["weights"][:, bit]
+        z = w[chosen, -1]
         for c, x in enumerate(xs):
-            z += w[:, c] * (x * np.float32(1 / STEPS))
+            z += w[chosen, c] * x
         z = np.clip(z, -12, 12)
         p = 0.5 / (1 + np.exp(-z)) + 0.5 * model["refined"][node.astype(np.int64), bucket(z)]
         total += np.log2(np.where(one == 1, p, 1 - p))
     return total
 
 
-STEPS, UNSEEN = 8, np.int8(-128)
+STEPS = 8
 
 
-def packed_model(counts: np.ndarray, bits: int, mixer: Mixer) -> dict:
+def packed_model(counts: np.ndarray, bits: tuple[int, ...], mixer: Mixer) -> dict:
     """What scoring needs: a byte a slot, the weights and the refining table: of fixed size."""
-    n0, n1 = counts[..., 0], counts[..., 1]
-    stretch = np.empty(n0.shape, np.int8)
-    for c in range(CONTEXTS):
-        s = np.clip(np.rint(stretched(n0[c].astype(np.float64), n1[c].astype(np.float64)) * STEPS), -127, 127).astype(np.int8)
-        stretch[c] = np.where((n0[c] == 0) & (n1[c] == 0), UNSEEN, s)
+    stretch = np.empty(len(counts), np.int8)
+    for i in range(0, len(counts), 1 << 20):
+        part = counts[i : i + (1 << 20)].astype(np.float64)
+        stretch[i : i + (1 << 20)] = np.clip(np.rint(stretched(part[:, 0], part[:, 1]) * STEPS), -127, 127)
     return {"bits": bits, "stretch": stretch, "weights": mixer.weights, "refined": mixer.refined.astype(np.float64)}
 
 
@@ -378,32 +420,30 @@ def scored(model, total: int, vocabulary: int, ends: int):
                 if look is None:
                     look = Lookup(np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(values or [np.zeros(0, np.int64)]))
                 for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
-                    for a, b in ((x, min(x + 65_000, b)) for x in range(a, b, 65_000)):
-                        a, b = a + lo, b + lo
-                        part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                        starts, ends_, bounds = _text.words(part, own)
-                        c = look(_text.word_hashes(part, starts, ends_))
-                        owner = np.repeat(np.arange(b - a), np.diff(bounds))
-                        base = np.bincount(owner, np.log10(c + 0.5), b - a) + math.log10(ends + 0.5) - (np.diff(bounds) + 1) * scale
-                        known = np.bincount(owner, c > 0, b - a) + (ends > 0)
-                        stream, lengths, mask = normal_form(part, own)
-                        doc = np.repeat(np.arange(b - a, dtype=np.uint64), lengths + 1)
-                        both = np.sort((sixes(stream)[mask] << U(16)) | doc)
-                        k, n = distinct(both >> U(16))
-                        bits = np.bincount((both & U(0xFFFF)).astype(np.int64), np.repeat(log2_probability(k, m), n), b - a)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                batch.column("doc_id").slice(a, b - a),
-                                batch.column("held_out").slice(a, b - a),
-                                pa.array(np.diff(bounds) + 1),
-                                pa.array(known.astype(np.int64)),
-                                pa.array(np.full(b - a, total)),
-                                pa.array(base),
-                                pa.array(bits * math.log10(2)),
-                                pa.array(lengths.astype(np.int64)),
-                            ],
-                            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"],
-                        )
+                    a, b = a + lo, b + lo
+                    part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                    starts, ends_, bounds = _text.words(part, own)
+                    c = look(_text.word_hashes(part, starts, ends_))
+                    owner = np.repeat(np.arange(b - a), np.diff(bounds))
+                    base = np.bincount(owner, np.log10(c + 0.5), b - a) + math.log10(ends + 0.5) - (np.diff(bounds) + 1) * scale
+                    known = np.bincount(owner, c > 0, b - a) + (ends > 0)
+                    stream, lengths, mask = normal_form(part, own)
+                    keys_, prefix, times, order = combinations(stream, mask)
+                    doc = np.repeat(np.arange(b - a), lengths + 1)[order]
+                    bits = np.bincount(doc, np.repeat(log2_probability(keys_, prefix, m), times), b - a)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("doc_id").slice(a, b - a),
+                            batch.column("held_out").slice(a, b - a),
+                            pa.array(np.diff(bounds) + 1),
+                            pa.array(known.astype(np.int64)),
+                            pa.array(np.full(b - a, total)),
+                            pa.array(base),
+                            pa.array(bits * math.log10(2)),
+                            pa.array(lengths.astype(np.int64)),
+                        ],
+                        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"],
+                    )
 
     return run
 
@@ -421,7 +461,7 @@ def sample_windows(docs: DataFrame, rows: int, length: int) -> np.ndarray:
     return out
 
 
-def score(docs: DataFrame, held_out: Column, bits: int = TABLE_BITS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = TABLE_BITS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Base and model scores of every row of (doc_id, text), learned from those where `held_out` is false."""
     spark = docs.sparkSession
     chunks = max(1, -(-docs.count() // chunk_rows))
@@ -435,12 +475,12 @@ def score(docs: DataFrame, held_out: Column, bits: int = TABLE_BITS, chunk_rows:
     )
     raw = written(rows.select("chunk", "text", "training").repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(gathered(bits), GATHERED), "lm-gathered")
 
-    size = CONTEXTS * (2 << bits)
+    size = 2 * int(table_starts(bits)[-1])
     counts = np.zeros(size, np.uint32)
-    pieces = raw.where("piece is not null").select("piece", "body").repartition(max(1, min(tasks, size // PIECE)), "piece").sortWithinPartitions("piece").mapInArrow(summed, "piece int, body binary")
-    for r in pieces.toLocalIterator():  # size // PIECE rows in all
-        counts[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = np.frombuffer(zlib.decompress(r["body"]), np.uint32)
-    counts = counts.reshape(CONTEXTS, 1 << bits, 2)
+    pieces = raw.where("piece is not null").select("piece", "body").repartition(max(1, min(tasks, -(-size // PIECE))), "piece").sortWithinPartitions("piece").mapInArrow(summed, "piece int, body binary")
+    for r in pieces.toLocalIterator():  # a row for each PIECE counts of the tables
+        counts[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = unsqueezed(r["body"])
+    counts = counts.reshape(-1, 2)
     mixer = Mixer()
     mixer.learn(counts, bits, sample_windows(rows, SAMPLE, SAMPLE_BYTES))
     model = spark.sparkContext.broadcast(packed_model(counts, bits, mixer))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import fingerprints, language_id, license_scan, mixing, packing, token_counts, url_filters
+from tidemark.llm import fingerprints, language_id, license_scan, lm_scoring, mixing, packing, token_counts, url_filters
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_license_scans": license_scan.op6_license_scans,
+    "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_packing": packing.op8_packing,
     "op10_fingerprints": fingerprints.op10_fingerprints,
 }
