@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import fingerprints, language_id, license_scan, lm_scoring, mixing, packing, token_counts, url_filters
+from tidemark.llm import exact_topk, fingerprints, language_id, license_scan, lm_scoring, mixing, packing, token_counts, url_filters
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
@@ -12,9 +12,11 @@ QUERIES = {
     "op6_license_scans": license_scan.op6_license_scans,
     "op7_lm_scoring": lm_scoring.op7_lm_scoring,
     "op8_packing": packing.op8_packing,
+    "op9_exact_topk": exact_topk.op9_exact_topk,
     "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 
 ORACLE = {
     "op4_mixing": mixing.OP4_SQL,
+    "op9_exact_topk": exact_topk.OP9_SQL,
 }
