@@ -128,7 +128,7 @@ def shingle_hashes(words_: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.n
         keep[at[ok]] = False
     for r in short:
         a, b = bounds[r], bounds[r + 1]
-        sums[a] = (words_[a:b] * _SALT[: b - a]).sum(dtype=np.uint64) + _SALT[32 + (b - a)]
+        sums[a] = np.append(words_[a:b] * _SALT[: b - a], _SALT[32 + (b - a)]).sum(dtype=np.uint64)
         keep[a] = True
         keep[a + 1 : b] = False
     return mix(sums[keep]), np.concatenate([[0], np.cumsum(lengths)])

@@ -27,7 +27,6 @@ scored each. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import _text
-from tidemark.plans.scratch import dropped, written
+from tidemark.llm import _tables, _text
+from tidemark.plans.scratch import written
 from tidemark.sources.tables import table
 
 CHUNK_ROWS = 4096
@@ -46,7 +45,6 @@ END = 0xFF  # no byte of UTF-8
 PAD = 6
 CONTEXTS = 6  # the last 1..5 bytes, and the word so far
 TABLE_BITS = (16, 18, 20, 21, 22, 23)  # slots of each context's table
-PIECE = 1 << 17
 SAMPLE, SAMPLE_BYTES = 256, 768
 RATE = 0.02  # the bound on what weights are learned from
 GATES, BUCKETS = 16, 33
@@ -138,21 +136,6 @@ def nodes(symbol: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
     return (U(1) << U(bit)) | (symbol >> U(8 - bit)), ((symbol >> U(7 - bit)) & U(1)).astype(np.int64)
 
 
-def squeezed(part: np.ndarray) -> bytes:
-    """Counts as compressed bytes, those of 255 and over listed behind."""
-    over = np.flatnonzero(part >= 255)
-    return zlib.compress(np.minimum(part, 255).astype(np.uint8).tobytes() + over.astype(np.uint32).tobytes() + part[over].astype(np.uint32).tobytes() + np.uint32(len(part)).tobytes(), 1)
-
-
-def unsqueezed(body: bytes) -> np.ndarray:
-    plain = zlib.decompress(body)
-    n = int(np.frombuffer(plain[-4:], np.uint32)[0])
-    out = np.frombuffer(plain, np.uint8, n).astype(np.uint32)
-    rest = np.frombuffer(plain[n:-4], np.uint32)
-    out[rest[: len(rest) // 2]] = rest[len(rest) // 2 :]
-    return out
-
-
 def table_starts(bits: tuple[int, ...]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(1 << np.array(bits))])
 
@@ -173,13 +156,6 @@ class Counts:
                 node, one = nodes(symbol, bit)
                 np.add.at(flat, (slots(h, node, self.bits[c]) + self.starts[c]) * 2 + one, times.astype(np.uint32))
 
-    def pieces(self) -> Iterator[tuple[int, bytes]]:
-        flat = self.n.reshape(-1)
-        for i in range(0, len(flat), PIECE):
-            part = flat[i : i + PIECE]
-            if part.any():
-                yield i // PIECE, squeezed(part)
-
 
 def distinct(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(sorted_):
@@ -244,7 +220,7 @@ def gathered(bits: tuple[int, ...]):
         if last is not None:
             yield flush(last)
         if counts is not None:
-            for piece, body in counts.pieces():
+            for piece, body in _tables.pieces(counts.n.reshape(-1)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([piece], pa.int32()), pa.array([body], pa.binary()), pa.nulls(1, pa.int64())],
                     ["chunk", "key", "n", "piece", "body", "docs"],
@@ -263,26 +239,6 @@ def _spans(lengths: np.ndarray, stream: np.ndarray, scored: np.ndarray) -> np.nd
     return np.diff(np.concatenate([first, [len(stream)]]))
 
 
-def summed(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (piece, body), ordered by piece -> one summed body a piece; one piece is held at a time."""
-
-    def out(piece: int, total: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([piece], pa.int32()), pa.array([squeezed(total.astype(np.uint32))], pa.binary())], ["piece", "body"])
-
-    last, total = None, None
-    for batch in rows:
-        for piece, body in zip(batch.column("piece").to_pylist(), batch.column("body").to_pylist(), strict=True):
-            part = unsqueezed(body).astype(np.uint64)
-            if piece != last:
-                if last is not None:
-                    yield out(last, np.minimum(total, U(0xFFFFFFFF)))
-                last, total = piece, part.copy()
-            else:
-                total += part
-    if last is not None:
-        yield out(last, np.minimum(total, U(0xFFFFFFFF)))
-
-
 def stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return np.log((n1 + 0.25) / (n0 + 0.25)).astype(np.float32)
 
@@ -475,12 +431,7 @@ def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = TABLE_BITS,
     )
     raw = written(rows.select("chunk", "text", "training").repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(gathered(bits), GATHERED), "lm-gathered")
 
-    size = 2 * int(table_starts(bits)[-1])
-    counts = np.zeros(size, np.uint32)
-    pieces = raw.where("piece is not null").select("piece", "body").repartition(max(1, min(tasks, -(-size // PIECE))), "piece").sortWithinPartitions("piece").mapInArrow(summed, "piece int, body binary")
-    for r in pieces.toLocalIterator():  # a row for each PIECE counts of the tables
-        counts[r["piece"] * PIECE : (r["piece"] + 1) * PIECE] = unsqueezed(r["body"])
-    counts = counts.reshape(-1, 2)
+    counts = _tables.total_table(raw.where("piece is not null"), 2 * int(table_starts(bits)[-1]), tasks).reshape(-1, 2)
     mixer = Mixer()
     mixer.learn(counts, bits, sample_windows(rows, SAMPLE, SAMPLE_BYTES))
     model = spark.sparkContext.broadcast(packed_model(counts, bits, mixer))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import exact_topk, fingerprints, language_id, license_scan, lm_scoring, mixing, packing, token_counts, url_filters
+from tidemark.llm import exact_topk, fingerprints, language_id, license_scan, lm_scoring, mixing, ngram_join, packing, token_counts, url_filters
 
 QUERIES = {
     "op1_language_id": language_id.op1_language_id,
+    "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_url_filters": url_filters.op3_url_filters,
     "op4_mixing": mixing.op4_mixing,
     "op5_token_counts": token_counts.op5_token_counts,

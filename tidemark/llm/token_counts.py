@@ -21,12 +21,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm._text import raw
+from tidemark.llm._text import raw, slices
 from tidemark.sources.tables import table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
-MOST_KNOWN = 500_000
+MOST_KNOWN = 150_000
+SLICE_BYTES = 500_000
 SIMPLE = "ɐ"  # below it, this module's own splitting is the library's
 
 
@@ -41,7 +42,9 @@ class PieceCounter:
 
     def __init__(self, path: str):
         import json
+        import os
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share a machine's cores already, and threads would each hold memory
         import regex
         from tokenizers import Tokenizer
 
@@ -104,14 +107,10 @@ def counted(path: str, limit: int):
         if counter is None:
             counter = _counters[path] = PieceCounter(path)
         for batch in rows:
-            texts = batch.column("text").to_pylist()
             _, offsets = raw(batch.column("text"))
-            tokens, at, held = [], 0, 0
-            for i, t in enumerate(texts):
-                held += len(t or "")
-                if held > 2_000_000 or i == len(texts) - 1:
-                    tokens += counter.count([x or "" for x in texts[at : i + 1]])
-                    at, held = i + 1, 0
+            tokens = []
+            for a, b in slices(offsets, SLICE_BYTES):
+                tokens += counter.count([x or "" for x in batch.column("text").slice(a, b - a).to_pylist()])
             n = pa.array(tokens, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(offsets[1:] - offsets[:-1], pa.int64()), n, pa.array([x > limit for x in tokens], pa.bool_())],
