@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm._text import raw
 from tidemark.sources.tables import table
@@ -152,8 +153,8 @@ def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return flat.reshape(-1, WINDOW), rows, held
 
 
-def predicted(model: dict):
-    """Rows (doc_id, text, spoken) -> (doc_id, lang_pred, score)."""
+def predicted(model: dict, found: tuple[str, str]):
+    """Rows with _plain (the lower-cased text) and _spoken -> the same without these two, and the language and score in the last columns."""
     names = np.array([*model["classes"], UNKNOWN], dtype=object)
     shape = ByteNetwork(model["classes"])
     shape.embed, shape.filters, shape.bias, shape.out, shape.out_bias = (model[k] for k in ("embed", "filters", "bias", "out", "out_bias"))
@@ -162,8 +163,8 @@ def predicted(model: dict):
         tables = shape.tables()
         k = len(model["classes"])
         for batch in rows:
-            data, offsets = raw(batch.column("text"))
-            spoken = np.asarray(batch.column("spoken").fill_null(False))
+            data, offsets = raw(batch.column("_plain"))
+            spoken = np.asarray(batch.column("_spoken").fill_null(False))
             total = np.zeros((len(batch), k))
             step = STEP_BYTES // WINDOW
             at = 0
@@ -180,8 +181,8 @@ def predicted(model: dict):
             ok = spoken & (np.diff(offsets) > 0) & (k > 0)
             score = np.where(ok, mean[np.arange(len(batch)), best] if k else 0.0, 0.0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(names[np.where(ok, best, k)], pa.string()), pa.array(np.clip(score, 0.0, 1.0), pa.float64())],
-                ["doc_id", "lang_pred", "score"],
+                [*batch.columns[:-2], pa.array(names[np.where(ok, best, k)], pa.string()), pa.array(np.clip(score, 0.0, 1.0), pa.float64())],
+                [*batch.schema.names[:-2], *found],
             )
 
     return run
@@ -203,13 +204,14 @@ def fitted(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
     return {"classes": classes, "embed": net.embed, "filters": net.filters, "bias": net.bias, "out": net.out, "out_bias": net.out_bias}
 
 
-def identify(docs: DataFrame, model: dict) -> DataFrame:
-    """doc_id, lang_pred, score for every row of (doc_id, text)."""
-    shaped = docs.select("doc_id", F.lower("text").alias("text"), F.rlike("text", F.lit(r"\p{L}")).alias("spoken"))
-    return shaped.mapInArrow(predicted(model), "doc_id long, lang_pred string, score double")
+def identify(docs: DataFrame, model: dict, found: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of docs, of which `text` is read, and the language and its score under the names in `found`."""
+    shaped = docs.withColumns({"_plain": F.lower("text"), "_spoken": F.rlike("text", F.lit(r"\p{L}"))})
+    schema = StructType([*docs.schema.fields, StructField(found[0], StringType()), StructField(found[1], DoubleType())])
+    return shaped.mapInArrow(predicted(model, found), schema)
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").selectExpr("cast(doc_id as bigint) as doc_id", "text", "lang")
-    found = identify(docs, fitted(docs))
+    found = identify(docs.select("doc_id", "text"), fitted(docs))
     return found.select("doc_id", (F.coalesce(remainder(F.col("doc_id"), 3), F.lit(0)) == 1).alias("held_out"), "lang_pred", "score")

@@ -18,12 +18,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm._text import WORD
-from tidemark.plans.scratch import written
+from tidemark.plans.scratch import cut, written
 from tidemark.sources.tables import table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2
+MOST_BROADCAST = 1_000_000
 
 
 def word_count(text: Column) -> Column:
@@ -113,7 +114,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
     appears in as many epochs as that id's first place gives.
     """
     taken = mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), weights, share, cap)
-    times = taken.where("epochs > 0").groupBy("doc_id").agg(F.max("epochs").alias("_epochs"))
+    times = cut(taken.where("epochs > 0").groupBy("doc_id").agg(F.max("epochs").alias("_epochs")))
+    if times.count() <= MOST_BROADCAST:  # two numbers a document; beyond, a shuffled join
+        times = F.broadcast(times)
     return (
         docs.join(times, docs["doc_id"].eqNullSafe(times["doc_id"]))
         .select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_epochs"))).alias("_epoch"))

@@ -301,5 +301,22 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.cast("long").alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, t: Threshold) -> DataFrame:
+    """The rows of docs, all columns, but one document of each component: that of the smallest id, and one row of that.
+
+    Rows with a null id and documents without words stay.
+    """
+    found = cut(similarity_components(docs, t))
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = cut(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    gone = cut(gone)
+    if gone.count() <= MOST_BROADCAST:  # one number a document; beyond, a shuffled join
+        gone = F.broadcast(gone)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if repeated.isEmpty():
+        return kept
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+
+
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
     return similarity_components(table(spark, sf_dir, "documents"), Threshold(3, 90, 100))
