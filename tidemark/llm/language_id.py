@@ -34,7 +34,8 @@ WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBEDDING = 8
-EPOCHS = 6
+STEPS = 600
+BATCH = 64
 UNKNOWN = "und"
 STEP_BYTES = 1 << 18
 
@@ -64,14 +65,14 @@ class ByteNetwork:
         self.out = r.normal(0, 0.1, (FILTERS * len(WIDTHS), len(classes))).astype(np.float32)
         self.out_bias = np.zeros(len(classes), np.float32)
 
-    def fit(self, windows: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> None:
+    def fit(self, windows: np.ndarray, labels: np.ndarray, steps: int = STEPS, seed: int = 11) -> None:
         """Adam on cross-entropy; gradients go to each filter's best place in a window."""
         r = np.random.default_rng(seed)
         params = [self.embed, *self.filters, *self.bias, self.out, self.out_bias]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         step = 0
-        for _ in range(epochs):
-            for rows in np.array_split(r.permutation(len(windows)), max(1, len(windows) // 64)):
+        while step < steps:
+            for rows in np.array_split(r.permutation(len(windows)), max(1, len(windows) // BATCH)):
                 x, y = windows[rows], labels[rows]
                 e = self.embed[x]
                 pooled, places = [], []

@@ -1,7 +1,7 @@
 """License scans: MinHash bands over overlapping windows retrieve templates, shingle containment verifies.
 
-DataFrame functions only. Words are runs of a-z and 0-9 after lower-casing. A
-text is cut into windows of `WINDOW` words, a new one every `STEP` words;
+DataFrame functions only. Words are what white space and punctuation part, A-Z
+lower-cased. A text is cut into windows of `WINDOW` words, a new one every `STEP` words;
 longer templates are cut the same way, so wherever a template of m words
 stands, some window holds min(m, WINDOW - STEP + 1) words in a row of it:
 a resemblance J of at least 3/6 even for a template of five words. Each of the
@@ -22,7 +22,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.fingerprints import once
+from tidemark.llm.fingerprints import LOWER, UPPER, once
 from tidemark.sources.tables import table
 
 SHINGLE, WINDOW, STEP, BANDS, CONTAINED = 3, 8, 2, 8, 0.8
@@ -44,8 +44,13 @@ TEMPLATES = {
 }
 
 
+#: What parts words: white space, ASCII punctuation and common typographic marks.
+APART = "\t\n\x0b\x0c\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\u00a0\u00a9\u00ab\u00bb\u2013\u2014\u2018\u2019\u201c\u201d\u2026"
+
+
 def license_words(text: Column) -> Column:
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
+    plain = F.translate(F.coalesce(text, F.lit("")), UPPER + APART, LOWER + " " * len(APART))
+    return F.filter(F.split(plain, " "), lambda w: w != "")
 
 
 def shingles(words: Column) -> Column:

@@ -69,7 +69,8 @@ def mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
 
     `taken` is the words the mix takes, repeats counted, so that each source
     gives its target rounded; only the document at the cut gives a part.
-    `epochs` is how often a document appears, that one whole. The order is
+    `epochs` is how often a document appears, that one whole; never, if it
+    has no words. The order is
     that of the id's MD5, so reruns agree on any number of machines.
     """
     keyed = rows.select(
@@ -102,7 +103,7 @@ def mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE,
             "source_size",
             "target",
             (F.col("whole") * F.col("size") + part).cast("long").alias("taken"),
-            (F.col("whole") + F.when(part > 0, 1).otherwise(0)).cast("int").alias("epochs"),
+            F.when(F.col("size") > 0, F.col("whole") + F.when(part > 0, 1).otherwise(0)).otherwise(0).cast("int").alias("epochs"),
         )
     )
 
@@ -149,5 +150,5 @@ placed AS (SELECT r.doc_id, r.size, t.source_size, t.target, CAST(round(t.target
 cut AS (SELECT *, budget // greatest(source_size, 1) AS whole,
                greatest(0, least(size, budget % greatest(source_size, 1) - start)) AS part FROM placed)
 SELECT doc_id, size, source_size, target, CAST(whole * size + part AS BIGINT) AS taken,
-       CAST(whole + CASE WHEN part > 0 THEN 1 ELSE 0 END AS INTEGER) AS epochs FROM cut
+       CAST(CASE WHEN size > 0 THEN whole + CASE WHEN part > 0 THEN 1 ELSE 0 END ELSE 0 END AS INTEGER) AS epochs FROM cut
 """
