@@ -15,6 +15,8 @@ with overlaps p, q with it, no more than min(p, q) + min(|x| - p, |y| - q)
 can be common. All pairs left are verified, so no link is lost; a list is
 worked off in pairs of hash blocks of bounded size.
 
+A set holds fewer than 2**32 shingles.
+
 Defined cases: a text of fewer words than a shingle has its whole sequence as
 one shingle; an empty or null text has none and links with nothing; repeated
 rows are linked as equal texts are; a row with a null id takes no part and
@@ -227,6 +229,11 @@ def list_pairs(t: Threshold, step: int = 256):
     return run
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data: joined by shuffle and sort at every size, where large keys can be split."""
+    return df.hint("merge")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, t: Threshold) -> DataFrame:
     """(a, b, na, nb, both) of distinct pairs of classes: sets are fetched for these only, each a's in groups of bounded size."""
     sides = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
@@ -235,11 +242,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, t: Threshold
         wanted = F.broadcast(wanted)
     sets = written(docs.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(whole_sets(t.shingle), "cls long, body binary"), "join-sets")
     salts = pairs.groupBy("a").agg(F.expr(f"cast(count(*) div {HOLD} as int)").alias("most"))
-    held = salts.join(sets, F.col("a") == F.col("cls")).select("a", F.explode(F.sequence(F.lit(0), F.col("most"))).alias("salt"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("b"), "body")
+    held = salts.join(dealt(sets), F.col("a") == F.col("cls")).select("a", F.explode(F.sequence(F.lit(0), F.col("most"))).alias("salt"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("b"), "body")
     members = (
-        pairs.join(salts, "a")
+        pairs.join(dealt(salts), "a")
         .select("a", "b", F.pmod(F.xxhash64("b"), F.col("most") + 1).cast("int").alias("salt"))
-        .join(sets, F.col("b") == F.col("cls"))
+        .join(dealt(sets), F.col("b") == F.col("cls"))
         .select("a", "salt", F.lit(1).alias("kind"), "b", "body")
     )
     both = held.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
@@ -263,13 +270,13 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
 
     first = docs.where("doc_id is not null").mapInArrow(prefixes(t, levels), "cls long, doc_id long, n long, tokens array<bigint>")
     reps = classes.select("cls", F.col("rep").alias("doc_id"))
-    sets = written(first.join(reps, ["cls", "doc_id"]).select("cls", "n", "tokens"), "join-prefixes")
+    sets = written(first.join(dealt(reps), ["cls", "doc_id"]).select("cls", "n", "tokens"), "join-prefixes")
     postings = sets.select("cls", "n", F.posexplode("tokens").alias("pos", "token"))
-    # a list's pivot is the set in which its shingle comes first
-    rank = F.col("pos").cast("long") * (1 << 40) + F.expr("xxhash64(cls) & 1099511627775L")
-    lists = postings.groupBy("token").agg(F.count("*").alias("c"), F.min_by("cls", rank).alias("pivot"), F.min_by("n", rank).alias("pivot_n"), F.min(rank).alias("rank")).where("c > 1")
-    lists = lists.select("token", "c", "pivot", "pivot_n", F.expr("rank div 1099511627776L").alias("pivot_pos"))
-    listed = written(postings.join(lists, "token"), "join-lists")
+    # a list's pivot is the set in which its shingle comes first, then the smallest; position and size share a number
+    rank = F.col("pos").cast("long") * (1 << 32) + F.col("n")
+    lists = postings.groupBy("token").agg(F.count("*").alias("c"), F.min_by("cls", rank).alias("pivot"), F.min(rank).alias("rank")).where("c > 1")
+    lists = lists.select("token", "c", "pivot", F.expr("rank & 4294967295L").alias("pivot_n"), F.expr("shiftright(rank, 32)").alias("pivot_pos"))
+    listed = written(postings.join(dealt(lists), "token"), "join-lists")
 
     near = listed.where((F.col("cls") != F.col("pivot")) & may_link(F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos"), t))
     pairs = written(near.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct(), "join-pairs")
@@ -280,15 +287,15 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     # what pivots leave open: lists with several components
     best = answers.groupBy(F.col("b").alias("cls")).agg(F.max(F.struct("both", "a")).alias("best")).select("cls", F.col("best.a").alias("pivot"), F.col("best.both").alias("known"))
     state = cut(sets.select("cls").distinct().join(labels, "cls", "left").join(best, "cls", "left").select("cls", F.coalesce("label", "cls").alias("label"), F.coalesce("pivot", F.lit(0)).alias("pivot"), F.coalesce("known", F.lit(-1)).alias("known")))
-    joined = listed.select("token", "c", "cls", "n", "pos").join(state, "cls")
+    joined = listed.select("token", "c", "cls", "n", "pos").join(dealt(state), "cls")
     open_lists = joined.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
     # sets whose shingle comes too late for any partner are no candidates
-    left = joined.where((F.col("n") - F.col("pos")) * t.den >= F.col("n") * t.num).join(open_lists, "token")
+    left = joined.where((F.col("n") - F.col("pos")) * t.den >= F.col("n") * t.num).join(dealt(open_lists), "token")
     blocks = F.expr(f"cast(c div {LIST_BLOCK} as int)")
     mine = F.pmod(F.xxhash64("cls"), blocks + 1).cast("int")
-    dealt = left.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks)))
-    dealt = dealt.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "n", F.col("pos").cast("long").alias("pos"), "label", "pivot", "known")
-    more = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "pos", "n").mapInArrow(list_pairs(t), "a long, b long").distinct()
+    blocked = left.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks)))
+    blocked = blocked.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "n", F.col("pos").cast("long").alias("pos"), "label", "pivot", "known")
+    more = blocked.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "pos", "n").mapInArrow(list_pairs(t), "a long, b long").distinct()
     more = written(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti"), "join-more")
     links = links.union(linked(verified(more, docs, classes, t), t))
 
@@ -296,7 +303,7 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     named = classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = named.groupBy("label").agg(F.min("rep").alias("component"))
     named = cut(named.join(least, "label").select("cls", "component"))
-    out = own.join(named, "cls", "left")
+    out = own.join(dealt(named), "cls", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.cast("long").alias("component_id"))
 
