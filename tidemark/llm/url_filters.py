@@ -124,7 +124,8 @@ def judge(
     )
     shaped = written(templates(paths, depth, least_pages, least_share), "url-templates")
     scored = shaped.select("host", "path", "template").join(purity(shaped, smooth, sigma), ["host", "template"])
-    return rows.join(scored, ["host", "path"]).select(
+    # a row a path grows with the pages, though it compresses well: never broadcast
+    return rows.join(scored.hint("merge"), ["host", "path"]).select(
         "page_id",
         "host",
         "path",
