@@ -94,7 +94,8 @@ class _Walk:
         if self.live is not None:
             self.finish(e.ts, False)
         elif self.closed is None or e.ts - self.closed > pd.Timedelta(hours=self.words.duplicate_end_hours):
-            self.begin(e, True, self.closed if self.closed is not None else pd.Timestamp(self.words.floor))
+            # the last life's end is the latest moment at which something else is known
+            self.begin(e, True, self.rows[-1]["end_ts"] if self.rows else pd.Timestamp(self.words.floor))
             self.finish(e.ts, False)
 
     def step(self, e) -> None:
@@ -110,7 +111,7 @@ class _Walk:
             self.begin(e, e.kind not in self.words.resumes)
 
     def result(self) -> list[dict]:
-        return sorted(self.rows + ([self.live] if self.live else []), key=lambda r: (r["start_ts"], r["segment"], r["anchor_id"]))
+        return sorted(self.rows + ([self.live] if self.live else []), key=lambda r: (r["start_ts"], r["end_ts"] is None, r["end_ts"] or r["start_ts"], r["segment"], r["anchor_id"]))
 
 
 LIFECYCLE = "subscriber string, lifecycle_no int, carrier string, segment int, anchor_id string, start_ts timestamp, end_ts timestamp, is_open boolean, start_inferred boolean, end_inferred boolean"
