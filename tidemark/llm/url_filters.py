@@ -138,3 +138,43 @@ def judge(
 
 def op3_url_filters(spark, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _levels_sql(depth: int, least_pages: int, least_share: float) -> str:
+    """The tree's levels: l0 are the paths, l1 to l<depth> add t<level>."""
+    out = []
+    for d in range(1, depth + 1):
+        was = f"t{d - 1}"
+        out.append(
+            f"""c{d} AS (SELECT host, {was}, seg[{d}] AS s, sum(n) AS c FROM l{d - 1} WHERE seg[{d}] IS NOT NULL GROUP BY ALL),
+k{d} AS (SELECT host, {was}, s FROM c{d} JOIN (SELECT host, {was}, sum(c) AS p FROM c{d} GROUP BY ALL) USING (host, {was}) WHERE c >= {least_pages} AND c >= p * {least_share}::DOUBLE),
+l{d} AS (SELECT l.*, CASE WHEN seg[{d}] IS NULL THEN l.{was} WHEN k.s IS NOT NULL THEN l.{was} || '/' || k.s ELSE l.{was} || '/*' END AS t{d} FROM l{d - 1} l LEFT JOIN k{d} k ON l.host = k.host AND l.{was} = k.{was} AND seg[{d}] = k.s)"""
+        )
+    return ",\n".join(out)
+
+
+OP3_SQL = f"""
+WITH rest AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+urls AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+ruled AS (SELECT *, CASE
+  WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM urls),
+said AS (SELECT *, CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS v FROM ruled),
+l0 AS (SELECT host, path, list_filter(string_split(path, '/'), lambda s: s <> '') AS seg, '' AS t0, count(*) AS n, count(*) FILTER (v = 'allow') AS a, count(*) FILTER (v = 'block') AS b FROM said GROUP BY host, path),
+{_levels_sql(3, 5, 0.02)},
+shaped AS (SELECT host, path, a, b, t1 AS branch, CASE WHEN len(seg) > 3 THEN t3 || '/**' ELSE t3 END AS template FROM l3),
+leaf AS (SELECT host, branch, template, sum(b) AS bad_n, sum(a + b) AS all_n FROM shaped GROUP BY ALL),
+br AS (SELECT host, branch, sum(bad_n) AS b_bad, sum(all_n) AS b_all FROM leaf GROUP BY ALL),
+ho AS (SELECT host, sum(b_bad) AS h_bad, sum(b_all) AS h_all FROM br GROUP BY ALL),
+base AS (SELECT least(coalesce(sum(h_bad) / nullif(sum(h_all), 0), 0), 0.5) AS base FROM ho),
+gr AS (SELECT host, branch, b_bad, b_all, CASE WHEN b_all > 0 AND h_all - b_all > 0 AND abs(b_bad / greatest(b_all, 1) - (h_bad - b_bad) / greatest(h_all - b_all, 1))
+  <= 1.96::DOUBLE * sqrt(h_bad / greatest(h_all, 1) * (1 - h_bad / greatest(h_all, 1)) * (1 / greatest(b_all, 1) + 1 / greatest(h_all - b_all, 1))) THEN '~' ELSE branch END AS pool FROM br JOIN ho USING (host)),
+po AS (SELECT host, pool, sum(b_bad) AS g_bad, sum(b_all) AS g_all FROM gr GROUP BY ALL),
+pure AS (SELECT leaf.host, template, (bad_n + 4.0::DOUBLE * ((g_bad + 4.0::DOUBLE * base) / (g_all + 4.0::DOUBLE))) / (all_n + 4.0::DOUBLE) AS bad
+  FROM leaf JOIN gr USING (host, branch) JOIN po USING (host, pool), base)
+SELECT page_id, said.host, said.path, rule, coalesce(v, CASE WHEN bad >= 0.8 THEN 'block' ELSE 'allow' END) AS verdict
+FROM said JOIN shaped ON said.host = shaped.host AND said.path = shaped.path JOIN pure ON pure.host = shaped.host AND pure.template = shaped.template
+"""
