@@ -40,11 +40,11 @@ from tidemark.sources.tables import table
 
 CHUNK_ROWS = 4096
 CHUNKS_A_TASK = 4
-SLICE = 4 << 20
+SLICE = 3 << 20
 END = 0xFF  # no byte of UTF-8
 PAD = 6
 CONTEXTS = 6  # the last 1..5 bytes, and the word so far
-TABLE_BITS = (16, 18, 20, 21, 22, 23)  # slots of each context's table
+TABLE_BITS = (16, 18, 20, 21, 22, 22)  # slots of each context's table
 SAMPLE, SAMPLE_BYTES = 256, 768
 RATE = 0.02  # the bound on what weights are learned from
 GATES, BUCKETS = 16, 33
@@ -109,22 +109,49 @@ def prefixes(stream: np.ndarray) -> np.ndarray:
 
 
 def combinations(stream: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct events at the masked places: their sixes, their prefixes, how often each, and the places in the events' order."""
+    """The distinct events at the masked places: their sixes, their prefixes, how often each, and each place's event.
+
+    A place's representative is looked up by a hash of its event; only the few
+    places whose slot another event took are sorted. Events come in the order
+    of their bytes, the latest first, so that those with equal contexts of any
+    length are neighbours.
+    """
     six, prefix = sixes(stream)[mask], prefixes(stream)[mask]
-    joint = _text.mix(six * _text._SALT[40] + prefix * _text._SALT[41])
-    order = np.argsort(joint)
-    joint = joint[order]
-    first = np.flatnonzero(np.concatenate([[True], joint[1:] != joint[:-1]])) if len(joint) else np.zeros(0, np.int64)
-    times = np.diff(np.concatenate([first, [len(joint)]]))
-    return six[order[first]], prefix[order[first]], times, order
-
-
-def context_hashes(keys: np.ndarray, prefix: np.ndarray) -> list[np.ndarray]:
-    """For each context the 64-bit hash of what stands before the byte."""
-    before = keys >> U(8)
-    out = [_text.mix((before & U((1 << (8 * n)) - 1)) * _HASH[n - 1]) for n in range(1, 6)]
-    out.append(_text.mix(prefix * _HASH[5]))
-    return out
+    joint = six * _text._SALT[40]
+    joint += prefix
+    joint ^= joint >> U(29)
+    joint *= _text._SALT[41]
+    n = len(joint)
+    bits = min(max(n.bit_length(), 10), 22)
+    slot = (joint >> U(64 - bits)).astype(np.int32)
+    holder = np.zeros(1 << bits, np.int32)
+    holder[slot] = np.arange(n, dtype=np.int32)
+    first = holder[slot]
+    lost = np.flatnonzero(joint[first] != joint)
+    if len(lost):
+        _, at, where = np.unique(joint[lost], return_index=True, return_inverse=True)
+        first[lost] = lost[at][where]
+    own = np.zeros(n, bool)
+    own[first] = True
+    found = np.flatnonzero(own)
+    order = np.argsort(six[found].byteswap())
+    place = np.empty(n, np.int32)
+    place[found[order]] = np.arange(len(found), dtype=np.int32)
+    event = place[first]
+    return six[found[order]], prefix[found[order]], np.bincount(event, minlength=len(found)), event
+
+
+def groups(keys: np.ndarray) -> list[np.ndarray]:
+    """For contexts of 1 to 5 bytes, where the runs of events with the same byte and context begin; keys in the order of `combinations`."""
+    turned = keys.byteswap()
+    return [np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1])])) if len(x) else np.zeros(0, np.int64) for x in (turned >> U(64 - 8 * (n + 1)) for n in range(1, 6))]
+
+
+def context_hash(c: int, keys: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    """The 64-bit hash of what context c sees before the byte."""
+    if c == 5:
+        return _text.mix(prefix * _HASH[5])
+    return _text.mix(((keys >> U(8)) & U((1 << (8 * (c + 1))) - 1)) * _HASH[c])
 
 
 def slots(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
@@ -148,13 +175,16 @@ class Counts:
         self.n = np.zeros((int(self.starts[-1]), 2), np.uint32)
 
     def add(self, keys: np.ndarray, prefix: np.ndarray, times: np.ndarray) -> None:
-        symbol = keys & U(0xFF)
-        contexts = context_hashes(keys, prefix)
+        """Events in the order of `combinations` and how often each; equal contexts are added up before they reach the table."""
+        if not len(keys):
+            return
         flat = self.n.reshape(-1)
-        for c, h in enumerate(contexts):
+        for c, at in enumerate([*groups(keys), None]):
+            k, p, n = (keys, prefix, times) if at is None else (keys[at], prefix[at], np.add.reduceat(times, at))
+            symbol, h, n = k & U(0xFF), context_hash(c, k, p), n.astype(np.uint32)
             for bit in range(8):
                 node, one = nodes(symbol, bit)
-                np.add.at(flat, (slots(h, node, self.bits[c]) + self.starts[c]) * 2 + one, times.astype(np.uint32))
+                np.add.at(flat, (slots(h, node, self.bits[c]) + self.starts[c]) * 2 + one, n)
 
 
 def distinct(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,7 +295,7 @@ class Mixer:
             if not live.any():
                 break
             k = k[live]
-            symbol, contexts = k & U(0xFF), context_hashes(k, words[:, t][live])
+            symbol, contexts = k & U(0xFF), [context_hash(c, k, words[:, t][live]) for c in range(CONTEXTS)]
             for bit in range(8):
                 node, one = nodes(symbol, bit)
                 s = []
@@ -287,7 +317,7 @@ class Mixer:
 
 def sure(s: np.ndarray) -> np.ndarray:
     a = np.abs(s)
-    return (a > 0.3).astype(np.int64) + (a > 1.5) + (a > 3.5)
+    return (a > 0.3).astype(np.int8) + (a > 1.5) + (a > 3.5)
 
 
 def gate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -296,25 +326,41 @@ def gate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def bucket(z: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(z * 2), -(BUCKETS // 2), BUCKETS // 2).astype(np.int64) + BUCKETS // 2
+    return np.clip(np.rint(z * 2), -(BUCKETS // 2), BUCKETS // 2).astype(np.int32) + BUCKETS // 2
 
 
 def log2_probability(keys: np.ndarray, prefix: np.ndarray, model: dict) -> np.ndarray:
-    """log2 of the probability of each key's byte after what stands before it."""
-    symbol, contexts = keys & U(0xFF), context_hashes(keys, prefix)
-    starts, total = table_starts(model["bits"]), np.zeros(len(keys))
+    """log2 of the probability of each event's byte after what stands before it; events in the order of `combinations`."""
+    if not len(keys):
+        return np.zeros(0)
+    starts, symbol, own = table_starts(model["bits"]), keys & U(0xFF), []
+    for c, at in enumerate([*groups(keys), None]):
+        k, p = (keys, prefix) if at is None else (keys[at], prefix[at])
+        part = None
+        if at is not None:
+            part = np.zeros(len(keys), np.int32)
+            part[at[1:]] = 1
+            np.cumsum(part, out=part)
+        own.append((context_hash(c, k, p), k & U(0xFF), part))
+    chance, flat = np.ones(len(keys)), model["refined"].reshape(-1)
     for bit in range(8):
         node, one = nodes(symbol, bit)
-        xs = [model["stretch"][slots(h, node, model["bits"][c]) + starts[c]] * np.float32(1 / STEPS) for c, h in enumerate(contexts)]
-        chosen = gate(xs[4], xs[5])
-        w = model["weights"][:, bit]
-        z = w[chosen, -1]
+        xs, known = [], []
+        for c, (h, sym, part) in enumerate(own):
+            x = model["stretch"][slots(h, nodes(sym, bit)[0], model["bits"][c]) + starts[c]] * np.float32(1 / STEPS)
+            if c > 3:
+                g = sure(x)
+                known.append(g if part is None else g[part])
+            xs.append(x if part is None else x[part])
+        w = np.take(model["weights"][:, bit], known[0] * 4 + known[1], axis=0)
+        z = w[:, -1].copy()
         for c, x in enumerate(xs):
-            z += w[chosen, c] * x
-        z = np.clip(z, -12, 12)
-        p = 0.5 / (1 + np.exp(-z)) + 0.5 * model["refined"][node.astype(np.int64), bucket(z)]
-        total += np.log2(np.where(one == 1, p, 1 - p))
-    return total
+            z += w[:, c] * x
+        np.clip(z, -12, 12, out=z)
+        p = 1 / (1 + np.exp(-z)) + flat[node.astype(np.int32) * BUCKETS + bucket(z)]
+        p *= 0.5
+        chance *= np.where(one == 1, p, 1 - p)
+    return np.log2(chance)
 
 
 STEPS = 8
@@ -326,7 +372,7 @@ def packed_model(counts: np.ndarray, bits: tuple[int, ...], mixer: Mixer) -> dic
     for i in range(0, len(counts), 1 << 20):
         part = counts[i : i + (1 << 20)].astype(np.float64)
         stretch[i : i + (1 << 20)] = np.clip(np.rint(stretched(part[:, 0], part[:, 1]) * STEPS), -127, 127)
-    return {"bits": bits, "stretch": stretch, "weights": mixer.weights, "refined": mixer.refined.astype(np.float64)}
+    return {"bits": bits, "stretch": stretch, "weights": mixer.weights, "refined": mixer.refined}
 
 
 class Lookup:
@@ -384,9 +430,8 @@ def scored(model, total: int, vocabulary: int, ends: int):
                     base = np.bincount(owner, np.log10(c + 0.5), b - a) + math.log10(ends + 0.5) - (np.diff(bounds) + 1) * scale
                     known = np.bincount(owner, c > 0, b - a) + (ends > 0)
                     stream, lengths, mask = normal_form(part, own)
-                    keys_, prefix, times, order = combinations(stream, mask)
-                    doc = np.repeat(np.arange(b - a), lengths + 1)[order]
-                    bits = np.bincount(doc, np.repeat(log2_probability(keys_, prefix, m), times), b - a)
+                    keys_, prefix, _, event = combinations(stream, mask)
+                    bits = np.bincount(np.repeat(np.arange(b - a), lengths + 1), log2_probability(keys_, prefix, m)[event], b - a)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("doc_id").slice(a, b - a),
