@@ -12,7 +12,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 import __spark_entry__
 from tidemark.functions import clean
-from tidemark.operators import dedup, features, graph, joins, merge, quality, scoring, sequence
+from tidemark.functions import xml
+from tidemark.operators import dedup, features, graph, joins, lineage, merge, quality, scoring, sequence
 from tidemark.plans import catalogue
 from tidemark.sources import files
 from tidemark.streaming.incremental import in_window, publish_stream
@@ -293,10 +294,12 @@ def test_anomaly_scores_single_out_an_outlier(spark):
     rows = [(i, *map(float, r.normal(0, 1, 3))) for i in range(400)] + [(999, 12.0, -11.0, 14.0)]
     d = spark.createDataFrame(rows, "id long, a double, b double, c double")
     cols = ["a", "b", "c"]
+    along = r.normal(0, 5, 400)
+    line = spark.createDataFrame([(i, float(x), float(x + r.normal(0, 0.1)), float(x + r.normal(0, 0.1))) for i, x in enumerate(along)] + [(999, 2.0, -2.0, 2.0)], "id long, a double, b double, c double")
     for found in (
         scoring.tail_probability(d, "id", cols),
         scoring.histogram_score(d, "id", cols),
-        scoring.pca_score(d.withColumn("c", F.col("c") * F.when(F.col("id") == 999, -1).otherwise(1)), "id", cols, 1),
+        scoring.pca_score(line, "id", cols, 1),
         scoring.isolation_scores(d, "id", cols, trees=30),
         scoring.isolation_scores(d, "id", cols, trees=30, mondrian=True),
     ):
@@ -314,3 +317,67 @@ def test_cohort_is_the_same_everywhere(spark):
     a = {r.k for r in spark.range(1000).withColumnRenamed("id", "k").where(dedup.in_cohort(F.col("k"), "s", 10, 3)).collect()}
     b = {r.k for r in spark.range(500, 1500).withColumnRenamed("id", "k").where(dedup.in_cohort(F.col("k"), "s", 10, 3)).collect()}
     assert 200 < len(a) < 400 and {x for x in a if x >= 500} == {x for x in b if x < 1000}
+
+
+# Lineage
+
+
+def devices(*events):
+    rows = [SimpleNamespace(kind=k, device=d, ts=T0 + dt.timedelta(hours=h), carrier="c", event_id=f"e{i}") for i, (k, d, h) in enumerate(events)]
+    hours = lambda t: None if t is None else round((t - T0).total_seconds() / 3600)
+    return [(s["device"], hours(s["from_ts"]), hours(s["to_ts"]), s["displaced"]) for s in lineage.device_walk(rows)]
+
+
+@pytest.mark.parametrize(
+    ("events", "want"),
+    [
+        ([("start", "A", 0), ("start", "A", 3), ("end", "A", 5)], [("A", 0, 5, None)]),
+        ([("start", "A", 0), ("start", "B", 3)], [("A", 0, 3, None), ("B", 3, None, "A")]),
+        ([("start", "A", 0), ("end", "B", 3), ("end", None, 4)], [("A", 0, 4, None)]),
+        ([("start", "A", 0), ("start", "B", 3), ("start", "A", 3)], [("A", 0, 3, None), ("A", 3, None, "A")]),
+        ([("end", "A", 0), ("start", None, 1), ("sim_end", None, 2)], []),
+        ([("start", "A", 0), ("sim_end", None, 2), ("start", "B", 3)], [("A", 0, 2, None), ("B", 3, None, None)]),
+    ],
+)
+def test_device_walk(events, want):
+    assert devices(*events) == want
+
+
+def test_segments_close_with_the_last_life(spark):
+    s = spark.createDataFrame([("a", 1, None), ("b", 1, None), ("c", 9, None), ("d", 1, 2)], "k string, from_ts int, to_ts int")
+    lives = spark.createDataFrame([("a", 5), ("a", 7), ("b", 5), ("b", None), ("c", 9), ("d", 5)], "k string, end_ts int")
+    assert sorted((r.k, r.to_ts) for r in lineage.close_at_life_end(s, lives, "k").collect()) == [("a", 7), ("b", None), ("d", 2)]
+
+
+def test_firm_starts_and_ends(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = [
+        ("moved", day(10), None, True, "LOW", False, day(5), day(12), "c"),
+        ("late", day(10), None, True, "LOW", False, day(11), day(12), "c"),
+        ("floor", day(1), None, True, "LOW", True, day(5), day(12), "c"),
+        ("same", day(10), None, False, "LOW", False, day(10), day(12), None),
+        ("other", day(10), None, True, "LOW", False, day(5), day(12), "x"),
+        ("off", day(10), day(11), True, "LOW", False, day(5), day(11), "c"),
+        ("high", day(10), None, False, "HIGH", False, day(10), day(12), "c"),
+    ]
+    d = spark.createDataFrame(rows, "k string, start_ts timestamp, end_ts timestamp, start_inferred boolean, start_confidence string, floored boolean, since timestamp, asked_at timestamp, e string")
+    lives = d.select("k", F.lit("c").alias("carrier"), "start_ts", "end_ts", "start_inferred", "start_confidence", "floored")
+    got = {r.k: (r.evidence_use, r.start_ts.day, r.start_confidence) for r in lineage.firm_starts(lives, d.select("k", "since", "asked_at", F.col("e").alias("carrier")), "k").collect()}
+    assert got == {"moved": ("moved", 5, "HIGH"), "late": ("conflict", 10, "LOW"), "floor": ("moved", 5, "HIGH"), "same": ("confirmed", 10, "HIGH"), "other": ("none", 10, "LOW"), "off": ("none", 10, "LOW"), "high": ("none", 10, "HIGH")}
+    ends = spark.createDataFrame([(1, "k", "a", day(1), day(5)), (2, "k", "a", day(5), day(9)), (3, "k", "b", day(1), day(5))], "id int, k string, carrier string, start_ts timestamp, end_ts timestamp").withColumns({"end_inferred": F.lit(False), "end_confidence": F.lit("LOW")})
+    ports = spark.createDataFrame([("k", "A", day(5))], "k string, from_carrier string, ts timestamp")
+    assert {r.id: r.end_confidence for r in lineage.firm_ends(ends, ports, "k", "id").collect()} == {1: "HIGH", 2: "LOW", 3: "LOW"}
+
+
+def test_port_edges_and_quiet_ports(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    d = spark.createDataFrame([("p", "1", "a", "x", day(1), day(3), False), ("p", "2", "b", "y", day(5), day(6), True), ("p", "3", "b", "z", day(20), None, True)], "k string, life_id string, carrier string, acct string, start_ts timestamp, end_ts timestamp, ported boolean")
+    assert [(r.from_account, r.to_account) for r in lineage.port_edges(d, "k", "acct").collect()] == [("x", "y")]
+    assert lineage.quiet_ports(d, "k", 10, 90).first().n == 1
+
+
+def test_xml_rules():
+    one = lambda t: xml.parse(t, "O/K", "Past", "Step")
+    assert one("<R><O><K> 1 </K><E/></O><Past><Step><A>x</A></Step></Past></R>") == {"ok": True, "key": "1", "leaves": {"O/K": "1"}, "events": [{"A": "x"}]}
+    assert one("<R><O/></R>") == {"ok": True, "key": None, "leaves": {}, "events": []}
+    assert not any(one(t)["ok"] for t in (None, "", " ", "<R>", "text", "<n:R xmlns:n='u'/>"))

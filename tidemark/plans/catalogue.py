@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
-from tidemark.operators import dedup, features, graph, joins, merge, quality, scoring, sequence
+from tidemark.functions import xml
+from tidemark.operators import dedup, features, graph, joins, lineage as accounts, merge, quality, scoring, sequence
 from tidemark.sources.tables import table
 from tidemark.streaming.incremental import in_window
 
@@ -388,6 +389,79 @@ def slice_closure(t):
     return graph.closure(seeds, links, "c", "p", rounds=50)
 
 
+# Lineage
+
+
+@query("""
+WITH RECURSIVE n AS (SELECT o_orderkey, lead(o_orderkey) OVER w AS nx, date_diff('day', CAST(o_orderdate AS DATE), CAST(lead(o_orderdate) OVER w AS DATE)) AS gap FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
+e AS (SELECT o_orderkey AS s, nx AS d, gap FROM n WHERE gap <= 30), heads AS (SELECT o_orderkey AS s FROM orders WHERE o_orderkey NOT IN (SELECT d FROM e)),
+c AS (SELECT s AS node, s AS root, CAST(0 AS BIGINT) AS position FROM heads UNION ALL SELECT e.d, c.root, c.position + 1 FROM c JOIN e ON c.node = e.s),
+l AS (SELECT node, root, position, count(*) OVER (PARTITION BY root) AS chain_length, o_orderstatus, coalesce(gap > 7, false) AS weak FROM c JOIN orders ON node = o_orderkey LEFT JOIN e ON e.d = node)
+SELECT CAST(node AS VARCHAR) AS node, CASE WHEN chain_length = 1 THEN 'single' WHEN position = 0 AND o_orderstatus = 'F' THEN 'origin_unmatched' WHEN position = 0 THEN 'origin'
+  WHEN position = chain_length - 1 AND o_orderstatus = 'O' THEN 'final_unmatched' WHEN position = chain_length - 1 THEN 'final' ELSE 'intermediate' END AS segment_type,
+  CASE WHEN chain_length = 1 THEN 'single' ELSE 'chain' END AS account_type, CASE WHEN bool_or(weak) OVER (PARTITION BY root) THEN 'LOW' ELSE 'HIGH' END AS weakest_link FROM l""")
+def chain_roles(t):
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    e = t("orders").select(F.col("o_orderkey").alias("s"), F.lead("o_orderkey").over(w).alias("d"), F.lead("o_orderdate").over(w).alias("at"), "o_orderdate").withColumn("gap", F.datediff("at", "o_orderdate")).where("gap <= 30")
+    lives = t("orders").select(F.col("o_orderkey").cast("string").alias("node"), (F.col("o_orderstatus") == "F").alias("start_inferred"), (F.col("o_orderstatus") == "O").alias("is_open"))
+    links = e.select(F.col("d").cast("string").alias("node"), F.when(F.col("gap") > 7, "LOW").otherwise("HIGH").alias("link_confidence"))
+    return accounts.chain_roles(graph.ordered_chains(e, "s", "d", "at"), lives, links).select("node", "segment_type", "account_type", "weakest_link")
+
+
+@query("""
+WITH x AS (SELECT user_id, event_id, event_type, lag(value) OVER w AS before, lag(event_type) OVER w AS lt, row_number() OVER w AS event_seq FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts))
+SELECT event_id, event_seq, CASE WHEN event_type = 'signup' OR coalesce(lt = 'error', false) THEN NULL ELSE round(before, 6) END AS from_id FROM x""")
+def port_sequence(t):
+    return accounts.port_sequence(t("events"), "user_id", "ts", "value", "event_type", "signup", "error").select("event_id", "event_seq", "from_id")
+
+
+@query("""
+WITH a AS (SELECT event_id AS from_id, lead(event_id) OVER w AS to_id, lead(ts) OVER w AS to_ts, event_type = lead(event_type) OVER w AS same FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+b AS (SELECT event_id AS from_id, lead(event_id) OVER w AS to_id, lead(ts) OVER w AS to_ts FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id)),
+c AS (SELECT from_id, to_id, to_ts, 'direct' AS route, 0 AS r FROM a WHERE same UNION ALL SELECT from_id, to_id, to_ts, 'kind', 1 FROM b WHERE to_id IS NOT NULL)
+SELECT from_id, to_id, to_ts, route FROM (SELECT *, row_number() OVER (PARTITION BY from_id ORDER BY r, to_ts, to_id) AS n FROM c) WHERE n = 1""")
+def edges_by_route(t):
+    w, k = Window.partitionBy("user_id").orderBy("ts", "event_id"), Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
+    nxt = lambda x: t("events").select(F.col("event_id").alias("from_id"), F.lead("event_id").over(x).alias("to_id"), F.lead("ts").over(x).alias("to_ts"), (F.col("event_type") == F.lead("event_type").over(x)).alias("same")).where("to_id IS NOT NULL")
+    return accounts.best_edges([("direct", nxt(w).where("same")), ("kind", nxt(k))])
+
+
+def _devices(t) -> DataFrame:
+    k = F.when(F.col("event_type") == "error", "end").when(F.col("event_type") == "signup", "sim_end").otherwise("start")
+    return t("events").select(F.col("user_id").alias("subscriber"), k.alias("kind"), F.when(F.col("event_type") != "error", (F.floor("value") % 3).cast("string")).alias("device"), F.lit("c").alias("carrier"), "ts", "event_id")
+
+
+@query()
+def device_map(t):
+    """A walk with state; tested branch by branch."""
+    d = accounts.device_segments(_devices(t))
+    lives = sequence.lifecycles(t("events").select(F.col("user_id").alias("subscriber"), F.lit("c").alias("carrier"), F.col("event_type").alias("kind"), "ts", "event_id"), WORDS)
+    return accounts.close_at_life_end(d, lives, "subscriber")
+
+
+@query()
+def firmed_boundaries(t):
+    """Low starts firmed by evidence and low ends by ports; tested rule by rule."""
+    lives = sequence.lifecycles(t("events").select(F.col("user_id").alias("subscriber"), F.lit("c").alias("carrier"), F.col("event_type").alias("kind"), "ts", "event_id"), WORDS)
+    low = lives.withColumn("start_confidence", F.when(F.col("start_inferred"), "LOW").otherwise("HIGH")).withColumn("end_confidence", F.lit("LOW")).withColumn("floored", F.year("start_ts") == 1970)
+    evidence = t("events").groupBy(F.col("user_id").cast("string").alias("subscriber")).agg((F.min("ts").cast("timestamp") - F.expr("INTERVAL 1 DAY")).alias("since"), F.expr("min(ts) + (max(ts) - min(ts)) / 2").cast("timestamp").alias("asked_at"), F.lit("c").alias("carrier"))
+    ports = t("events").where("event_type = 'error'").select(F.col("user_id").cast("string").alias("subscriber"), F.lit("C").alias("from_carrier"), F.col("ts").cast("timestamp").alias("ts"))
+    return accounts.firm_ends(accounts.firm_starts(low, evidence, "subscriber"), ports, "subscriber", "lifecycle_uid")
+
+
+@query("SELECT o_orderkey, o_orderkey % 7 <> 0 AS ok, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS key, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 7 <> 0 THEN 2 ELSE 0 END::BIGINT AS n_events FROM orders")
+def xml_documents(t):
+    text = F.concat(F.lit("<R><Owner><Key>"), "o_custkey", F.lit("</Key></Owner><Status> "), "o_orderstatus", F.lit(" </Status><Past><Step><To>1</To></Step><Step><To>2</To></Step></Past></R>"))
+    text = F.when(F.col("o_orderkey") % 7 == 0, F.substring(text, 1, 20)).otherwise(text)
+    d = t("orders").select("o_orderkey", xml.parsed(text, "Owner/Key", "Past", "Step").alias("p"))
+    return d.select("o_orderkey", "p.ok", "p.key", F.col("p.leaves")["Status"].alias("status"), F.size("p.events").alias("n_events"))
+
+
+@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'north' END AS parent FROM orders")
+def parent_rollup(t):
+    return t("orders").select("o_orderkey", accounts.parent_of(F.col("o_orderstatus"), {"F": "brand1", "O": "brand2"}, {"brand1": "north", "brand2": "south"}, ["north"]).alias("parent"))
+
+
 # Dedup, keys, cleaning
 
 
