@@ -86,15 +86,16 @@ def purity(found: DataFrame, smooth: float, sigma: float) -> DataFrame:
     leaf = found.groupBy("host", "branch", "template").agg(*sums)
     branch = leaf.groupBy("host", "branch").agg(F.sum("bad_n").alias("b_bad"), F.sum("all_n").alias("b_all"))
     host = branch.groupBy("host").agg(F.sum("b_bad").alias("h_bad"), F.sum("b_all").alias("h_all"))
-    base = host.agg(F.least(F.coalesce(F.sum("h_bad") / F.nullif(F.sum("h_all"), F.lit(0)), F.lit(0.0)), F.lit(0.5)).alias("base"))
+    bad_n, all_n = host.agg(F.coalesce(F.sum("h_bad"), F.lit(0)), F.coalesce(F.sum("h_all"), F.lit(0))).first()
+    base = min(bad_n / all_n, 0.5) if all_n else 0.0
     rest_bad, rest_all = F.col("h_bad") - F.col("b_bad"), F.col("h_all") - F.col("b_all")
     pool = F.col("h_bad") / F.greatest(F.col("h_all"), F.lit(1))
     error = F.sqrt(pool * (1 - pool) * (1 / F.greatest(F.col("b_all"), F.lit(1)) + 1 / F.greatest(rest_all, F.lit(1))))
     apart = F.abs(F.col("b_bad") / F.greatest(F.col("b_all"), F.lit(1)) - rest_bad / F.greatest(rest_all, F.lit(1)))
     branch = branch.join(host, "host").withColumn("group", F.when((F.col("b_all") > 0) & (rest_all > 0) & (apart <= sigma * error), F.lit("~")).otherwise(F.col("branch")))
     group = branch.groupBy("host", "group").agg(F.sum("b_bad").alias("g_bad"), F.sum("b_all").alias("g_all"))
-    branch = branch.select("host", "branch", "group").join(group, ["host", "group"]).crossJoin(F.broadcast(base))  # base is one row
-    smoothed = (F.col("g_bad") + smooth * F.col("base")) / (F.col("g_all") + smooth)
+    branch = branch.select("host", "branch", "group").join(group, ["host", "group"])
+    smoothed = (F.col("g_bad") + smooth * base) / (F.col("g_all") + smooth)
     return (
         leaf.join(branch, ["host", "branch"])
         .withColumn("bad", (F.col("bad_n") + smooth * smoothed) / (F.col("all_n") + smooth))
