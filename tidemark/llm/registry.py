@@ -20,6 +20,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_ngram_join": ngram_join.OP2_SQL,
     "op3_url_filters": url_filters.OP3_SQL,
     "op4_mixing": mixing.OP4_SQL,
     "op9_exact_topk": exact_topk.OP9_SQL,
