@@ -13,7 +13,7 @@ import pyarrow as pa
 
 WORD = r"[^\x20\x09-\x0D]+"
 U = np.uint64
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def _splitmix(x: np.ndarray) -> np.ndarray:
@@ -41,7 +41,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _powers.get(0)
     if have is None or len(have[0]) < n:
-        size = max(n, SLICE + (1 << 18))
+        size = max(n + n // 8, 1 << 20)
         up = np.full(size, _STEP)
         up[0] = 1
         down = np.full(size, _BACK)

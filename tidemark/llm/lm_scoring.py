@@ -38,9 +38,9 @@ from tidemark.llm import _tables, _text
 from tidemark.plans.scratch import written
 from tidemark.sources.tables import table
 
-CHUNK_ROWS = 4096
-CHUNKS_A_TASK = 4
-SLICE = 3 << 20
+CHUNK_ROWS = 8192
+CHUNKS_A_TASK = 2
+SLICE = 2 << 20
 END = 0xFF  # no byte of UTF-8
 PAD = 6
 CONTEXTS = 6  # the last 1..5 bytes, and the word so far
@@ -240,13 +240,16 @@ def gathered(bits: tuple[int, ...]):
                     hashes = _text.word_hashes(part, starts, ends)
                     taught = np.repeat(training[a:b], np.diff(bounds))
                     waiting += [(hashes[taught], True), (np.unique(hashes[~taught]), False)]
-                    stream, lengths, scored = normal_form(part, own)
-                    scored &= np.repeat(np.concatenate([[False], training[a:b]]), np.concatenate([[PAD], np.diff(own) * 0 + _spans(lengths, stream, scored)]))
+                    if sum(len(w) for w, _ in waiting) > 4_000_000:
+                        yield flush(last)
+                    learned = training[a:b]
+                    if not learned.any():
+                        continue
+                    sizes = np.diff(own)
+                    stream, _, scored = normal_form(part[np.repeat(learned, sizes)], np.concatenate([[0], np.cumsum(sizes[learned])]))
                     if counts is None:
                         counts = Counts(bits)
                     counts.add(*combinations(stream, scored)[:3])
-                    if sum(len(w) for w, _ in waiting) > 4_000_000:
-                        yield flush(last)
         if last is not None:
             yield flush(last)
         if counts is not None:
@@ -263,12 +266,6 @@ def gathered(bits: tuple[int, ...]):
     return run
 
 
-def _spans(lengths: np.ndarray, stream: np.ndarray, scored: np.ndarray) -> np.ndarray:
-    """Places of each row in the stream, its ends included."""
-    first = np.flatnonzero(scored & ~np.concatenate([[False], scored[:-1]]))
-    return np.diff(np.concatenate([first, [len(stream)]]))
-
-
 def stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return np.log((n1 + 0.25) / (n0 + 0.25)).astype(np.float32)
 
