@@ -101,11 +101,16 @@ class PieceCounter:
 _counters: dict[str, PieceCounter] = {}
 
 
+def counter_of(path: str) -> PieceCounter:
+    """The worker's counter, which its tasks share: a function of the module, so that it isn't copied with each task."""
+    if path not in _counters:
+        _counters[path] = PieceCounter(path)
+    return _counters[path]
+
+
 def counted(path: str, limit: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _counters.get(path)
-        if counter is None:
-            counter = _counters[path] = PieceCounter(path)
+        counter = counter_of(path)
         for batch in rows:
             _, offsets = raw(batch.column("text"))
             tokens = []
