@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import _tables, _text
 from tidemark.operators.graph import connected_components
-from tidemark.plans.scratch import cut, written
+from tidemark.plans.scratch import cut, dropped, written
 from tidemark.sources.tables import table
 
 BUCKET_BITS = 20
@@ -250,7 +250,9 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, t: Threshold
         .select("a", "salt", F.lit(1).alias("kind"), "b", "body")
     )
     both = held.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
-    return written(both.mapInArrow(overlaps, "a long, b long, na long, nb long, both long"), "join-overlaps")
+    out = written(both.mapInArrow(overlaps, "a long, b long, na long, nb long, both long"), "join-overlaps")
+    dropped(sets)
+    return out
 
 
 def linked(found: DataFrame, t: Threshold) -> DataFrame:
@@ -297,6 +299,8 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     blocked = blocked.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "n", F.col("pos").cast("long").alias("pos"), "label", "pivot", "known")
     more = blocked.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "pos", "n").mapInArrow(list_pairs(t), "a long, b long").distinct()
     more = written(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti"), "join-more")
+    for done in (sets, listed):  # what follows reads the pairs only
+        dropped(done)
     links = links.union(linked(verified(more, docs, classes, t), t))
 
     labels = connected_components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
