@@ -340,6 +340,42 @@ def test_lm_probabilities_sum_to_one():
         assert math.isclose((2 ** lm_scoring.log2_probability(every, np.full(256, p), model)).sum(), 1, rel_tol=1e-6)
 
 
+def test_lm_counts_are_kept_by_key():
+    texts = ["the cat sat on the mat", "the dog", None, *(f"word{i} and w{i * 7919}" for i in range(200))]
+    events = lm_scoring.combinations(*(lambda s, _, m: (s, m))(*lm_scoring.normal_form(*_text.raw(pa.array(texts)))))[:3]
+    few, many = lm_scoring.Counts((4,) * 6), lm_scoring.Counts((20,) * 6)
+    for c in (few, many):
+        c.add(*events)
+    score = [lm_scoring.log2_probability(*events[:2], lm_scoring.packed_model(c.n, c.bits, lm_scoring.Mixer())) for c in (few, many)]
+    assert np.array_equal(*score)
+
+
+def test_lm_chunks_get_the_counts_of_the_whole_corpus():
+    chunks = [["the cat sat", "a mat " * 9], ["the cat ran", None, "the dog"], ["the", "unseen"]]
+    whole, asked = Counter(), []
+    for i, texts in enumerate(chunks):
+        counts = lm_scoring.Counts()
+        stream, _, mask = lm_scoring.normal_form(*_text.raw(pa.array(texts)))
+        six, prefix, times, _ = lm_scoring.combinations(stream, mask)
+        counts.add(six, prefix, times * (i < 2))
+        for t in texts if i < 2 else []:
+            body = b"\xff" * 6 + " ".join((t or "").split()).encode() + b"\xff"
+            whole.update((c, body[j - c : j + 1]) for c in range(1, 6) for j in range(6, len(body)))
+        asked += [(b, i, body) for b, body in lm_scoring.dealt_asks(counts, 3)]
+    asked.sort()
+    rows = pa.RecordBatch.from_pydict({"piece": [a[0] for a in asked], "chunk": [a[1] for a in asked], "body": [a[2] for a in asked]})
+    seen = set()
+    for batch in lm_scoring.answered(iter([rows])):
+        for body in batch.column("body").to_pylist():
+            for c, (keys, counts) in enumerate(lm_scoring.unpacked(body)[:5], 1):
+                for k, n in zip(keys.tolist(), counts.tolist()):
+                    text = k.to_bytes(8, "big")[-c - 1 :]
+                    sides = [sum(v for (d, x), v in whole.items() if d == c and x[:-1] == text[:-1] and x[-1] >> (8 - b) == text[-1] >> (8 - b) and x[-1] >> (7 - b) != text[-1] >> (7 - b)) for b in range(8)]
+                    assert n == [whole[c, text], *sides]
+                    seen.add((c, text))
+    assert set(whole) <= seen
+
+
 def test_lm_normal_form():
     texts = ["  A  b\t\tC ", "", None, "x", " \n "]
     stream, lengths, mask = lm_scoring.normal_form(*_text.raw(pa.array(texts)))

@@ -1,24 +1,27 @@
-"""Language-model scores by online logistic context mixing.
+"""Language-model scores by logistic context mixing.
 
 A text is scored as its lower-cased words joined by single spaces, then an
 end symbol. Each byte is coded in eight binary decisions. For each, several
 predictors, one a context (the last 1 to 5 bytes and the word so far), look up
-counts in hashed tables; a set of weights, chosen by how many contexts are
-known and by the bit, mixes their stretched probabilities; a table over the
-mixed probability and the partial byte refines the result.
-
-- Counts come from all training texts: each task fills tables of fixed size,
-  which are summed slot by slot in a stream.
-- Weights and the refining table are learned online on a bounded sample
-  (`SAMPLE` windows of `SAMPLE_BYTES`), each event's own count left out.
+their counts; a set of weights, chosen by how many contexts are known and by
+the bit, mixes their stretched probabilities; a table over the mixed
+probability and the partial byte refines the result.
+
+- Counts come from all training texts and are kept by key, never in slots that
+  contexts share: contexts of bytes by the bytes themselves, the word so far by
+  56 bits of hash. They grow with the input and lie in buckets of keys, which
+  no machine holds together. A chunk of documents asks each bucket for its own
+  distinct keys and gets back the counts along the paths of their bytes.
+- Weights and the refining table are learned from some 256 training texts: each
+  chunk learns online over its own, each event's own count left out, and the
+  chunks' weights are averaged by the bytes they were learned from.
 - For scoring the model is fixed, so a byte's probability depends only on it,
-  the five bytes before it and the word so far: a slice of texts is sorted by
-  a hash of these, and every distinct combination is worked out once.
+  the five bytes before it and the word so far: every distinct combination of
+  a slice of texts is worked out once.
 
 The word-frequency base score needs each token's count in the whole corpus.
-Texts are dealt into chunks of documents; each chunk asks for its own distinct
-words, and the answers come back to the chunk, so no task or driver holds the
-vocabulary.
+Each chunk asks for its own distinct words in the same way, so no task or
+driver holds the vocabulary.
 
 Null texts count as empty, which still have the end token. Repeated rows are
 scored each. An empty table gives an empty result.
@@ -27,15 +30,15 @@ scored each. An empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import _tables, _text
-from tidemark.plans.scratch import written
+from tidemark.llm import _text
+from tidemark.plans.scratch import dropped, written
 from tidemark.sources.tables import table
 
 CHUNK_ROWS = 8192
@@ -44,10 +47,11 @@ SLICE = 2 << 20
 END = 0xFF  # no byte of UTF-8
 PAD = 6
 CONTEXTS = 6  # the last 1..5 bytes, and the word so far
-TABLE_BITS = (16, 18, 20, 21, 22, 22)  # slots of each context's table
-SAMPLE, SAMPLE_BYTES = 256, 768
-RATE = 0.02  # the bound on what weights are learned from
+MOST_WAITING = 6_000_000  # keys of one context that wait before they are added up
+BATCH = 2048  # distinct events a step of learning
+RATE, REFINED_PRIOR = 0.3, 16
 GATES, BUCKETS = 16, 33
+STEPS = 8  # of a stretched probability
 U = np.uint64
 _HASH = _text.mix(np.arange(CONTEXTS, dtype=np.uint64) + U(77)) | U(1)
 
@@ -147,15 +151,11 @@ def groups(keys: np.ndarray) -> list[np.ndarray]:
     return [np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1])])) if len(x) else np.zeros(0, np.int64) for x in (turned >> U(64 - 8 * (n + 1)) for n in range(1, 6))]
 
 
-def context_hash(c: int, keys: np.ndarray, prefix: np.ndarray) -> np.ndarray:
-    """The 64-bit hash of what context c sees before the byte."""
+def codes(c: int, keys: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    """What context c sees before the byte, and the byte itself as the lowest eight bits."""
     if c == 5:
-        return _text.mix(prefix * _HASH[5])
-    return _text.mix(((keys >> U(8)) & U((1 << (8 * (c + 1))) - 1)) * _HASH[c])
-
-
-def slots(context: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    return (((context + node * U(0x9E3779B97F4A7C15)) * U(0xD6E8FEB86659FD93)) >> U(64 - bits)).astype(np.int64)
+        return (_text.mix(prefix * _HASH[5]) & ~U(0xFF)) | (keys & U(0xFF))
+    return keys & U((1 << (8 * (c + 2))) - 1)
 
 
 def nodes(symbol: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,28 +163,132 @@ def nodes(symbol: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
     return (U(1) << U(bit)) | (symbol >> U(8 - bit)), ((symbol >> U(7 - bit)) & U(1)).astype(np.int64)
 
 
-def table_starts(bits: tuple[int, ...]) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(1 << np.array(bits))])
+def first_of_runs(sorted_: np.ndarray) -> np.ndarray:
+    return np.concatenate([[True], sorted_[1:] != sorted_[:-1]]) if len(sorted_) else np.zeros(0, bool)
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the sum of each one's n."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(first_of_runs(keys))
+    return keys[at], np.add.reduceat(n[order], at)
 
 
 class Counts:
-    """n0 and n1 of all contexts' slots."""
+    """For each context the distinct codes, sorted, and how often each was learned. Keyed, so `bits` bounds nothing."""
 
-    def __init__(self, bits: tuple[int, ...]):
-        self.bits, self.starts = bits, table_starts(bits)
-        self.n = np.zeros((int(self.starts[-1]), 2), np.uint32)
+    def __init__(self, bits: tuple[int, ...] = ()):
+        self.bits = bits
+        self.waiting: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(CONTEXTS)]
 
     def add(self, keys: np.ndarray, prefix: np.ndarray, times: np.ndarray) -> None:
-        """Events in the order of `combinations` and how often each; equal contexts are added up before they reach the table."""
+        """Events in the order of `combinations` and how often each, which may be 0."""
         if not len(keys):
             return
-        flat = self.n.reshape(-1)
         for c, at in enumerate([*groups(keys), None]):
             k, p, n = (keys, prefix, times) if at is None else (keys[at], prefix[at], np.add.reduceat(times, at))
-            symbol, h, n = k & U(0xFF), context_hash(c, k, p), n.astype(np.uint32)
-            for bit in range(8):
-                node, one = nodes(symbol, bit)
-                np.add.at(flat, (slots(h, node, self.bits[c]) + self.starts[c]) * 2 + one, n)
+            self.waiting[c].append((codes(c, k, p), n.astype(np.int64)))
+            if sum(len(w) for w, _ in self.waiting[c]) > MOST_WAITING:
+                self.waiting[c] = [self.total(c)]
+
+    def total(self, c: int) -> tuple[np.ndarray, np.ndarray]:
+        have = self.waiting[c]
+        return summed(np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in have]]), np.concatenate([np.zeros(0, np.int64), *[n for _, n in have]]))
+
+    @property
+    def n(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [self.total(c) for c in range(CONTEXTS)]
+
+    def __len__(self) -> int:
+        return max(sum(len(w) for w, _ in have) for have in self.waiting)
+
+
+def paths(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """For sorted distinct codes: the code's own count, then at each of the eight decisions the count of the side its byte does not take."""
+    out = np.zeros((len(keys), 9), np.uint32)
+    if not len(keys):
+        return out
+    below = n
+    out[:, 0] = np.minimum(n, 0xFFFFFFFF)
+    for bit in range(7, -1, -1):
+        first = first_of_runs(keys >> U(8 - bit))
+        total = np.add.reduceat(n, np.flatnonzero(first))[np.cumsum(first) - 1]
+        out[:, 1 + bit] = np.minimum(total - below, 0xFFFFFFFF)
+        below = total
+    return out
+
+
+def planes(a: np.ndarray) -> bytes:
+    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
+
+
+def packed(parts: list[tuple[np.ndarray, np.ndarray]], width: int) -> bytes:
+    """Sorted codes and `width` counts each, of all contexts."""
+    plain = np.array([width, *[len(k) for k, _ in parts]], np.uint32).tobytes()
+    for k, v in parts:
+        if len(k):
+            plain += planes(np.diff(k, prepend=U(0))) + planes(np.ascontiguousarray(v, np.uint32).reshape(len(k), width))
+    return np.uint64(len(plain)).tobytes() + pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def unpacked(body: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
+    plain = pa.decompress(body[8:], decompressed_size=int(np.frombuffer(body, np.uint64, 1)[0]), codec="zstd", asbytes=True)
+    width, *lengths = np.frombuffer(plain, np.uint32, 1 + CONTEXTS).tolist()
+    at, out = 4 * (1 + CONTEXTS), []
+
+    def taken(n: int, size: int) -> np.ndarray:
+        nonlocal at
+        got = np.ascontiguousarray(np.frombuffer(plain, np.uint8, n * size, at).reshape(size, n).T)
+        at += n * size
+        return got
+
+    for n in lengths:
+        if not n:
+            out.append((np.zeros(0, np.uint64), np.zeros((0, width), np.uint32)))
+            continue
+        keys = np.cumsum(taken(n, 8).view(np.uint64).reshape(-1))
+        out.append((keys, taken(n, 4 * width).view(np.uint32)))
+    return out
+
+
+def dealt_asks(counts: Counts, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """A chunk's codes and counts by bucket: all codes of a context's key are in one."""
+    cut = []
+    for c, (keys, n) in enumerate(counts.n):
+        at = (((_text.mix((keys >> U(8)) * _HASH[c]) >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        cut.append((keys[order], n[order], np.searchsorted(at[order], np.arange(buckets + 1))))
+    for b in range(buckets):
+        part = [(keys[s[b] : s[b + 1]], n[s[b] : s[b + 1]]) for keys, n, s in cut]
+        if any(len(k) for k, _ in part):
+            yield b, packed(part, 1)
+
+
+def answered(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (piece, chunk, body), ordered by piece: what chunks ask of a bucket -> (chunk, body), the counts along the paths in the whole corpus."""
+
+    def answers(asked: list[tuple[int, list]]) -> Iterator[pa.RecordBatch]:
+        known = []
+        for c in range(CONTEXTS):
+            keys, n = summed(np.concatenate([p[c][0] for _, p in asked]), np.concatenate([p[c][1][:, 0].astype(np.int64) for _, p in asked]))
+            known.append((keys, paths(keys, n)))
+        for chunk, part in asked:
+            body = packed([(k, v[np.searchsorted(keys, k)]) for (k, _), (keys, v) in zip(part, known, strict=True)], 9)
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([body], pa.binary())], ["chunk", "body"])
+
+    last, asked = None, []
+    for batch in rows:
+        for i, (piece, chunk) in enumerate(zip(batch.column("piece").to_pylist(), batch.column("chunk").to_pylist(), strict=True)):
+            if piece != last and asked:
+                yield from answers(asked)
+                asked = []
+            last = piece
+            asked.append((chunk, unpacked(batch.column("body")[i].as_py())))
+    if asked:
+        yield from answers(asked)
 
 
 def distinct(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,13 +308,22 @@ def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
 GATHERED = "chunk long, key long, n long, piece int, body binary, docs long"
 
 
-def gathered(bits: tuple[int, ...]):
-    """Rows (chunk, text, training), ordered by chunk -> each chunk's distinct words with their training counts, and the task's tables."""
+def gathered(buckets: int):
+    """Rows (chunk, text, training), ordered by chunk -> each chunk's distinct words and codes with their training counts, the codes by bucket."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting = None, []
+        counts, waiting = Counts(), []
         docs = 0
 
+        def asks(chunk: int) -> Iterator[pa.RecordBatch]:
+            nonlocal counts
+            for piece, body in dealt_asks(counts, buckets):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([piece], pa.int32()), pa.array([body], pa.binary()), pa.nulls(1, pa.int64())],
+                    ["chunk", "key", "n", "piece", "body", "docs"],
+                )
+            counts = Counts()
+
         def flush(chunk: int) -> pa.RecordBatch:
             known = np.concatenate([w for w, t in waiting if t] or [np.zeros(0, np.uint64)])
             keys, n = distinct(np.sort(known))
@@ -232,6 +345,7 @@ def gathered(bits: tuple[int, ...]):
             for lo, hi in runs(chunks):
                 if last is not None and last != chunks[lo]:
                     yield flush(last)
+                    yield from asks(last)
                 last = int(chunks[lo])
                 for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
                     a, b = a + lo, b + lo
@@ -242,22 +356,14 @@ def gathered(bits: tuple[int, ...]):
                     waiting += [(hashes[taught], True), (np.unique(hashes[~taught]), False)]
                     if sum(len(w) for w, _ in waiting) > 4_000_000:
                         yield flush(last)
-                    learned = training[a:b]
-                    if not learned.any():
-                        continue
-                    sizes = np.diff(own)
-                    stream, _, scored = normal_form(part[np.repeat(learned, sizes)], np.concatenate([[0], np.cumsum(sizes[learned])]))
-                    if counts is None:
-                        counts = Counts(bits)
-                    counts.add(*combinations(stream, scored)[:3])
+                    stream, lengths, mask = normal_form(part, own)
+                    six, prefix, _, event = combinations(stream, mask)
+                    counts.add(six, prefix, np.bincount(event[np.repeat(training[a:b], lengths + 1)], minlength=len(six)))
+                    if len(counts) > MOST_WAITING:  # what is asked twice is answered twice
+                        yield from asks(last)
         if last is not None:
             yield flush(last)
-        if counts is not None:
-            for piece, body in _tables.pieces(counts.n.reshape(-1)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([piece], pa.int32()), pa.array([body], pa.binary()), pa.nulls(1, pa.int64())],
-                    ["chunk", "key", "n", "piece", "body", "docs"],
-                )
+            yield from asks(last)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([docs], pa.int64())],
             ["chunk", "key", "n", "piece", "body", "docs"],
@@ -267,49 +373,127 @@ def gathered(bits: tuple[int, ...]):
 
 
 def stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    return np.log((n1 + 0.25) / (n0 + 0.25)).astype(np.float32)
+    return np.log((n1 + np.float32(0.25)) / (n0 + np.float32(0.25))).astype(np.float32)
+
+
+def steps(keys: np.ndarray, counts: np.ndarray, left_out: int) -> np.ndarray:
+    """Along each code's path its stretched probabilities of a 1, in `STEPS`; `left_out` of the code's own count does not count."""
+    other = counts[:, 1:].astype(np.float32)
+    own = np.empty_like(other)
+    own[:, 7] = np.maximum(counts[:, 0].astype(np.int64) - left_out, 0)
+    for bit in range(6, -1, -1):
+        own[:, bit] = own[:, bit + 1] + other[:, bit + 1]
+    x = np.clip(np.rint(stretched(other, own) * STEPS), -127, 127).astype(np.int8)
+    one = np.unpackbits((keys & U(0xFF)).astype(np.uint8)[:, None], axis=1)
+    return np.where(one == 1, x, -x)
+
+
+class Known:
+    """A chunk's answers: the steps of each context's codes."""
+
+    def __init__(self, bodies: list[bytes], left_out: int):
+        found: list[list] = [[] for _ in range(CONTEXTS)]
+        for body in bodies:
+            for c, (keys, counts) in enumerate(unpacked(body)):
+                found[c].append((keys, steps(keys, counts, left_out)))
+        self.keys, self.steps = [], []
+        for c in range(CONTEXTS):
+            keys = np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in found[c]]])
+            order = np.argsort(keys)
+            self.keys.append(keys[order])
+            self.steps.append(np.concatenate([np.zeros((0, 8), np.int8), *[x for _, x in found[c]]])[order])
+            found[c] = []
+
+    def __call__(self, c: int, wanted: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys[c], wanted)
+        if len(wanted) and (len(self.keys[c]) == 0 or int(at.max()) >= len(self.keys[c]) or (self.keys[c][at] != wanted).any()):
+            raise ValueError("a code was not asked for")
+        return self.steps[c][at]
+
+
+class Whole:
+    """The steps of any codes from counts that lie here as a whole."""
+
+    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
+        self.counts = counts
+
+    def __call__(self, c: int, wanted: np.ndarray) -> np.ndarray:
+        have, n = self.counts[c]
+        keys, n = summed(np.concatenate([have, wanted]), np.concatenate([n, np.zeros(len(wanted), np.int64)]))
+        return steps(keys, paths(keys, n), 0)[np.searchsorted(keys, wanted)]
+
+
+def inputs(keys: np.ndarray, prefix: np.ndarray, find: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[np.ndarray, np.ndarray | None]]:
+    """For each context the steps by decision of its distinct codes, and each event's code; events in the order of `combinations`."""
+    out = []
+    for c, at in enumerate([*groups(keys), None]):
+        k, p = (keys, prefix) if at is None else (keys[at], prefix[at])
+        part = None
+        if at is not None:
+            part = np.zeros(len(keys), np.int32)
+            part[at[1:]] = 1
+            np.cumsum(part, out=part)
+        out.append((np.ascontiguousarray(find(c, codes(c, k, p)).T), part))
+    return out
+
+
+CENTRE = np.tile((1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2) / 2.0))).astype(np.float32), (256, 1))
 
 
 class Mixer:
-    """Gated weights and the refining table."""
+    """Gated weights and the refining table, and from how many bytes each was learned."""
 
     def __init__(self):
         self.weights = np.full((GATES, 8, CONTEXTS + 1), 0.3, np.float32)
         self.weights[..., -1] = 0
-        centre = 1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2) / 2.0))
-        self.refined = np.tile(centre.astype(np.float32), (256, 1))
-
-    def learn(self, counts: np.ndarray, bits: tuple[int, ...], stream: np.ndarray) -> None:
-        """One online pass over (lanes, bytes): all lanes are one step, each event's own count left out."""
-        lanes, n = stream.shape
-        table = table_starts(bits)
-        flat = np.concatenate([np.full((lanes, PAD), END, np.uint8), stream], 1)
-        keys = sixes(flat.reshape(-1)).reshape(lanes, -1)[:, PAD:]
-        words = prefixes(flat.reshape(-1)).reshape(lanes, -1)[:, PAD:]
-        for t in range(n):
-            k = keys[:, t]
-            live = stream[:, t] != 0
-            if not live.any():
-                break
-            k = k[live]
-            symbol, contexts = k & U(0xFF), [context_hash(c, k, words[:, t][live]) for c in range(CONTEXTS)]
-            for bit in range(8):
-                node, one = nodes(symbol, bit)
-                s = []
-                for c, h in enumerate(contexts):
-                    pair = counts[slots(h, node, bits[c]) + table[c]].astype(np.float64)
-                    pair[np.arange(len(k)), one] = np.maximum(pair[np.arange(len(k)), one] - 1, 0)
-                    s.append(stretched(pair[:, 0], pair[:, 1]))
-                x = np.stack([*s, np.ones(len(k), np.float32)], 1)
-                known = gate(s[4], s[5])
-                w = self.weights[known, bit]
-                z = np.clip((w * x).sum(1), -12, 12)
-                p = 1 / (1 + np.exp(-z))
-                err = (one - p).astype(np.float32)
-                np.add.at(self.weights, (known, bit), RATE / math.sqrt(1 + t / 64) * err[:, None] * np.clip(x, -8, 8) / math.sqrt(max(1, len(k) / 8)))
-                at = bucket(z)
-                np.add.at(self.refined, (node.astype(np.int64), at), 0.02 * (one - self.refined[node.astype(np.int64), at]) / math.sqrt(max(1, len(k) / 8)))
-                np.clip(self.refined, 0.0005, 0.9995, out=self.refined)
+        self.mass = np.zeros((GATES, 8))
+        self.ones, self.seen = np.zeros(256 * BUCKETS), np.zeros(256 * BUCKETS)
+        self.taken = 0
+
+    @property
+    def refined(self) -> np.ndarray:
+        return np.clip((CENTRE.reshape(-1) * REFINED_PRIOR + self.ones) / (REFINED_PRIOR + self.seen), 0.0005, 0.9995).astype(np.float32).reshape(CENTRE.shape)
+
+    def learn(self, keys: np.ndarray, prefix: np.ndarray, times: np.ndarray, find: Callable[[int, np.ndarray], np.ndarray]) -> None:
+        """One online pass over distinct events, each weighing as often as it occurs; `find` leaves an event's own count out."""
+        if not len(keys):
+            return
+        xs = inputs(keys, prefix, find)
+        order = np.random.default_rng(7).permutation(len(keys))
+        which, gates = np.arange(8)[:, None], np.arange(GATES)[None, :, None]
+        for lo in range(0, len(order), BATCH):
+            at = order[lo : lo + BATCH]
+            t = times[at].astype(np.float32)
+            x = np.ones((8, len(at), CONTEXTS + 1), np.float32)
+            for c, (step, part) in enumerate(xs):
+                x[:, :, c] = step[:, at if part is None else part[at]]
+            x[:, :, :CONTEXTS] *= np.float32(1 / STEPS)
+            known = gate(x[:, :, 4], x[:, :, 5])
+            z = np.clip((self.weights[known, which] * x).sum(-1), -12, 12)
+            symbol = keys[at] & U(0xFF)
+            both = [nodes(symbol, bit) for bit in range(8)]
+            node, one = np.stack([n for n, _ in both]).astype(np.int64), np.stack([o for _, o in both])
+            spot = (node * BUCKETS + bucket(z)).reshape(-1)
+            weight = np.tile(t, 8)
+            self.seen += np.bincount(spot, weight, len(self.seen))
+            self.ones += np.bincount(spot, weight * one.reshape(-1), len(self.ones))
+            own = (known[:, None, :] == gates).astype(np.float32) * t
+            mass = own.sum(-1)
+            slope = own @ ((one - 1 / (1 + np.exp(-z)))[:, :, None].astype(np.float32) * np.clip(x, -8, 8))
+            self.weights += (RATE / math.sqrt(1 + self.taken / 16) * slope / np.maximum(mass, 1)[:, :, None]).transpose(1, 0, 2)
+            self.mass += mass.T
+            self.taken += 1
+
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        """What is added up over chunks: weights by their bytes, then the refining table."""
+        by = np.repeat(self.mass.reshape(-1), CONTEXTS + 1)
+        return np.concatenate([self.weights.reshape(-1) * by, self.ones]), np.concatenate([by, self.seen])
+
+    def put(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Take sums over chunks; weights that nothing was learned for stay."""
+        n = self.weights.size
+        self.weights = np.where(b[:n] > 0, a[:n] / np.maximum(b[:n], 1e-9), self.weights.reshape(-1)).astype(np.float32).reshape(self.weights.shape)
+        self.ones, self.seen = a[n:], b[n:]
 
 
 def sure(s: np.ndarray) -> np.ndarray:
@@ -330,21 +514,13 @@ def log2_probability(keys: np.ndarray, prefix: np.ndarray, model: dict) -> np.nd
     """log2 of the probability of each event's byte after what stands before it; events in the order of `combinations`."""
     if not len(keys):
         return np.zeros(0)
-    starts, symbol, own = table_starts(model["bits"]), keys & U(0xFF), []
-    for c, at in enumerate([*groups(keys), None]):
-        k, p = (keys, prefix) if at is None else (keys[at], prefix[at])
-        part = None
-        if at is not None:
-            part = np.zeros(len(keys), np.int32)
-            part[at[1:]] = 1
-            np.cumsum(part, out=part)
-        own.append((context_hash(c, k, p), k & U(0xFF), part))
+    symbol, own = keys & U(0xFF), inputs(keys, prefix, model["find"])
     chance, flat = np.ones(len(keys)), model["refined"].reshape(-1)
     for bit in range(8):
         node, one = nodes(symbol, bit)
         xs, known = [], []
-        for c, (h, sym, part) in enumerate(own):
-            x = model["stretch"][slots(h, nodes(sym, bit)[0], model["bits"][c]) + starts[c]] * np.float32(1 / STEPS)
+        for c, (step, part) in enumerate(own):
+            x = step[bit] * np.float32(1 / STEPS)
             if c > 3:
                 g = sure(x)
                 known.append(g if part is None else g[part])
@@ -360,16 +536,42 @@ def log2_probability(keys: np.ndarray, prefix: np.ndarray, model: dict) -> np.nd
     return np.log2(chance)
 
 
-STEPS = 8
+def packed_model(counts: list[tuple[np.ndarray, np.ndarray]], bits: tuple[int, ...], mixer: Mixer) -> dict:
+    """What scoring needs where the counts lie here as a whole."""
+    return {"find": Whole(counts), "weights": mixer.weights, "refined": mixer.refined}
+
+
+LEARNED = "slot int, a double, b double"
 
 
-def packed_model(counts: np.ndarray, bits: tuple[int, ...], mixer: Mixer) -> dict:
-    """What scoring needs: a byte a slot, the weights and the refining table: of fixed size."""
-    stretch = np.empty(len(counts), np.int8)
-    for i in range(0, len(counts), 1 << 20):
-        part = counts[i : i + (1 << 20)].astype(np.float64)
-        stretch[i : i + (1 << 20)] = np.clip(np.rint(stretched(part[:, 0], part[:, 1]) * STEPS), -127, 127)
-    return {"bits": bits, "stretch": stretch, "weights": mixer.weights, "refined": mixer.refined}
+def learned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a chunk: first its answers (kind 1), then its training texts (kind 2) -> each chunk's sums of a mixer."""
+
+    def out(mixer: Mixer) -> pa.RecordBatch:
+        a, b = mixer.sums()
+        at = np.flatnonzero(b)
+        return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(a[at]), pa.array(b[at])], ["slot", "a", "b"])
+
+    last, bodies, find, mixer = None, [], None, None
+    for batch in rows:
+        chunks, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
+        data, offsets = _text.raw(batch.column("text"))
+        for lo, hi in runs(chunks * 4 + kinds):
+            if chunks[lo] != last:
+                if mixer is not None:
+                    yield out(mixer)
+                last, bodies, find, mixer = chunks[lo], [], None, None
+            if kinds[lo] == 1:
+                bodies += batch.column("body").slice(lo, hi - lo).to_pylist()
+                continue
+            if find is None:
+                find, bodies, mixer = Known(bodies, 1), [], Mixer()
+            for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
+                a, b = a + lo, b + lo
+                stream, _, mask = normal_form(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                mixer.learn(*combinations(stream, mask)[:3], find)
+    if mixer is not None:
+        yield out(mixer)
 
 
 class Lookup:
@@ -400,23 +602,27 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def scored(model, total: int, vocabulary: int, ends: int):
-    """Rows of a chunk: first its words' counts (kind 0), then its texts (kind 1) -> scores. `model` is a broadcast."""
+    """Rows of a chunk: first its words' counts (kind 0) and answers (kind 1), then its texts (kind 2) -> scores. `model` is a broadcast."""
     scale = math.log10(total + 0.5 * (vocabulary + 1))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        last, keys, values, look = None, [], [], None
+        m = None
+        last, keys, values, bodies, look = None, [], [], [], None
         for batch in rows:
             chunks, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
             data, offsets = _text.raw(batch.column("text"))
-            for lo, hi in runs(chunks * 2 + kinds):
+            for lo, hi in runs(chunks * 4 + kinds):
                 if chunks[lo] != last:
-                    last, keys, values, look = chunks[lo], [], [], None
+                    last, keys, values, bodies, look = chunks[lo], [], [], [], None
                 if kinds[lo] == 0:
                     keys.append(batch.column("key").slice(lo, hi - lo).to_numpy().view(np.uint64))
                     values.append(batch.column("c").slice(lo, hi - lo).to_numpy())
                     continue
+                if kinds[lo] == 1:
+                    bodies += batch.column("body").slice(lo, hi - lo).to_pylist()
+                    continue
                 if look is None:
+                    m, bodies = {**model.value, "find": Known(bodies, 0)}, []
                     look = Lookup(np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(values or [np.zeros(0, np.int64)]))
                 for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
                     a, b = a + lo, b + lo
@@ -446,21 +652,8 @@ def scored(model, total: int, vocabulary: int, ends: int):
     return run
 
 
-def sample_windows(docs: DataFrame, rows: int, length: int) -> np.ndarray:
-    """Windows of training texts, one from each of `rows` hash buckets, 0 after a text's end."""
-    h = F.xxhash64(F.col("doc_id"), F.lit("mixing"))
-    start = F.pmod(h, F.greatest(F.length("text") - length, F.lit(0)) + 1) + 1
-    plain = F.trim(F.regexp_replace(F.substr("text", start.cast("int"), F.lit(length)), r"[\x20\x09-\x0D]+", " "))
-    found = docs.where("training").groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(rows)).alias("bucket")).agg(F.min(F.struct(h.alias("h"), plain.alias("w"))).alias("least"))
-    out = np.zeros((rows, length), np.uint8)
-    for i, w in enumerate(sorted(r["w"] or "" for r in found.select("least.w").collect())):
-        b = np.frombuffer(w.encode()[:length], np.uint8)
-        out[i, : len(b)] = _text.LOWER[b]
-    return out
-
-
-def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = TABLE_BITS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Base and model scores of every row of (doc_id, text), learned from those where `held_out` is false."""
+def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = (), chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Base and model scores of every row of (doc_id, text), learned from those where `held_out` is false. Counts are keyed, so `bits` bounds nothing."""
     spark = docs.sparkSession
     chunks = max(1, -(-docs.count() // chunk_rows))
     tasks = max(1, -(-chunks // CHUNKS_A_TASK))
@@ -471,12 +664,25 @@ def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = TABLE_BITS,
         (~held_out).alias("training"),
         F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk"),
     )
-    raw = written(rows.select("chunk", "text", "training").repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(gathered(bits), GATHERED), "lm-gathered")
-
-    counts = _tables.total_table(raw.where("piece is not null"), 2 * int(table_starts(bits)[-1]), tasks).reshape(-1, 2)
+    raw = written(rows.select("chunk", "text", "training").repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(gathered(chunks), GATHERED), "lm-gathered")
+    asks = raw.where("piece is not null").select("piece", "chunk", "body")
+    known = written(asks.repartition(chunks, "piece").sortWithinPartitions("piece").mapInArrow(answered, "chunk long, body binary"), "lm-known")
+
+    def null(kind: str) -> Column:
+        return F.lit(None).cast(kind)
+
+    bodies = known.select("chunk", F.lit(1).alias("kind"), "body", null("long").alias("doc_id"), null("string").alias("text"))
+    sampled = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(max(1, chunks * chunk_rows // 256))) == 0
+    taught = rows.where("training").where(sampled).select("chunk", F.lit(2).alias("kind"), null("binary").alias("body"), "doc_id", "text")
+    # in a fixed order, so that learning gives the same weights each time
+    parts = bodies.unionByName(taught).repartition(tasks, "chunk").sortWithinPartitions("chunk", "kind", "doc_id", F.xxhash64("text")).mapInArrow(learned, LEARNED)
     mixer = Mixer()
-    mixer.learn(counts, bits, sample_windows(rows, SAMPLE, SAMPLE_BYTES))
-    model = spark.sparkContext.broadcast(packed_model(counts, bits, mixer))
+    a, b = mixer.sums()
+    a[:], b[:] = 0, 0
+    for r in parts.groupBy("slot").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():  # as many as a mixer has slots
+        a[r["slot"]], b[r["slot"]] = r["a"], r["b"]
+    mixer.put(a, b)
+    model = spark.sparkContext.broadcast({"weights": mixer.weights, "refined": mixer.refined})
 
     words = raw.where("key is not null").select("chunk", "key", "n")
     answers = written(
@@ -486,10 +692,12 @@ def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = TABLE_BITS,
     tokens, distinct_words = answers.agg(F.sum("n"), F.count_if(F.col("first") & (F.col("c") > 0))).first()
     ends = raw.agg(F.sum("docs")).first()[0] or 0
     total, vocabulary = int(tokens or 0) + int(ends), int(distinct_words or 0) + (1 if ends else 0)
+    dropped(raw)
 
-    asked = answers.select("chunk", F.lit(0).alias("kind"), "key", "c", F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"))
-    texts = rows.select("chunk", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("c"), "doc_id", "held_out", "text")
-    both = asked.unionByName(texts).repartition(tasks, "chunk").sortWithinPartitions("chunk", "kind")
+    asked = answers.select("chunk", F.lit(0).alias("kind"), "key", "c", null("binary").alias("body"), null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
+    found = known.select("chunk", F.lit(1).alias("kind"), null("long").alias("key"), null("long").alias("c"), "body", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
+    texts = rows.select("chunk", F.lit(2).alias("kind"), null("long").alias("key"), null("long").alias("c"), null("binary").alias("body"), "doc_id", "held_out", "text")
+    both = asked.unionByName(found).unionByName(texts).repartition(tasks, "chunk").sortWithinPartitions("chunk", "kind")
     return both.mapInArrow(scored(model, total, vocabulary, int(ends)), SCORED)
 
 
