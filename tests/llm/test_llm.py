@@ -376,6 +376,20 @@ def test_lm_chunks_get_the_counts_of_the_whole_corpus():
     assert set(whole) <= seen
 
 
+def test_lm_weights_learn_from_all_training_texts(spark, monkeypatch):
+    rows = [(i, f"text {i} of many " * (1 + i % 90)) for i in range(700)]
+    taken = []
+    put = lm_scoring.Mixer.put
+    monkeypatch.setattr(lm_scoring.Mixer, "put", lambda self, a, b: (taken.append(b), put(self, a, b))[1])
+    held = F.col("doc_id") % 5 == 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert lm_scoring.score(docs, held, chunk_rows=128).count() == 700
+    all_bytes = sum(len(t.strip()) + 1 for i, t in rows if i % 5 != 1)
+    weights = lm_scoring.Mixer().weights.size
+    assert taken[0][:weights].sum() == all_bytes * 8 * (lm_scoring.CONTEXTS + 1)
+    assert taken[0][weights:].sum() == all_bytes * 8
+
+
 def test_lm_normal_form():
     texts = ["  A  b\t\tC ", "", None, "x", " \n "]
     stream, lengths, mask = lm_scoring.normal_form(*_text.raw(pa.array(texts)))

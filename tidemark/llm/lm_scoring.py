@@ -12,7 +12,7 @@ probability and the partial byte refines the result.
   56 bits of hash. They grow with the input and lie in buckets of keys, which
   no machine holds together. A chunk of documents asks each bucket for its own
   distinct keys and gets back the counts along the paths of their bytes.
-- Weights and the refining table are learned from some 256 training texts: each
+- Weights and the refining table are learned from all training texts: each
   chunk learns online over its own, each event's own count left out, and the
   chunks' weights are averaged by the bytes they were learned from.
 - For scoring the model is fixed, so a byte's probability depends only on it,
@@ -672,8 +672,7 @@ def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = (), chunk_r
         return F.lit(None).cast(kind)
 
     bodies = known.select("chunk", F.lit(1).alias("kind"), "body", null("long").alias("doc_id"), null("string").alias("text"))
-    sampled = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(max(1, chunks * chunk_rows // 256))) == 0
-    taught = rows.where("training").where(sampled).select("chunk", F.lit(2).alias("kind"), null("binary").alias("body"), "doc_id", "text")
+    taught = rows.where("training").select("chunk", F.lit(2).alias("kind"), null("binary").alias("body"), "doc_id", "text")
     # in a fixed order, so that learning gives the same weights each time
     parts = bodies.unionByName(taught).repartition(tasks, "chunk").sortWithinPartitions("chunk", "kind", "doc_id", F.xxhash64("text")).mapInArrow(learned, LEARNED)
     mixer = Mixer()
