@@ -29,6 +29,7 @@ scored each. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Callable, Iterator
 
@@ -43,11 +44,11 @@ from tidemark.sources.tables import table
 
 CHUNK_ROWS = 8192
 CHUNKS_A_TASK = 2
-SLICE = 2 << 20
+SLICE = 1 << 20
 END = 0xFF  # no byte of UTF-8
 PAD = 6
 CONTEXTS = 6  # the last 1..5 bytes, and the word so far
-MOST_WAITING = 6_000_000  # keys of one context that wait before they are added up
+MOST_WAITING = 1_500_000  # keys of one context that wait before they are added up
 BATCH = 2048  # distinct events a step of learning
 RATE, REFINED_PRIOR = 0.3, 16
 GATES, BUCKETS = 16, 33
@@ -191,7 +192,7 @@ class Counts:
         for c, at in enumerate([*groups(keys), None]):
             k, p, n = (keys, prefix, times) if at is None else (keys[at], prefix[at], np.add.reduceat(times, at))
             self.waiting[c].append((codes(c, k, p), n.astype(np.int64)))
-            if sum(len(w) for w, _ in self.waiting[c]) > MOST_WAITING:
+            if sum(len(w) for w, _ in self.waiting[c][1:]) > MOST_WAITING:
                 self.waiting[c] = [self.total(c)]
 
     def total(self, c: int) -> tuple[np.ndarray, np.ndarray]:
@@ -257,10 +258,12 @@ def unpacked(body: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
 def dealt_asks(counts: Counts, buckets: int) -> Iterator[tuple[int, bytes]]:
     """A chunk's codes and counts by bucket: all codes of a context's key are in one."""
     cut = []
-    for c, (keys, n) in enumerate(counts.n):
+    for c in range(CONTEXTS):
+        keys, n = counts.total(c)
+        counts.waiting[c] = []
         at = (((_text.mix((keys >> U(8)) * _HASH[c]) >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
         order = np.argsort(at, kind="stable")
-        cut.append((keys[order], n[order], np.searchsorted(at[order], np.arange(buckets + 1))))
+        cut.append((keys[order], n[order].astype(np.uint32), np.searchsorted(at[order], np.arange(buckets + 1))))
     for b in range(buckets):
         part = [(keys[s[b] : s[b + 1]], n[s[b] : s[b + 1]]) for keys, n, s in cut]
         if any(len(k) for k, _ in part):
@@ -359,7 +362,7 @@ def gathered(buckets: int):
                     stream, lengths, mask = normal_form(part, own)
                     six, prefix, _, event = combinations(stream, mask)
                     counts.add(six, prefix, np.bincount(event[np.repeat(training[a:b], lengths + 1)], minlength=len(six)))
-                    if len(counts) > MOST_WAITING:  # what is asked twice is answered twice
+                    if len(counts) > 4 * MOST_WAITING:  # what is asked twice is answered twice
                         yield from asks(last)
         if last is not None:
             yield flush(last)
@@ -652,6 +655,12 @@ def scored(model, total: int, vocabulary: int, ends: int):
     return run
 
 
+def freed(spark) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more, texts among them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = (), chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Base and model scores of every row of (doc_id, text), learned from those where `held_out` is false. Counts are keyed, so `bits` bounds nothing."""
     spark = docs.sparkSession
@@ -668,6 +677,17 @@ def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = (), chunk_r
     asks = raw.where("piece is not null").select("piece", "chunk", "body")
     known = written(asks.repartition(chunks, "piece").sortWithinPartitions("piece").mapInArrow(answered, "chunk long, body binary"), "lm-known")
 
+    words = raw.where("key is not null").select("chunk", "key", "n")
+    answers = written(
+        words.withColumn("c", F.sum("n").over(Window.partitionBy("key"))).withColumn("first", F.row_number().over(Window.partitionBy("key").orderBy("chunk", "n")) == 1),
+        "lm-answers",
+    )
+    tokens, distinct_words = answers.agg(F.sum("n"), F.count_if(F.col("first") & (F.col("c") > 0))).first()
+    ends = raw.agg(F.sum("docs")).first()[0] or 0
+    total, vocabulary = int(tokens or 0) + int(ends), int(distinct_words or 0) + (1 if ends else 0)
+    dropped(raw)
+    freed(spark)
+
     def null(kind: str) -> Column:
         return F.lit(None).cast(kind)
 
@@ -680,19 +700,11 @@ def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = (), chunk_r
     a[:], b[:] = 0, 0
     for r in parts.groupBy("slot").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():  # as many as a mixer has slots
         a[r["slot"]], b[r["slot"]] = r["a"], r["b"]
+    del parts, taught
+    freed(spark)
     mixer.put(a, b)
     model = spark.sparkContext.broadcast({"weights": mixer.weights, "refined": mixer.refined})
 
-    words = raw.where("key is not null").select("chunk", "key", "n")
-    answers = written(
-        words.withColumn("c", F.sum("n").over(Window.partitionBy("key"))).withColumn("first", F.row_number().over(Window.partitionBy("key").orderBy("chunk", "n")) == 1),
-        "lm-answers",
-    )
-    tokens, distinct_words = answers.agg(F.sum("n"), F.count_if(F.col("first") & (F.col("c") > 0))).first()
-    ends = raw.agg(F.sum("docs")).first()[0] or 0
-    total, vocabulary = int(tokens or 0) + int(ends), int(distinct_words or 0) + (1 if ends else 0)
-    dropped(raw)
-
     asked = answers.select("chunk", F.lit(0).alias("kind"), "key", "c", null("binary").alias("body"), null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
     found = known.select("chunk", F.lit(1).alias("kind"), null("long").alias("key"), null("long").alias("c"), "body", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
     texts = rows.select("chunk", F.lit(2).alias("kind"), null("long").alias("key"), null("long").alias("c"), null("binary").alias("body"), "doc_id", "held_out", "text")
