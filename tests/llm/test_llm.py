@@ -308,94 +308,146 @@ def test_license_scan_finds_whole_notices(spark):
 # LM scoring
 
 
+def is_held(i):
+    return i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+
+
+def held_out():
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0)) == 1
+
+
 def test_lm_base_score_and_counts(spark, odd, none):
     rows = [(i, t) for i, t, *_ in odd_documents()] + [(100 + i, f"The cat number {i % 7} sat on the mat and saw word{i}") for i in range(60)]
-    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("chunk", F.lit("x"))
-    got = lm_scoring.score(docs, F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5, F.lit(0)) == 1, bits=(12, 12, 12, 12, 12, 14), chunk_rows=16).collect()
+    got = lm_scoring.score(docs, held_out(), chunk_rows=16, part_rows=50).collect()
     assert len(got) == len(rows)
     count = Counter()
     for i, t in rows:
-        if not held(i):
+        if not is_held(i):
             count.update([*WORD.findall(lower(t or "")), None])
     n, v = sum(count.values()), len(count)
     want = Counter()
     for i, t in rows:
         tokens = [*WORD.findall(lower(t or "")), None]
         base = sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in tokens)
-        want[(i, held(i), len(tokens), sum(count[w] > 0 for w in tokens), n, round(base, 6))] += 1
-    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == want
-    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
-    assert lm_scoring.score(none, F.lit(False), bits=(12,) * 6).count() == 0
+        want[(i, is_held(i), len(tokens), sum(count[w] > 0 for w in tokens), n, round(base, 6), sum(len(w.encode()) + 1 for w in tokens if w) + 1)] += 1
+    assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), r.n_bytes) for r in got) == want
+    assert all(r.score < 0 and math.isclose(r.bits_per_byte, -r.score / math.log10(2) / r.n_bytes) for r in got)
+    assert lm_scoring.score(none, F.lit(False)).count() == 0
+
+
+def plain_units(words):
+    """The units of a text: heads as (bytes before, bytes), words as bytes with their space."""
+    before = b""
+    for w in words:
+        yield before[-lm_scoring.BACK :], (w + b" ")[: lm_scoring.HEAD]
+        if len(w) >= lm_scoring.HEAD:
+            yield None, w + b" "
+        before = w
+    yield before[-lm_scoring.BACK :], b"\xff"
+
+
+def plain_events(before, body):
+    """(contexts, byte) of every coded byte of a unit."""
+    if before is not None:
+        for j, byte in enumerate(body):
+            yield [("h", j, before[len(before) - min(c, len(before)) :].rjust(c, b"\0"), body[:j]) for c in range(5)], byte
+        return
+    for j in range(lm_scoring.HEAD, len(body)):
+        padded = b"\0\0" + body
+        yield [*[("t", k, padded[j + 2 - k : j + 2]) for k in (2, 3, 4, 5)], ("w", body[:j])], body[j]
+
+
+def plain_probability(contexts, byte, counts, mixer):
+    """One byte's probability, decision by decision."""
+    p = 1.0
+    for bit in range(8):
+        same = [[n for b, n in counts.get((k, c), {}).items() for _ in [0] if b >> (8 - bit) == byte >> (8 - bit) and (b >> (7 - bit)) & 1 == side] for k, c in enumerate(contexts) for side in (0, 1)]
+        x = [max(-127, min(127, round(float(np.float32(math.log((sum(one) + 0.25) / (sum(zero) + 0.25)))) * 8))) / 8 for zero, one in zip(same[::2], same[1::2])]
+        sure = [sum(abs(v) > b for b in (0.3, 1.5, 3.5)) for v in x]
+        w = mixer.weights[16 * (contexts[4][0] == "w") + 4 * sure[4] + sure[2], bit]
+        z = max(-12.0, min(12.0, sum(float(a) * b for a, b in zip(w, [*x, 1.0]))))
+        spot = ((1 << bit) | (byte >> (8 - bit))) * lm_scoring.BUCKETS + max(-16, min(16, round(2 * z))) + 16
+        one = (1 / (1 + math.exp(-z)) + float(mixer.refined[spot])) / 2
+        p *= one if (byte >> (7 - bit)) & 1 else 1 - one
+    return p
+
+
+def test_lm_scores_equal_a_plain_mixer(spark, monkeypatch):
+    """Counts, mixing, refining and the online mixture of experts, worked out one byte and one word at a time."""
+    r = np.random.default_rng(11)
+    vocabulary = [bytes(r.choice(list(b"abcdeorst"), int(r.integers(1, 9)))).decode() for _ in range(60)] + ["é", "naïve", "x" * 40]
+    rows = [(i, " ".join(r.choice(vocabulary, int(r.integers(0, 40))))) for i in range(60)] + [(100, None), (101, "unseen words here"), (102, "A  a\tA")]
+    kept = []
+    put = lm_scoring.Mixer.put
+    monkeypatch.setattr(lm_scoring.Mixer, "put", lambda self, a, b: (put(self, a, b), kept.append(self))[0])
+    got = {x.doc_id: x.score for x in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), held_out(), chunk_rows=8, part_rows=400).collect()}
+    (mixer,) = kept
+    counts = {}
+    texts = {i: [w.encode() for w in WORD.findall(lower(t or ""))] for i, t in rows}
+    for i, words in texts.items():
+        if not is_held(i):
+            for unit in plain_units(words):
+                for contexts, byte in plain_events(*unit):
+                    for k, c in enumerate(contexts):
+                        counts.setdefault((k, c), Counter())[byte] += 1
+    for i, words in texts.items():
+        units = list(plain_units(words))
+        p = [math.prod(plain_probability(c, b, counts, mixer) for c, b in plain_events(*u)) for u in units]
+        each, at = [], 0  # of each word and the end
+        for w in [*words, None]:
+            take = 2 if w is not None and len(w) >= lm_scoring.HEAD else 1
+            each.append(math.prod(p[at : at + take]))
+            at += take
+        belief, total = [1 / len(lm_scoring.EXPERTS)] * len(lm_scoring.EXPERTS), 0.0
+        for j, (w, q) in enumerate(zip([*words, None], each)):
+            own = [(1 - e) * q + e * (words[:j].count(w) / j) if j else q for e in lm_scoring.EXPERTS]
+            mixed = sum(a * b for a, b in zip(belief, own))
+            belief = [a * b / mixed for a, b in zip(belief, own)]
+            total += math.log10(mixed)
+        assert math.isclose(got[i], total, rel_tol=1e-3), (i, got[i], total)
 
 
 def test_lm_probabilities_sum_to_one():
-    counts = lm_scoring.Counts((12,) * 6)
-    stream, lengths, mask = lm_scoring.normal_form(*_text.raw(pa.array(["the cat sat on the mat", "the dog", None])))
-    counts.add(*lm_scoring.combinations(stream, mask)[:3])
-    model = lm_scoring.packed_model(counts.n, counts.bits, lm_scoring.Mixer())
-    six, prefix, _, _ = lm_scoring.combinations(stream, mask)
-    for k, p in zip(six[:12], prefix[:12]):
-        every = (np.uint64(int(k) & ~0xFF)) | np.arange(256, dtype=np.uint64)
-        assert math.isclose((2 ** lm_scoring.log2_probability(every, np.full(256, p), model)).sum(), 1, rel_tol=1e-6)
-
-
-def test_lm_counts_are_kept_by_key():
-    texts = ["the cat sat on the mat", "the dog", None, *(f"word{i} and w{i * 7919}" for i in range(200))]
-    events = lm_scoring.combinations(*(lambda s, _, m: (s, m))(*lm_scoring.normal_form(*_text.raw(pa.array(texts)))))[:3]
-    few, many = lm_scoring.Counts((4,) * 6), lm_scoring.Counts((20,) * 6)
-    for c in (few, many):
-        c.add(*events)
-    score = [lm_scoring.log2_probability(*events[:2], lm_scoring.packed_model(c.n, c.bits, lm_scoring.Mixer())) for c in (few, many)]
-    assert np.array_equal(*score)
-
-
-def test_lm_chunks_get_the_counts_of_the_whole_corpus():
-    chunks = [["the cat sat", "a mat " * 9], ["the cat ran", None, "the dog"], ["the", "unseen"]]
-    whole, asked = Counter(), []
-    for i, texts in enumerate(chunks):
-        counts = lm_scoring.Counts()
-        stream, _, mask = lm_scoring.normal_form(*_text.raw(pa.array(texts)))
-        six, prefix, times, _ = lm_scoring.combinations(stream, mask)
-        counts.add(six, prefix, times * (i < 2))
-        for t in texts if i < 2 else []:
-            body = b"\xff" * 6 + " ".join((t or "").split()).encode() + b"\xff"
-            whole.update((c, body[j - c : j + 1]) for c in range(1, 6) for j in range(6, len(body)))
-        asked += [(b, i, body) for b, body in lm_scoring.dealt_asks(counts, 3)]
-    asked.sort()
-    rows = pa.RecordBatch.from_pydict({"piece": [a[0] for a in asked], "chunk": [a[1] for a in asked], "body": [a[2] for a in asked]})
-    seen = set()
-    for batch in lm_scoring.answered(iter([rows])):
-        for body in batch.column("body").to_pylist():
-            for c, (keys, counts) in enumerate(lm_scoring.unpacked(body)[:5], 1):
-                for k, n in zip(keys.tolist(), counts.tolist()):
-                    text = k.to_bytes(8, "big")[-c - 1 :]
-                    sides = [sum(v for (d, x), v in whole.items() if d == c and x[:-1] == text[:-1] and x[-1] >> (8 - b) == text[-1] >> (8 - b) and x[-1] >> (7 - b) != text[-1] >> (7 - b)) for b in range(8)]
-                    assert n == [whole[c, text], *sides]
-                    seen.add((c, text))
-    assert set(whole) <= seen
-
-
-def test_lm_weights_learn_from_all_training_texts(spark, monkeypatch):
+    data, offsets = _text.raw(pa.array(["the cat sat on the mat", "the dog", None]))
+    units = lm_scoring.Units()
+    units.seen(data, offsets, np.ones(3, bool))
+    every = np.concatenate([lm_scoring.IS_HEAD | (np.uint64(before) << np.uint64(24)) | (np.arange(256, dtype=np.uint64) << np.uint64(16)) for before in (0, int.from_bytes(b"the", "big"))])
+    units.add(every, np.zeros(512, np.int64), np.zeros(512, np.int64), np.zeros(0, np.uint8))
+    keys, n, lengths, body = units.total()
+    events = lm_scoring.Events(keys, n, lengths, body)
+    answers = [a for _, ask in lm_scoring.dealt_asks(events, 3) for a in lm_scoring.answers([lm_scoring.unboxed(ask)])]
+    p = 2 ** lm_scoring.Mixer().log2_probability(events, lm_scoring.inputs(events, answers, 0))
+    first = events.codes[0] >> np.uint64(56) == 0
+    for before in (0, int.from_bytes(b"the", "big")):
+        of = first & ((keys[events.owner] & ~lm_scoring.IS_HEAD) >> np.uint64(24) == before)
+        symbols, at = np.unique(events.symbol[of], return_index=True)
+        assert len(symbols) == 256 and math.isclose(p[of][at].sum(), 1, rel_tol=1e-5)
+
+
+def test_lm_learns_from_all_training_texts(spark, monkeypatch):
     rows = [(i, f"text {i} of many " * (1 + i % 90)) for i in range(700)]
     taken = []
     put = lm_scoring.Mixer.put
     monkeypatch.setattr(lm_scoring.Mixer, "put", lambda self, a, b: (taken.append(b), put(self, a, b))[1])
-    held = F.col("doc_id") % 5 == 1
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert lm_scoring.score(docs, held, chunk_rows=128).count() == 700
-    all_bytes = sum(len(t.strip()) + 1 for i, t in rows if i % 5 != 1)
+    assert lm_scoring.score(docs, F.col("doc_id") % 5 == 1, chunk_rows=128, part_rows=100).count() == 700
+    all_bytes = sum(len(t.strip()) + 2 for i, t in rows if i % 5 != 1)
     weights = lm_scoring.Mixer().weights.size
     assert taken[0][:weights].sum() == all_bytes * 8 * (lm_scoring.CONTEXTS + 1)
     assert taken[0][weights:].sum() == all_bytes * 8
 
 
-def test_lm_normal_form():
-    texts = ["  A  b\t\tC ", "", None, "x", " \n "]
-    stream, lengths, mask = lm_scoring.normal_form(*_text.raw(pa.array(texts)))
-    want = [b"a b c", b"", b"", b"x", b""]
-    assert list(lengths) == [len(w) for w in want]
-    assert stream[mask].tobytes() == b"".join(w + b"\xff" for w in want)
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_lm_beats_word_frequencies_on_held_out_texts(spark, sf):
+    got = lm_scoring.op7_lm_scoring(spark, f"/root/testdata/{sf}").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+
+
+def test_lm_boxes_round_trip():
+    r = np.random.default_rng(2)
+    arrays = [r.integers(0, 1 << 63, 100).astype(np.uint64), np.zeros(0, np.int64), r.integers(0, 255, 7).astype(np.uint8)]
+    assert all(np.array_equal(a, b) and a.dtype == b.dtype for a, b in zip(arrays, lm_scoring.unboxed(lm_scoring.boxed(*arrays)), strict=True))
 
 
 # packing

@@ -1,41 +1,50 @@
 """Language-model scores by logistic context mixing.
 
-A text is scored as its lower-cased words joined by single spaces, then an
-end symbol. Each byte is coded in eight binary decisions. For each, several
-predictors, one a context (the last 1 to 5 bytes and the word so far), look up
-their counts; a set of weights, chosen by how many contexts are known and by
-the bit, mixes their stretched probabilities; a table over the mixed
-probability and the partial byte refines the result.
-
+A text is scored as its lower-cased words, each followed by a space, then an
+end symbol. Each byte is coded in eight binary decisions. For each, five
+predictors, one a hashed context, look up how often the training texts took
+either side; gated weights mix their stretched probabilities, where the gate
+is how sure two of the contexts are; a table over the mixed probability and
+the partial byte refines the result.
+
+- Contexts of a word's first `HEAD` bytes: the bytes of the word so far, with
+  the last 0 to 4 bytes of the word before. Contexts of later bytes: the last 2
+  to 5 bytes of the word, and the whole word so far. So a text's probability is
+  made of *units*: heads (the end of a word and the first bytes of the next)
+  and whole words. Each distinct unit of the corpus is worked out once, however
+  often it stands in the texts.
 - Counts come from all training texts and are kept by key, never in slots that
-  contexts share: contexts of bytes by the bytes themselves, the word so far by
-  56 bits of hash. They grow with the input and lie in buckets of keys, which
-  no machine holds together. A chunk of documents asks each bucket for its own
-  distinct keys and gets back the counts along the paths of their bytes.
-- Weights and the refining table are learned from all training texts: each
-  chunk learns online over its own, each event's own count left out, and the
-  chunks' weights are averaged by the bytes they were learned from.
-- For scoring the model is fixed, so a byte's probability depends only on it,
-  the five bytes before it and the word so far: every distinct combination of
-  a slice of texts is worked out once.
-
-The word-frequency base score needs each token's count in the whole corpus.
-Each chunk asks for its own distinct words in the same way, so no task or
-driver holds the vocabulary.
+  contexts share. They grow with the input and lie in buckets of keys, which no
+  machine holds together: parts of the units ask the buckets for the counts of
+  their own contexts.
+- Weights and the refining table are learned online over all units of the
+  training texts, each weighing as often as it stands there and its own
+  occurrence left out of the counts. Every part learns for itself; the sums
+  over parts, weighted by bytes, are the model.
+- While a text is scored, the words it had so far refine the model: `EXPERTS`
+  give them some of the probability, and are mixed online by how well each has
+  predicted the text up to there. That mixture over a whole text is the mean of
+  the experts' probabilities of it.
+
+The word-frequency base score needs each token's count in the whole corpus,
+which comes with the units. A chunk of documents asks for its own distinct
+units, so no task or driver holds the vocabulary. Words are told apart by 63
+bits of hash.
 
 Null texts count as empty, which still have the end token. Repeated rows are
-scored each. An empty table gives an empty result.
+scored each, and rows are dealt by their place in the input, so that neither
+repeated nor null ids meet. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import gc
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
@@ -43,131 +52,35 @@ from tidemark.plans.scratch import dropped, written
 from tidemark.sources.tables import table
 
 CHUNK_ROWS = 8192
-CHUNKS_A_TASK = 2
+PART_ROWS = 150_000  # distinct units of chunks that a part collects
 SLICE = 1 << 20
+MOST_WAITING = 600_000  # units that wait before they are added up
+HEAD, BACK = 3, 4
+CONTEXTS = 5
 END = 0xFF  # no byte of UTF-8
-PAD = 6
-CONTEXTS = 6  # the last 1..5 bytes, and the word so far
-MOST_WAITING = 1_500_000  # keys of one context that wait before they are added up
-BATCH = 2048  # distinct events a step of learning
+SPACE = 0x20
+BATCH = 2048  # events a step of learning
+BLOCK = 1 << 15  # events scored at once
 RATE, REFINED_PRIOR = 0.3, 16
-GATES, BUCKETS = 16, 33
+GATES, BUCKETS = 32, 33
 STEPS = 8  # of a stretched probability
+EXPERTS = (0.0, 0.02, 0.1, 0.3)  # what the text's own words so far get of the probability
 U = np.uint64
+IS_HEAD = U(1 << 63)
 _HASH = _text.mix(np.arange(CONTEXTS, dtype=np.uint64) + U(77)) | U(1)
 
 
-def normal_form(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all rows' normal forms, each followed by `PAD` ends; each row's first place; which bytes are scored."""
-    low = _text.LOWER[data]
-    space = _text.SPACE[data]
-    keep = ~space
-    # a space that follows a word of its row and is followed by another: keep the first of each run, drop those at the row's end
-    after = np.zeros(len(data), bool)
-    after[1:] = keep[:-1]
-    begin = offsets[:-1][offsets[:-1] < offsets[1:]]
-    after[begin] = False
-    first = space & after
-    kept = keep | first
-    low = np.where(space, np.uint8(0x20), low)
-    counts = np.concatenate([[0], np.cumsum(kept)])
-    lengths = counts[offsets[1:]] - counts[offsets[:-1]]
-    body = low[kept]
-    ends = np.cumsum(lengths)
-    trailing = (lengths > 0) & (np.concatenate([body, [0]])[ends - 1] == 0x20) if len(body) else np.zeros(len(lengths), bool)
-    places = np.concatenate([[0], np.cumsum(lengths + PAD)]) + PAD
-    out = np.full(int(places[-1]), END, np.uint8)
-    out[np.arange(len(body)) + np.repeat(places[:-1] - (ends - lengths), lengths)] = body
-    cut = places[:-1] + lengths - 1
-    out[cut[trailing]] = END
-    lengths = lengths - trailing
-    scored = np.zeros(len(out), bool)
-    run = lengths + 1
-    scored[np.arange(int(run.sum())) + np.repeat(places[:-1] - np.concatenate([[0], np.cumsum(run)[:-1]]), run)] = True
-    return out, lengths, scored
-
-
-def sixes(stream: np.ndarray) -> np.ndarray:
-    """At each place its byte (lowest) and the five before it, in 48 bits."""
-    x = stream.astype(np.uint64)
-    two = x.copy()
-    two[1:] |= x[:-1] << U(8)
-    out = two.copy()
-    out[2:] |= two[:-2] << U(16)
-    out[4:] |= two[:-4] << U(32)
-    return out
-
-
-def prefixes(stream: np.ndarray) -> np.ndarray:
-    """At each place a hash of the word so far: what stands since the last space or end, without the byte itself."""
-    n = len(stream)
-    up, down = _text._power(n + 1)
-    total = np.empty(n + 1, np.uint64)
-    total[0] = 0
-    np.cumsum(_text._CODE[stream] * up[:n], out=total[1:])
-    at = np.arange(n)
-    cut = (stream == 0x20) | (stream == END)
-    since = np.zeros(n, np.int64)
-    since[1:] = np.where(cut[:-1], at[1:], 0)
-    np.maximum.accumulate(since, out=since)
-    return (total[:n] - total[since]) * down[since]
-
-
-def combinations(stream: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The distinct events at the masked places: their sixes, their prefixes, how often each, and each place's event.
-
-    A place's representative is looked up by a hash of its event; only the few
-    places whose slot another event took are sorted. Events come in the order
-    of their bytes, the latest first, so that those with equal contexts of any
-    length are neighbours.
-    """
-    six, prefix = sixes(stream)[mask], prefixes(stream)[mask]
-    joint = six * _text._SALT[40]
-    joint += prefix
-    joint ^= joint >> U(29)
-    joint *= _text._SALT[41]
-    n = len(joint)
-    bits = min(max(n.bit_length(), 10), 22)
-    slot = (joint >> U(64 - bits)).astype(np.int32)
-    holder = np.zeros(1 << bits, np.int32)
-    holder[slot] = np.arange(n, dtype=np.int32)
-    first = holder[slot]
-    lost = np.flatnonzero(joint[first] != joint)
-    if len(lost):
-        _, at, where = np.unique(joint[lost], return_index=True, return_inverse=True)
-        first[lost] = lost[at][where]
-    own = np.zeros(n, bool)
-    own[first] = True
-    found = np.flatnonzero(own)
-    order = np.argsort(six[found].byteswap())
-    place = np.empty(n, np.int32)
-    place[found[order]] = np.arange(len(found), dtype=np.int32)
-    event = place[first]
-    return six[found[order]], prefix[found[order]], np.bincount(event, minlength=len(found)), event
-
-
-def groups(keys: np.ndarray) -> list[np.ndarray]:
-    """For contexts of 1 to 5 bytes, where the runs of events with the same byte and context begin; keys in the order of `combinations`."""
-    turned = keys.byteswap()
-    return [np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1])])) if len(x) else np.zeros(0, np.int64) for x in (turned >> U(64 - 8 * (n + 1)) for n in range(1, 6))]
-
-
-def codes(c: int, keys: np.ndarray, prefix: np.ndarray) -> np.ndarray:
-    """What context c sees before the byte, and the byte itself as the lowest eight bits."""
-    if c == 5:
-        return (_text.mix(prefix * _HASH[5]) & ~U(0xFF)) | (keys & U(0xFF))
-    return keys & U((1 << (8 * (c + 2))) - 1)
-
-
-def nodes(symbol: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
-    """The partial byte before decision `bit` (0 first), with a leading 1, and the decision."""
-    return (U(1) << U(bit)) | (symbol >> U(8 - bit)), ((symbol >> U(7 - bit)) & U(1)).astype(np.int64)
-
-
 def first_of_runs(sorted_: np.ndarray) -> np.ndarray:
     return np.concatenate([[True], sorted_[1:] != sorted_[:-1]]) if len(sorted_) else np.zeros(0, bool)
 
 
+def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of equal neighbours."""
+    if len(values):
+        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+        yield from zip([0, *cuts], [*cuts, len(values)], strict=True)
+
+
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys, sorted, and the sum of each one's n."""
     if not len(keys):
@@ -178,266 +91,357 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.add.reduceat(n[order], at)
 
 
-class Counts:
-    """For each context the distinct codes, sorted, and how often each was learned. Keyed, so `bits` bounds nothing."""
+def boxed(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed bytes, each as planes of its bytes."""
+    head = np.array([len(arrays), *[x for a in arrays for x in (a.dtype.itemsize, len(a))]], np.int64).tobytes()
+    kinds = "".join(a.dtype.char for a in arrays).encode()
+    plain = head + kinds + b"".join(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T).tobytes() if len(a) else b"" for a in arrays)
+    return np.int64(len(plain)).tobytes() + pa.compress(plain, codec="zstd", asbytes=True)
+
+
+def unboxed(body: bytes) -> list[np.ndarray]:
+    plain = pa.decompress(body[8:], decompressed_size=int(np.frombuffer(body, np.int64, 1)[0]), codec="zstd", asbytes=True)
+    n = int(np.frombuffer(plain, np.int64, 1)[0])
+    shape = np.frombuffer(plain, np.int64, 2 * n, 8).reshape(n, 2)
+    at = 8 + 16 * n
+    kinds, at = plain[at : at + n].decode(), at + n
+    out = []
+    for kind, (size, length) in zip(kinds, shape.tolist(), strict=True):
+        got = np.frombuffer(plain, np.uint8, size * length, at).reshape(size, length) if length else np.zeros((size, 0), np.uint8)
+        out.append(np.ascontiguousarray(got.T).reshape(-1).view(np.dtype(kind)))
+        at += size * length
+    return out
 
-    def __init__(self, bits: tuple[int, ...] = ()):
-        self.bits = bits
-        self.waiting: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(CONTEXTS)]
 
-    def add(self, keys: np.ndarray, prefix: np.ndarray, times: np.ndarray) -> None:
-        """Events in the order of `combinations` and how often each, which may be 0."""
-        if not len(keys):
-            return
-        for c, at in enumerate([*groups(keys), None]):
-            k, p, n = (keys, prefix, times) if at is None else (keys[at], prefix[at], np.add.reduceat(times, at))
-            self.waiting[c].append((codes(c, k, p), n.astype(np.int64)))
-            if sum(len(w) for w, _ in self.waiting[c][1:]) > MOST_WAITING:
-                self.waiting[c] = [self.total(c)]
+# texts as units
 
-    def total(self, c: int) -> tuple[np.ndarray, np.ndarray]:
-        have = self.waiting[c]
-        return summed(np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in have]]), np.concatenate([np.zeros(0, np.int64), *[n for _, n in have]]))
 
-    @property
-    def n(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [self.total(c) for c in range(CONTEXTS)]
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys of all words and of all heads (a row's words, then its end), where each row's words begin, and the words as (lower-cased bytes, starts, ends)."""
+    starts, ends, bounds = _text.words(data, offsets)
+    low = _text.LOWER[data]
+    keys = _text.word_hashes(data, starts, ends) & ~IS_HEAD
+    n, rows = len(starts), len(offsets) - 1
+    length = ends - starts
+    tail, lead = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    for k in range(BACK):
+        has = length > k
+        tail[has] |= low[ends[has] - 1 - k].astype(np.uint64) << U(8 * k)
+    for k in range(HEAD):
+        has = length > k
+        byte = np.where(length == k, np.uint64(SPACE), U(0))
+        byte[has] = low[starts[has] + k]
+        lead |= byte << U(8 * (HEAD - 1 - k))
+    owner = np.repeat(np.arange(rows), np.diff(bounds))
+    place = np.arange(n) + owner
+    last = bounds[1:] + np.arange(rows)
+    heads = np.empty(n + rows, np.uint64)
+    heads[place], heads[last] = lead, U(END << (8 * (HEAD - 1)))
+    before = np.zeros(n + rows, np.uint64)
+    before[place + 1] = tail  # of a row's last word: before its end
+    heads |= before << U(8 * HEAD)
+    return keys, heads | IS_HEAD, bounds, (low, starts, ends)
+
+
+def gathered_bytes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The bytes of all ranges, one after the other."""
+    at = np.cumsum(lengths) - lengths
+    return data[np.arange(int(lengths.sum())) + np.repeat(starts - at, lengths)]
+
+
+class Units:
+    """Distinct keys, how often training texts have each, and the words' bytes."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
     def __len__(self) -> int:
-        return max(sum(len(w) for w, _ in have) for have in self.waiting)
+        return sum(len(p[0]) for p in self.parts)
+
+    def add(self, keys: np.ndarray, n: np.ndarray, lengths: np.ndarray, data: np.ndarray) -> None:
+        """Keys in any order; heads have length 0."""
+        self.parts.append((keys, n, lengths, data))
+        if len(self.parts) > 1 and len(self) - len(self.parts[0][0]) > MOST_WAITING:
+            self.parts = [self.total()]
+
+    def seen(self, data: np.ndarray, offsets: np.ndarray, training: np.ndarray) -> None:
+        """All units of some rows."""
+        keys, heads, bounds, (low, starts, ends) = tokens(data, offsets)
+        words = np.diff(bounds)
+        for k, times, is_word in ((keys, np.repeat(training, words), True), (heads, np.repeat(training, words + 1), False)):
+            if not len(k):
+                continue
+            order = np.argsort(k)
+            run = np.flatnonzero(first_of_runs(k[order]))
+            n = np.add.reduceat(times[order].astype(np.int64), run)
+            at = order[run]
+            if is_word:
+                lengths = ends[at] - starts[at]
+                self.add(k[at], n, lengths, gathered_bytes(low, starts[at], lengths))
+            else:
+                self.add(k[at], n, np.zeros(len(at), np.int64), np.zeros(0, np.uint8))
+
+    def total(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted keys, n, lengths and bytes."""
+        if not self.parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        keys, n, lengths, data = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        starts = np.cumsum(lengths) - lengths
+        order = np.argsort(keys, kind="stable")
+        run = np.flatnonzero(first_of_runs(keys[order]))
+        at = order[run]
+        return keys[at], np.add.reduceat(n[order], run), lengths[at], gathered_bytes(data, starts[at], lengths[at])
+
+
+GATHERED = "chunk long, key long, n long, word binary, docs long"
+
+
+def gathered(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (chunk, text, training), a chunk's together -> each chunk's distinct units and their training counts; then the training documents."""
+    units, last, docs = Units(), None, 0
+
+    def flush() -> pa.RecordBatch:
+        nonlocal units
+        keys, n, lengths, data = units.total()
+        units = Units()
+        at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+        word = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(keys), [None, pa.py_buffer(at), pa.py_buffer(data)]).cast(pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), last, np.int64)), pa.array(keys.view(np.int64)), pa.array(n), word, pa.nulls(len(keys), pa.int64())], ["chunk", "key", "n", "word", "docs"])
+
+    for batch in rows:
+        data, offsets = _text.raw(batch.column("text"))
+        chunks, training = batch.column("chunk").to_numpy(), np.asarray(batch.column("training"))
+        docs += int(training.sum())
+        for lo, hi in runs(chunks):
+            if last is not None and last != chunks[lo]:
+                yield flush()
+            last = int(chunks[lo])
+            for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
+                a, b = a + lo, b + lo
+                units.seen(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], training[a:b])
+                if len(units) > 4 * MOST_WAITING:  # what is asked twice is answered once
+                    yield flush()
+    if last is not None:
+        yield flush()
+    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([docs], pa.int64())], ["chunk", "key", "n", "word", "docs"])
+
+
+# units as events
+
+
+class Events:
+    """The coded bytes of units: what each context sees, with the byte as the lowest eight bits; how often; of which unit."""
+
+    def __init__(self, keys: np.ndarray, n: np.ndarray, lengths: np.ndarray, data: np.ndarray):
+        codes: list[list[np.ndarray]] = [[] for _ in range(CONTEXTS)]
+        owner, times = [], []
+        at = np.flatnonzero(keys >= IS_HEAD)
+        lead, back = keys[at] & U((1 << 8 * HEAD) - 1), (keys[at] & ~IS_HEAD) >> U(8 * HEAD)
+        for j in range(HEAD):
+            if j:  # unless the end or a space came before
+                was = (lead >> U(8 * (HEAD - j))) & U(0xFF)
+                on = was != U(SPACE) if j > 1 else was != U(END)
+                at, lead, back = at[on], lead[on], back[on]
+            so_far = lead >> U(8 * (HEAD - j))
+            symbol = (lead >> U(8 * (HEAD - 1 - j))) & U(0xFF)
+            for c in range(CONTEXTS):
+                seen = (back & U((1 << 8 * c) - 1)) << U(16) | so_far
+                codes[c].append(U(j) << U(56) | seen << U(8) | symbol)
+            owner.append(at)
+            times.append(n[at])
+        long = np.flatnonzero(lengths >= HEAD)
+        if len(long):
+            size = lengths[long]
+            # two zeros, the word, a space
+            stream = np.zeros(int((size + 3).sum()), np.uint8)
+            first = np.cumsum(size + 3) - size - 1
+            stream[np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)] = gathered_bytes(data, (np.cumsum(lengths) - lengths)[long], size)
+            stream[first + size] = SPACE
+            count = size + 1 - HEAD
+            place = np.arange(int(count.sum())) + np.repeat(first + HEAD - (np.cumsum(count) - count), count)
+            x = stream.astype(np.uint64)
+            seen = x[place]
+            for k in range(1, 6):
+                seen |= x[place - k] << U(8 * k)
+                if k > 1:
+                    codes[k - 2].append(U(HEAD) << U(56) | seen)
+            up, down = _text._power(len(stream) + 1)
+            total = np.zeros(len(stream) + 1, np.uint64)
+            np.cumsum(_text._CODE[stream] * up[: len(stream)], out=total[1:])
+            begin = np.repeat(first, count)
+            so_far = _text.mix((total[place] - total[begin]) * down[begin])
+            codes[4].append(U(HEAD) << U(56) | (so_far >> U(16)) << U(8) | seen & U(0xFF))
+            owner.append(np.repeat(long, count))
+            times.append(np.repeat(n[long], count))
+        self.codes = [np.concatenate(c) for c in codes]
+        self.owner, self.times = np.concatenate(owner), np.concatenate(times)
+
+    def __len__(self) -> int:
+        return len(self.owner)
+
+    @property
+    def symbol(self) -> np.ndarray:
+        return (self.codes[0] & U(0xFF)).astype(np.uint8)
+
+    @property
+    def is_tail(self) -> np.ndarray:
+        return self.codes[0] >> U(56) == U(HEAD)
+
+
+def dealt_asks(events: Events, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """The events' distinct codes and counts by bucket: all codes of a context are in one."""
+    cut = []
+    for c in range(CONTEXTS):
+        keys, n = summed(events.codes[c], events.times)
+        at = (((_text.mix((keys >> U(8)) * _HASH[c]) >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        cut.append((keys[order], n[order], np.searchsorted(at[order], np.arange(buckets + 1))))
+    for b in range(buckets):
+        part = [(keys[s[b] : s[b + 1]], n[s[b] : s[b + 1]]) for keys, n, s in cut]
+        if any(len(k) for k, _ in part):
+            yield b, boxed(*[x for k, v in part for x in (np.diff(k, prepend=U(0)), v)])
 
 
 def paths(keys: np.ndarray, n: np.ndarray) -> np.ndarray:
     """For sorted distinct codes: the code's own count, then at each of the eight decisions the count of the side its byte does not take."""
-    out = np.zeros((len(keys), 9), np.uint32)
+    out = np.zeros((len(keys), 9), np.int64)
     if not len(keys):
         return out
     below = n
-    out[:, 0] = np.minimum(n, 0xFFFFFFFF)
+    out[:, 0] = n
     for bit in range(7, -1, -1):
         first = first_of_runs(keys >> U(8 - bit))
         total = np.add.reduceat(n, np.flatnonzero(first))[np.cumsum(first) - 1]
-        out[:, 1 + bit] = np.minimum(total - below, 0xFFFFFFFF)
+        out[:, 1 + bit] = total - below
         below = total
     return out
 
 
-def planes(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
-
-
-def packed(parts: list[tuple[np.ndarray, np.ndarray]], width: int) -> bytes:
-    """Sorted codes and `width` counts each, of all contexts."""
-    plain = np.array([width, *[len(k) for k, _ in parts]], np.uint32).tobytes()
-    for k, v in parts:
-        if len(k):
-            plain += planes(np.diff(k, prepend=U(0))) + planes(np.ascontiguousarray(v, np.uint32).reshape(len(k), width))
-    return np.uint64(len(plain)).tobytes() + pa.compress(plain, codec="zstd", asbytes=True)
-
-
-def unpacked(body: bytes) -> list[tuple[np.ndarray, np.ndarray]]:
-    plain = pa.decompress(body[8:], decompressed_size=int(np.frombuffer(body, np.uint64, 1)[0]), codec="zstd", asbytes=True)
-    width, *lengths = np.frombuffer(plain, np.uint32, 1 + CONTEXTS).tolist()
-    at, out = 4 * (1 + CONTEXTS), []
+def stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
+    return np.log((n1 + np.float32(0.25)) / (n0 + np.float32(0.25))).astype(np.float32)
 
-    def taken(n: int, size: int) -> np.ndarray:
-        nonlocal at
-        got = np.ascontiguousarray(np.frombuffer(plain, np.uint8, n * size, at).reshape(size, n).T)
-        at += n * size
-        return got
 
-    for n in lengths:
-        if not n:
-            out.append((np.zeros(0, np.uint64), np.zeros((0, width), np.uint32)))
-            continue
-        keys = np.cumsum(taken(n, 8).view(np.uint64).reshape(-1))
-        out.append((keys, taken(n, 4 * width).view(np.uint32)))
-    return out
+def steps(keys: np.ndarray, counts: np.ndarray, left_out: int) -> np.ndarray:
+    """Along each code's path its stretched probabilities of a 1, in `STEPS`; `left_out` of the code's own count does not count."""
+    other = counts[:, 1:].astype(np.float32)
+    own = np.empty_like(other)
+    own[:, 7] = np.maximum(counts[:, 0] - left_out, 0)
+    for bit in range(6, -1, -1):
+        own[:, bit] = own[:, bit + 1] + other[:, bit + 1]
+    x = np.clip(np.rint(stretched(other, own) * STEPS), -127, 127).astype(np.int8)
+    one = np.unpackbits((keys & U(0xFF)).astype(np.uint8)[:, None], axis=1)
+    return np.where(one == 1, x, -x)
 
 
-def dealt_asks(counts: Counts, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """A chunk's codes and counts by bucket: all codes of a context's key are in one."""
-    cut = []
+def answers(asked: list[list[np.ndarray]]) -> Iterator[bytes]:
+    """What parts ask of one bucket -> for each its codes with their steps, first with one occurrence left out."""
+    for_context = []
     for c in range(CONTEXTS):
-        keys, n = counts.total(c)
-        counts.waiting[c] = []
-        at = (((_text.mix((keys >> U(8)) * _HASH[c]) >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        cut.append((keys[order], n[order].astype(np.uint32), np.searchsorted(at[order], np.arange(buckets + 1))))
-    for b in range(buckets):
-        part = [(keys[s[b] : s[b + 1]], n[s[b] : s[b + 1]]) for keys, n, s in cut]
-        if any(len(k) for k, _ in part):
-            yield b, packed(part, 1)
+        keys, n = summed(np.concatenate([np.cumsum(p[2 * c]) for p in asked]), np.concatenate([p[2 * c + 1] for p in asked]))
+        counts = paths(keys, n)
+        for_context.append((keys, *[np.ascontiguousarray(steps(keys, counts, left)).view(np.int64).reshape(-1) for left in (1, 0)]))
+    for p in asked:
+        out = []
+        for c, (keys, learning, scoring) in enumerate(for_context):
+            at = np.searchsorted(keys, np.cumsum(p[2 * c]))
+            out += [p[2 * c], learning[at], scoring[at]]
+        yield boxed(*out)
 
 
 def answered(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (piece, chunk, body), ordered by piece: what chunks ask of a bucket -> (chunk, body), the counts along the paths in the whole corpus."""
-
-    def answers(asked: list[tuple[int, list]]) -> Iterator[pa.RecordBatch]:
-        known = []
-        for c in range(CONTEXTS):
-            keys, n = summed(np.concatenate([p[c][0] for _, p in asked]), np.concatenate([p[c][1][:, 0].astype(np.int64) for _, p in asked]))
-            known.append((keys, paths(keys, n)))
-        for chunk, part in asked:
-            body = packed([(k, v[np.searchsorted(keys, k)]) for (k, _), (keys, v) in zip(part, known, strict=True)], 9)
-            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([body], pa.binary())], ["chunk", "body"])
-
-    last, asked = None, []
-    for batch in rows:
-        for i, (piece, chunk) in enumerate(zip(batch.column("piece").to_pylist(), batch.column("chunk").to_pylist(), strict=True)):
-            if piece != last and asked:
-                yield from answers(asked)
-                asked = []
-            last = piece
-            asked.append((chunk, unpacked(batch.column("body")[i].as_py())))
-    if asked:
-        yield from answers(asked)
+    """Rows (bucket, part, body), ordered by bucket: what parts ask -> (part, body), the answers."""
 
+    def done(who: list[int], asked: list) -> Iterator[pa.RecordBatch]:
+        for part, body in zip(who, answers(asked), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([body], pa.binary())], ["part", "body"])
 
-def distinct(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(sorted_):
-        return sorted_, np.zeros(0, np.int64)
-    at = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
-    return sorted_[at], np.diff(np.concatenate([at, [len(sorted_)]]))
+    last, who, asked = None, [], []
+    for batch in rows:
+        for i, (bucket, part) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("part").to_pylist(), strict=True)):
+            if bucket != last and asked:
+                yield from done(who, asked)
+                who, asked = [], []
+            last = bucket
+            who.append(part)
+            asked.append(unboxed(batch.column("body")[i].as_py()))
+    if asked:
+        yield from done(who, asked)
 
 
-def runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of equal neighbours."""
-    if len(values):
-        cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
-        yield from zip([0, *cuts], [*cuts, len(values)], strict=True)
+COLLECTED = "part int, bucket int, body binary, words long, known long"
 
 
-GATHERED = "chunk long, key long, n long, piece int, body binary, docs long"
+def collected(buckets: int):
+    """Rows (part, key, n, word), ordered by part -> each part's units (bucket null), with the sum of their words and how many of them training texts have, and what it asks of buckets."""
 
+    def done(part: int, units: Units) -> Iterator[pa.RecordBatch]:
+        keys, n, lengths, data = units.total()
+        word = keys < IS_HEAD
 
-def gathered(buckets: int):
-    """Rows (chunk, text, training), ordered by chunk -> each chunk's distinct words and codes with their training counts, the codes by bucket."""
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting = Counts(), []
-        docs = 0
-
-        def asks(chunk: int) -> Iterator[pa.RecordBatch]:
-            nonlocal counts
-            for piece, body in dealt_asks(counts, buckets):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([piece], pa.int32()), pa.array([body], pa.binary()), pa.nulls(1, pa.int64())],
-                    ["chunk", "key", "n", "piece", "body", "docs"],
-                )
-            counts = Counts()
-
-        def flush(chunk: int) -> pa.RecordBatch:
-            known = np.concatenate([w for w, t in waiting if t] or [np.zeros(0, np.uint64)])
-            keys, n = distinct(np.sort(known))
-            other = np.concatenate([w for w, t in waiting if not t] or [np.zeros(0, np.uint64)])
-            other = np.setdiff1d(other, keys)
-            waiting.clear()
-            k = np.concatenate([keys, other]).view(np.int64)
+        def row(bucket: int | None, body: bytes, words: int | None = None, known: int | None = None) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(k), chunk)), pa.array(k), pa.array(np.concatenate([n, np.zeros(len(other), np.int64)])), pa.nulls(len(k), pa.int32()), pa.nulls(len(k), pa.binary()), pa.nulls(len(k), pa.int64())],
-                ["chunk", "key", "n", "piece", "body", "docs"],
+                [pa.array([part], pa.int32()), pa.array([bucket], pa.int32()), pa.array([body], pa.binary()), pa.array([words], pa.int64()), pa.array([known], pa.int64())], ["part", "bucket", "body", "words", "known"]
             )
 
-        last = None
+        yield row(None, boxed(keys, n, lengths, data), int(n[word].sum()), int((n[word] > 0).sum()))
+        for bucket, body in dealt_asks(Events(keys, n, lengths, data), buckets):
+            yield row(bucket, body)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, units = None, Units()
         for batch in rows:
-            data, offsets = _text.raw(batch.column("text"))
-            chunks = batch.column("chunk").to_numpy()
-            training = np.asarray(batch.column("training"))
-            docs += int(training.sum())
-            for lo, hi in runs(chunks):
-                if last is not None and last != chunks[lo]:
-                    yield flush(last)
-                    yield from asks(last)
-                last = int(chunks[lo])
-                for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
-                    a, b = a + lo, b + lo
-                    part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                    starts, ends, bounds = _text.words(part, own)
-                    hashes = _text.word_hashes(part, starts, ends)
-                    taught = np.repeat(training[a:b], np.diff(bounds))
-                    waiting += [(hashes[taught], True), (np.unique(hashes[~taught]), False)]
-                    if sum(len(w) for w, _ in waiting) > 4_000_000:
-                        yield flush(last)
-                    stream, lengths, mask = normal_form(part, own)
-                    six, prefix, _, event = combinations(stream, mask)
-                    counts.add(six, prefix, np.bincount(event[np.repeat(training[a:b], lengths + 1)], minlength=len(six)))
-                    if len(counts) > 4 * MOST_WAITING:  # what is asked twice is answered twice
-                        yield from asks(last)
+            parts, keys, n = (batch.column(c).to_numpy() for c in ("part", "key", "n"))
+            data, offsets = _text.raw(batch.column("word"))
+            for lo, hi in runs(parts):
+                if last is not None and last != parts[lo]:
+                    yield from done(last, units)
+                    units = Units()
+                last = int(parts[lo])
+                units.add(keys[lo:hi].view(np.uint64), n[lo:hi], np.diff(offsets[lo : hi + 1]), data[offsets[lo] : offsets[hi]])
         if last is not None:
-            yield flush(last)
-            yield from asks(last)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([docs], pa.int64())],
-            ["chunk", "key", "n", "piece", "body", "docs"],
-        )
+            yield from done(last, units)
 
     return run
 
 
-def stretched(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
-    return np.log((n1 + np.float32(0.25)) / (n0 + np.float32(0.25))).astype(np.float32)
-
-
-def steps(keys: np.ndarray, counts: np.ndarray, left_out: int) -> np.ndarray:
-    """Along each code's path its stretched probabilities of a 1, in `STEPS`; `left_out` of the code's own count does not count."""
-    other = counts[:, 1:].astype(np.float32)
-    own = np.empty_like(other)
-    own[:, 7] = np.maximum(counts[:, 0].astype(np.int64) - left_out, 0)
-    for bit in range(6, -1, -1):
-        own[:, bit] = own[:, bit + 1] + other[:, bit + 1]
-    x = np.clip(np.rint(stretched(other, own) * STEPS), -127, 127).astype(np.int8)
-    one = np.unpackbits((keys & U(0xFF)).astype(np.uint8)[:, None], axis=1)
-    return np.where(one == 1, x, -x)
+# mixing
 
 
-class Known:
-    """A chunk's answers: the steps of each context's codes."""
+def inputs(events: Events, bodies: list[bytes], left_out: int) -> np.ndarray:
+    """The steps of each event's contexts: (CONTEXTS, events, 8 decisions)."""
+    out = np.zeros((CONTEXTS, len(events), 8), np.int8)
+    parts = [unboxed(b) for b in bodies]
+    for c in range(CONTEXTS):
+        keys = np.concatenate([np.zeros(0, np.uint64), *[np.cumsum(p[3 * c]) for p in parts]])
+        values = np.concatenate([np.zeros(0, np.int64), *[p[3 * c + (1 if left_out else 2)] for p in parts]])
+        order = np.argsort(keys)
+        keys, values = keys[order], values[order]
+        at = np.searchsorted(keys, events.codes[c])
+        if len(at) and (len(keys) == 0 or int(at.max()) >= len(keys) or (keys[at] != events.codes[c]).any()):
+            raise ValueError("a context was not asked for")
+        out[c] = values[at].view(np.int8).reshape(-1, 8)
+    return out
 
-    def __init__(self, bodies: list[bytes], left_out: int):
-        found: list[list] = [[] for _ in range(CONTEXTS)]
-        for body in bodies:
-            for c, (keys, counts) in enumerate(unpacked(body)):
-                found[c].append((keys, steps(keys, counts, left_out)))
-        self.keys, self.steps = [], []
-        for c in range(CONTEXTS):
-            keys = np.concatenate([np.zeros(0, np.uint64), *[k for k, _ in found[c]]])
-            order = np.argsort(keys)
-            self.keys.append(keys[order])
-            self.steps.append(np.concatenate([np.zeros((0, 8), np.int8), *[x for _, x in found[c]]])[order])
-            found[c] = []
 
-    def __call__(self, c: int, wanted: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.keys[c], wanted)
-        if len(wanted) and (len(self.keys[c]) == 0 or int(at.max()) >= len(self.keys[c]) or (self.keys[c][at] != wanted).any()):
-            raise ValueError("a code was not asked for")
-        return self.steps[c][at]
+def sure(x: np.ndarray) -> np.ndarray:
+    a = np.abs(x)
+    return (a > 0.3).astype(np.int8) + (a > 1.5) + (a > 3.5)
 
 
-class Whole:
-    """The steps of any codes from counts that lie here as a whole."""
+def gate(x: np.ndarray, is_tail: np.ndarray) -> np.ndarray:
+    """Which set of weights: the kind of event, and how sure the longest and a middle context are; x is (CONTEXTS, ...)."""
+    return is_tail * np.int8(16) + sure(x[4]) * np.int8(4) + sure(x[2])
 
-    def __init__(self, counts: list[tuple[np.ndarray, np.ndarray]]):
-        self.counts = counts
 
-    def __call__(self, c: int, wanted: np.ndarray) -> np.ndarray:
-        have, n = self.counts[c]
-        keys, n = summed(np.concatenate([have, wanted]), np.concatenate([n, np.zeros(len(wanted), np.int64)]))
-        return steps(keys, paths(keys, n), 0)[np.searchsorted(keys, wanted)]
+def bucket_of(z: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(z * 2), -(BUCKETS // 2), BUCKETS // 2).astype(np.int32) + BUCKETS // 2
 
 
-def inputs(keys: np.ndarray, prefix: np.ndarray, find: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[np.ndarray, np.ndarray | None]]:
-    """For each context the steps by decision of its distinct codes, and each event's code; events in the order of `combinations`."""
-    out = []
-    for c, at in enumerate([*groups(keys), None]):
-        k, p = (keys, prefix) if at is None else (keys[at], prefix[at])
-        part = None
-        if at is not None:
-            part = np.zeros(len(keys), np.int32)
-            part[at[1:]] = 1
-            np.cumsum(part, out=part)
-        out.append((np.ascontiguousarray(find(c, codes(c, k, p)).T), part))
-    return out
+def decisions(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(8, events): the partial byte before each decision, with a leading 1, and the decision."""
+    bit = np.arange(8)[:, None]
+    s = symbol[None].astype(np.int32)
+    return (1 << bit) | (s >> (8 - bit)), (s >> (7 - bit)) & 1
 
 
 CENTRE = np.tile((1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS // 2) / 2.0))).astype(np.float32), (256, 1))
@@ -455,261 +459,256 @@ class Mixer:
 
     @property
     def refined(self) -> np.ndarray:
-        return np.clip((CENTRE.reshape(-1) * REFINED_PRIOR + self.ones) / (REFINED_PRIOR + self.seen), 0.0005, 0.9995).astype(np.float32).reshape(CENTRE.shape)
-
-    def learn(self, keys: np.ndarray, prefix: np.ndarray, times: np.ndarray, find: Callable[[int, np.ndarray], np.ndarray]) -> None:
-        """One online pass over distinct events, each weighing as often as it occurs; `find` leaves an event's own count out."""
-        if not len(keys):
-            return
-        xs = inputs(keys, prefix, find)
-        order = np.random.default_rng(7).permutation(len(keys))
-        which, gates = np.arange(8)[:, None], np.arange(GATES)[None, :, None]
+        return np.clip((CENTRE.reshape(-1) * REFINED_PRIOR + self.ones) / (REFINED_PRIOR + self.seen), 0.0005, 0.9995).astype(np.float32)
+
+    def mixed(self, x: np.ndarray, is_tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Steps (CONTEXTS, events, 8) -> the mixed stretch (8, events), and the inputs (8, events, CONTEXTS + 1)."""
+        full = np.ones((8, x.shape[1], CONTEXTS + 1), np.float32)
+        full[:, :, :CONTEXTS] = x.transpose(2, 1, 0) * np.float32(1 / STEPS)
+        known = gate(full[:, :, :CONTEXTS].transpose(2, 0, 1), is_tail)
+        w = self.weights[known, np.arange(8)[:, None]]
+        return np.clip(np.einsum("bec,bec->be", w, full), -12, 12), full, known
+
+    def learn(self, events: Events, x: np.ndarray) -> None:
+        """One online pass over the events of training texts, each weighing as often as it occurs."""
+        on = np.flatnonzero(events.times > 0)
+        order = on[np.random.default_rng(7).permutation(len(on))]
+        symbol, tail = events.symbol, events.is_tail
+        gates = np.arange(GATES)[None, :, None]
         for lo in range(0, len(order), BATCH):
             at = order[lo : lo + BATCH]
-            t = times[at].astype(np.float32)
-            x = np.ones((8, len(at), CONTEXTS + 1), np.float32)
-            for c, (step, part) in enumerate(xs):
-                x[:, :, c] = step[:, at if part is None else part[at]]
-            x[:, :, :CONTEXTS] *= np.float32(1 / STEPS)
-            known = gate(x[:, :, 4], x[:, :, 5])
-            z = np.clip((self.weights[known, which] * x).sum(-1), -12, 12)
-            symbol = keys[at] & U(0xFF)
-            both = [nodes(symbol, bit) for bit in range(8)]
-            node, one = np.stack([n for n, _ in both]).astype(np.int64), np.stack([o for _, o in both])
-            spot = (node * BUCKETS + bucket(z)).reshape(-1)
+            t = events.times[at].astype(np.float32)
+            z, full, known = self.mixed(x[:, at], tail[at])
+            node, one = decisions(symbol[at])
+            spot = (node * BUCKETS + bucket_of(z)).reshape(-1)
             weight = np.tile(t, 8)
             self.seen += np.bincount(spot, weight, len(self.seen))
             self.ones += np.bincount(spot, weight * one.reshape(-1), len(self.ones))
             own = (known[:, None, :] == gates).astype(np.float32) * t
             mass = own.sum(-1)
-            slope = own @ ((one - 1 / (1 + np.exp(-z)))[:, :, None].astype(np.float32) * np.clip(x, -8, 8))
+            slope = own @ ((one - 1 / (1 + np.exp(-z)))[:, :, None].astype(np.float32) * np.clip(full, -8, 8))
             self.weights += (RATE / math.sqrt(1 + self.taken / 16) * slope / np.maximum(mass, 1)[:, :, None]).transpose(1, 0, 2)
             self.mass += mass.T
             self.taken += 1
 
+    def log2_probability(self, events: Events, x: np.ndarray) -> np.ndarray:
+        """log2 of the probability of each event's byte."""
+        out, flat = np.zeros(len(events)), self.refined
+        symbol, tail = events.symbol, events.is_tail
+        for lo in range(0, len(out), BLOCK):
+            s = slice(lo, lo + BLOCK)
+            z, _, _ = self.mixed(x[:, s], tail[s])
+            node, one = decisions(symbol[s])
+            p = (1 / (1 + np.exp(-z)) + flat[node * BUCKETS + bucket_of(z)]) / 2
+            out[s] = np.log2(np.where(one == 1, p, 1 - p)).sum(0)
+        return out
+
     def sums(self) -> tuple[np.ndarray, np.ndarray]:
-        """What is added up over chunks: weights by their bytes, then the refining table."""
+        """What is added up over parts: weights by their bytes, then the refining table."""
         by = np.repeat(self.mass.reshape(-1), CONTEXTS + 1)
         return np.concatenate([self.weights.reshape(-1) * by, self.ones]), np.concatenate([by, self.seen])
 
     def put(self, a: np.ndarray, b: np.ndarray) -> None:
-        """Take sums over chunks; weights that nothing was learned for stay."""
+        """Take sums over parts; weights that nothing was learned for stay."""
         n = self.weights.size
         self.weights = np.where(b[:n] > 0, a[:n] / np.maximum(b[:n], 1e-9), self.weights.reshape(-1)).astype(np.float32).reshape(self.weights.shape)
         self.ones, self.seen = a[n:], b[n:]
 
 
-def sure(s: np.ndarray) -> np.ndarray:
-    a = np.abs(s)
-    return (a > 0.3).astype(np.int8) + (a > 1.5) + (a > 3.5)
+def each_part(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple, list[bytes]]]:
+    """Rows (part, kind, body), ordered by both: a part's units (kind 0) and answers (kind 1)."""
+    last, units, bodies = None, None, []
+    for batch in rows:
+        for i, (part, kind) in enumerate(zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), strict=True)):
+            if part != last:
+                if units is not None:
+                    yield last, units, bodies
+                last, units, bodies = part, None, []
+            body = batch.column("body")[i].as_py()
+            if kind:
+                bodies.append(body)
+            else:
+                units = unboxed(body)
+    if units is not None:
+        yield last, units, bodies
 
 
-def gate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which set of weights: how sure the longest context and the word so far are."""
-    return sure(a) * 4 + sure(b)
+def learned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each part's sums of a mixer, as (slot, a, b)."""
+    for _, units, bodies in each_part(rows):
+        mixer, events = Mixer(), Events(*units)
+        mixer.learn(events, inputs(events, bodies, 1))
+        a, b = mixer.sums()
+        at = np.flatnonzero(b)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(a[at]), pa.array(b[at])], ["slot", "a", "b"])
 
 
-def bucket(z: np.ndarray) -> np.ndarray:
-    return np.clip(np.rint(z * 2), -(BUCKETS // 2), BUCKETS // 2).astype(np.int32) + BUCKETS // 2
+def worked_out(model):
+    """Each part's units as (key, c, bits): how often training texts have them, and the log2 of their probability. `model` is a broadcast."""
 
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer = model.value
+        for _, units, bodies in each_part(rows):
+            events = Events(*units)
+            bits = np.bincount(events.owner, mixer.log2_probability(events, inputs(events, bodies, 0)), len(units[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(units[0].view(np.int64)), pa.array(units[1]), pa.array(bits)], ["key", "c", "bits"])
 
-def log2_probability(keys: np.ndarray, prefix: np.ndarray, model: dict) -> np.ndarray:
-    """log2 of the probability of each event's byte after what stands before it; events in the order of `combinations`."""
-    if not len(keys):
-        return np.zeros(0)
-    symbol, own = keys & U(0xFF), inputs(keys, prefix, model["find"])
-    chance, flat = np.ones(len(keys)), model["refined"].reshape(-1)
-    for bit in range(8):
-        node, one = nodes(symbol, bit)
-        xs, known = [], []
-        for c, (step, part) in enumerate(own):
-            x = step[bit] * np.float32(1 / STEPS)
-            if c > 3:
-                g = sure(x)
-                known.append(g if part is None else g[part])
-            xs.append(x if part is None else x[part])
-        w = np.take(model["weights"][:, bit], known[0] * 4 + known[1], axis=0)
-        z = w[:, -1].copy()
-        for c, x in enumerate(xs):
-            z += w[:, c] * x
-        np.clip(z, -12, 12, out=z)
-        p = 1 / (1 + np.exp(-z)) + flat[node.astype(np.int32) * BUCKETS + bucket(z)]
-        p *= 0.5
-        chance *= np.where(one == 1, p, 1 - p)
-    return np.log2(chance)
-
-
-def packed_model(counts: list[tuple[np.ndarray, np.ndarray]], bits: tuple[int, ...], mixer: Mixer) -> dict:
-    """What scoring needs where the counts lie here as a whole."""
-    return {"find": Whole(counts), "weights": mixer.weights, "refined": mixer.refined}
-
-
-LEARNED = "slot int, a double, b double"
+    return run
 
 
-def learned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a chunk: first its answers (kind 1), then its training texts (kind 2) -> each chunk's sums of a mixer."""
+# texts
 
-    def out(mixer: Mixer) -> pa.RecordBatch:
-        a, b = mixer.sums()
-        at = np.flatnonzero(b)
-        return pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(a[at]), pa.array(b[at])], ["slot", "a", "b"])
 
-    last, bodies, find, mixer = None, [], None, None
-    for batch in rows:
-        chunks, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
-        data, offsets = _text.raw(batch.column("text"))
-        for lo, hi in runs(chunks * 4 + kinds):
-            if chunks[lo] != last:
-                if mixer is not None:
-                    yield out(mixer)
-                last, bodies, find, mixer = chunks[lo], [], None, None
-            if kinds[lo] == 1:
-                bodies += batch.column("body").slice(lo, hi - lo).to_pylist()
-                continue
-            if find is None:
-                find, bodies, mixer = Known(bodies, 1), [], Mixer()
-            for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
-                a, b = a + lo, b + lo
-                stream, _, mask = normal_form(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                mixer.learn(*combinations(stream, mask)[:3], find)
-    if mixer is not None:
-        yield out(mixer)
+def earlier(owner: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """For each word how often its row had it before; words in the order of rows."""
+    order = np.lexsort((np.arange(len(keys)), keys, owner)) if len(keys) else np.zeros(0, np.int64)
+    first = first_of_runs(keys[order]) | first_of_runs(owner[order])
+    at = np.arange(len(keys))
+    out = np.empty(len(keys), np.int64)
+    out[order] = at - np.maximum.accumulate(np.where(first, at, 0)) if len(keys) else 0
+    return out
+
+
+def text_bits(owner: np.ndarray, place: np.ndarray, keys: np.ndarray, word_bits: np.ndarray, end_bits: np.ndarray) -> np.ndarray:
+    """log2 of each row's probability: its words' (owner, place in the row, key, log2 of the model's probability) and its end's, mixed by experts."""
+    n = len(end_bits)
+    share = earlier(owner, keys) / np.maximum(place, 1)
+    total = np.zeros((len(EXPERTS), n))
+    for e, own in enumerate(EXPERTS):
+        if own:
+            p = np.exp2(np.maximum(word_bits, -1000))
+            got = np.where(place > 0, np.where(share > 0, np.log2((1 - own) * p + own * share), word_bits + math.log2(1 - own)), word_bits)
+            after = np.bincount(owner, minlength=n) > 0  # with no word so far there is nothing to share with
+            total[e] = np.bincount(owner, got, n) + end_bits + np.where(after, math.log2(1 - own), 0)
+        else:
+            total[e] = np.bincount(owner, word_bits, n) + end_bits
+    most = total.max(0)
+    return most + np.log2(np.exp2(total - most).mean(0))
 
 
 class Lookup:
-    """Counts by 64-bit keys, found by their top bits and a few steps on."""
+    """Values by sorted 64-bit keys; all that is wanted must be there."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
+    def __init__(self, keys: np.ndarray, *values: np.ndarray):
         order = np.argsort(keys)
-        keys, values = keys[order], values[order]
-        first = np.concatenate([[True], keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, bool)
-        self.keys, self.values = np.append(keys[first], U(0xFFFFFFFFFFFFFFFF)), np.append(values[first], 0)
-        self.bits = max(4, int(len(keys)).bit_length())
-        self.starts = np.searchsorted(self.keys[:-1], np.arange(1 << self.bits, dtype=np.uint64) << U(64 - self.bits))
+        self.keys, self.values = keys[order], [v[order] for v in values]
 
-    def __call__(self, wanted: np.ndarray) -> np.ndarray:
-        at = self.starts[(wanted >> U(64 - self.bits)).astype(np.int64)]
-        todo = np.flatnonzero(self.keys[np.minimum(at, len(self.keys) - 1)] != wanted)
-        while len(todo):
-            at[todo] += 1
-            past = at[todo] >= len(self.keys) - 1
-            at[todo[past]] = len(self.keys) - 1
-            found = self.keys[at[todo]]
-            todo = todo[(found < wanted[todo]) & ~past]
-        hit = self.keys[at] == wanted
-        return np.where(hit, self.values[at], 0)
+    def __call__(self, wanted: np.ndarray) -> list[np.ndarray]:
+        at = np.searchsorted(self.keys, wanted)
+        if len(wanted) and (not len(self.keys) or int(at.max()) >= len(self.keys) or (self.keys[at] != wanted).any()):
+            raise ValueError("a unit was not asked for")
+        return [v[at] for v in self.values]
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long"
+SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, n_bytes long, bits_per_byte double"
 
 
-def scored(model, total: int, vocabulary: int, ends: int):
-    """Rows of a chunk: first its words' counts (kind 0) and answers (kind 1), then its texts (kind 2) -> scores. `model` is a broadcast."""
+def scored(total: int, vocabulary: int, ends: int):
+    """Rows of a chunk: first its units (kind 0: key, c, bits), then its texts (kind 1) -> scores."""
     scale = math.log10(total + 0.5 * (vocabulary + 1))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = None
-        last, keys, values, bodies, look = None, [], [], [], None
+        last, parts, look = None, [], None
         for batch in rows:
             chunks, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
             data, offsets = _text.raw(batch.column("text"))
-            for lo, hi in runs(chunks * 4 + kinds):
+            for lo, hi in runs(chunks * 2 + kinds):
                 if chunks[lo] != last:
-                    last, keys, values, bodies, look = chunks[lo], [], [], [], None
-                if kinds[lo] == 0:
-                    keys.append(batch.column("key").slice(lo, hi - lo).to_numpy().view(np.uint64))
-                    values.append(batch.column("c").slice(lo, hi - lo).to_numpy())
-                    continue
-                if kinds[lo] == 1:
-                    bodies += batch.column("body").slice(lo, hi - lo).to_pylist()
+                    last, parts, look = chunks[lo], [], None
+                if not kinds[lo]:
+                    parts.append([batch.column(c).slice(lo, hi - lo).to_numpy().copy() for c in ("key", "c", "bits")])
                     continue
                 if look is None:
-                    m, bodies = {**model.value, "find": Known(bodies, 0)}, []
-                    look = Lookup(np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(values or [np.zeros(0, np.int64)]))
+                    look = Lookup(*[np.concatenate(x) for x in zip(*[(k.view(np.uint64), c, b) for k, c, b in parts], strict=True)])
+                    parts = []
                 for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
                     a, b = a + lo, b + lo
-                    part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                    starts, ends_, bounds = _text.words(part, own)
-                    c = look(_text.word_hashes(part, starts, ends_))
-                    owner = np.repeat(np.arange(b - a), np.diff(bounds))
-                    base = np.bincount(owner, np.log10(c + 0.5), b - a) + math.log10(ends + 0.5) - (np.diff(bounds) + 1) * scale
-                    known = np.bincount(owner, c > 0, b - a) + (ends > 0)
-                    stream, lengths, mask = normal_form(part, own)
-                    keys_, prefix, _, event = combinations(stream, mask)
-                    bits = np.bincount(np.repeat(np.arange(b - a), lengths + 1), log2_probability(keys_, prefix, m)[event], b - a)
+                    keys, heads, bounds, (_, starts, ends_) = tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                    words = np.diff(bounds)
+                    owner = np.repeat(np.arange(b - a), words)
+                    c, bits = look(keys)
+                    _, head_bits = look(heads)
+                    at = np.arange(len(keys)) + owner
+                    score = text_bits(owner, np.arange(len(keys)) - bounds[owner], keys, bits + head_bits[at], head_bits[bounds[1:] + np.arange(b - a)])
+                    base = np.bincount(owner, np.log10(c + 0.5), b - a) + math.log10(ends + 0.5) - (words + 1) * scale
+                    length = np.bincount(owner, ends_ - starts + 1, b - a).astype(np.int64) + 1
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("doc_id").slice(a, b - a),
                             batch.column("held_out").slice(a, b - a),
-                            pa.array(np.diff(bounds) + 1),
-                            pa.array(known.astype(np.int64)),
+                            pa.array(words + 1),
+                            pa.array((np.bincount(owner, c > 0, b - a) + (ends > 0)).astype(np.int64)),
                             pa.array(np.full(b - a, total)),
                             pa.array(base),
-                            pa.array(bits * math.log10(2)),
-                            pa.array(lengths.astype(np.int64)),
+                            pa.array(score * math.log10(2)),
+                            pa.array(length),
+                            pa.array(-score / length),
                         ],
-                        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"],
+                        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"],
                     )
 
     return run
 
 
 def freed(spark) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more, texts among them."""
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
-def score(docs: DataFrame, held_out: Column, bits: tuple[int, ...] = (), chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """Base and model scores of every row of (doc_id, text), learned from those where `held_out` is false. Counts are keyed, so `bits` bounds nothing."""
+def null(kind: str) -> Column:
+    return F.lit(None).cast(kind)
+
+
+def score(docs: DataFrame, held_out: Column, chunk_rows: int = CHUNK_ROWS, part_rows: int = PART_ROWS) -> DataFrame:
+    """Base and model scores of every row of (doc_id, text), learned from those where `held_out` is false.
+
+    `n_bytes` counts the coded bytes (each word with its space, and the end);
+    `bits_per_byte` is the text's total over them.
+    """
     spark = docs.sparkSession
-    chunks = max(1, -(-docs.count() // chunk_rows))
-    tasks = max(1, -(-chunks // CHUNKS_A_TASK))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce("text", F.lit("")).alias("text"),
-        held_out.alias("held_out"),
-        (~held_out).alias("training"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).alias("chunk"),
-    )
-    raw = written(rows.select("chunk", "text", "training").repartition(tasks, "chunk").sortWithinPartitions("chunk").mapInArrow(gathered(chunks), GATHERED), "lm-gathered")
-    asks = raw.where("piece is not null").select("piece", "chunk", "body")
-    known = written(asks.repartition(chunks, "piece").sortWithinPartitions("piece").mapInArrow(answered, "chunk long, body binary"), "lm-known")
-
-    words = raw.where("key is not null").select("chunk", "key", "n")
-    answers = written(
-        words.withColumn("c", F.sum("n").over(Window.partitionBy("key"))).withColumn("first", F.row_number().over(Window.partitionBy("key").orderBy("chunk", "n")) == 1),
-        "lm-answers",
+    rows = written(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.coalesce("text", F.lit("")).alias("text"),
+            held_out.alias("held_out"),
+            (~held_out).alias("training"),
+            # a partition's rows in chunks; as written, so that they stay
+            F.expr(f"(shiftright(monotonically_increasing_id(), 33) << 33) + (monotonically_increasing_id() & 8589934591L) div {chunk_rows}").alias("chunk"),
+        ),
+        "lm-texts",
     )
-    tokens, distinct_words = answers.agg(F.sum("n"), F.count_if(F.col("first") & (F.col("c") > 0))).first()
-    ends = raw.agg(F.sum("docs")).first()[0] or 0
-    total, vocabulary = int(tokens or 0) + int(ends), int(distinct_words or 0) + (1 if ends else 0)
-    dropped(raw)
+    raw = written(rows.select("chunk", "text", "training").mapInArrow(gathered, GATHERED), "lm-gathered")
+    asked = raw.where("key is not null")
+    n, chunks, ends = raw.agg(F.count("key"), F.countDistinct("chunk"), F.sum("docs")).first()
+    parts = max(1, -(-n // part_rows))
+    tasks = max(1, -(-parts // 2))
+    dealt = asked.select(F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("part"), "key", "n", "word")
+    units = written(dealt.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(collected(parts), COLLECTED), "lm-units")
+    freed(spark)
+    words, known_words = units.agg(F.sum("words"), F.sum("known")).first()
+    total, vocabulary = int(words or 0) + int(ends or 0), int(known_words or 0) + (1 if ends else 0)
+    asks = units.where("bucket is not null").select("bucket", "part", "body")
+    known = written(asks.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(answered, "part int, body binary"), "lm-known")
     freed(spark)
 
-    def null(kind: str) -> Column:
-        return F.lit(None).cast(kind)
-
-    bodies = known.select("chunk", F.lit(1).alias("kind"), "body", null("long").alias("doc_id"), null("string").alias("text"))
-    taught = rows.where("training").select("chunk", F.lit(2).alias("kind"), null("binary").alias("body"), "doc_id", "text")
-    # in a fixed order, so that learning gives the same weights each time
-    parts = bodies.unionByName(taught).repartition(tasks, "chunk").sortWithinPartitions("chunk", "kind", "doc_id", F.xxhash64("text")).mapInArrow(learned, LEARNED)
+    own = units.where("bucket is null").select("part", F.lit(0).alias("kind"), "body").unionByName(known.select("part", F.lit(1).alias("kind"), "body"))
+    own = own.repartition(tasks, "part").sortWithinPartitions("part", "kind")
     mixer = Mixer()
     a, b = mixer.sums()
-    a[:], b[:] = 0, 0
-    for r in parts.groupBy("slot").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():  # as many as a mixer has slots
+    for r in own.mapInArrow(learned, "slot int, a double, b double").groupBy("slot").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():  # as many as a mixer has slots
         a[r["slot"]], b[r["slot"]] = r["a"], r["b"]
-    del parts, taught
-    freed(spark)
     mixer.put(a, b)
-    model = spark.sparkContext.broadcast({"weights": mixer.weights, "refined": mixer.refined})
+    model = spark.sparkContext.broadcast(mixer)
+    found = written(own.mapInArrow(worked_out(model), "key long, c long, bits double"), "lm-found")
+    for done in (units, known):
+        dropped(done)
+    freed(spark)
 
-    asked = answers.select("chunk", F.lit(0).alias("kind"), "key", "c", null("binary").alias("body"), null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
-    found = known.select("chunk", F.lit(1).alias("kind"), null("long").alias("key"), null("long").alias("c"), "body", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
-    texts = rows.select("chunk", F.lit(2).alias("kind"), null("long").alias("key"), null("long").alias("c"), null("binary").alias("body"), "doc_id", "held_out", "text")
-    both = asked.unionByName(found).unionByName(texts).repartition(tasks, "chunk").sortWithinPartitions("chunk", "kind")
-    return both.mapInArrow(scored(model, total, vocabulary, int(ends)), SCORED)
+    look = asked.select("chunk", "key").distinct().join(found.hint("merge"), "key").select("chunk", F.lit(0).alias("kind"), "key", "c", "bits", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
+    texts = rows.select("chunk", F.lit(1).alias("kind"), null("long").alias("key"), null("long").alias("c"), null("double").alias("bits"), "doc_id", "held_out", "text")
+    both = look.unionByName(texts).repartition(max(1, chunks // 2), "chunk").sortWithinPartitions("chunk", "kind")
+    return both.mapInArrow(scored(total, vocabulary, int(ends or 0)), SCORED)
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:
