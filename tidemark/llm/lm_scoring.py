@@ -15,8 +15,8 @@ the partial byte refines the result.
   often it stands in the texts.
 - Counts come from all training texts and are kept by key, never in slots that
   contexts share. They grow with the input and lie in buckets of keys, which no
-  machine holds together: parts of the units ask the buckets for the counts of
-  their own contexts.
+  machine holds together: parts of the units, ranges of their bytes, ask the
+  buckets for the counts of their own contexts.
 - Weights and the refining table are learned online over all units of the
   training texts, each weighing as often as it stands there and its own
   occurrence left out of the counts. Every part learns for itself; the sums
@@ -44,6 +44,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -372,9 +373,15 @@ COLLECTED = "part int, bucket int, body binary, words long, known long"
 
 
 def collected(buckets: int):
-    """Rows (part, key, n, word), ordered by part -> each part's units (bucket null), with the sum of their words and how many of them training texts have, and what it asks of buckets."""
+    """Rows (key, n, word) of a range of units, a part -> its units (bucket null), with the sum of their words and how many of them training texts have, and what it asks of buckets."""
 
-    def done(part: int, units: Units) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, units = TaskContext.get().partitionId(), Units()
+        for batch in rows:
+            data, offsets = _text.raw(batch.column("word"))
+            units.add(batch.column("key").to_numpy().view(np.uint64), batch.column("n").to_numpy(), np.diff(offsets), data)
+        if not len(units):
+            return
         keys, n, lengths, data = units.total()
         word = keys < IS_HEAD
 
@@ -387,23 +394,13 @@ def collected(buckets: int):
         for bucket, body in dealt_asks(Events(keys, n, lengths, data), buckets):
             yield row(bucket, body)
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, units = None, Units()
-        for batch in rows:
-            parts, keys, n = (batch.column(c).to_numpy() for c in ("part", "key", "n"))
-            data, offsets = _text.raw(batch.column("word"))
-            for lo, hi in runs(parts):
-                if last is not None and last != parts[lo]:
-                    yield from done(last, units)
-                    units = Units()
-                last = int(parts[lo])
-                units.add(keys[lo:hi].view(np.uint64), n[lo:hi], np.diff(offsets[lo : hi + 1]), data[offsets[lo] : offsets[hi]])
-        if last is not None:
-            yield from done(last, units)
-
     return run
 
 
+#: Heads in the order of the bytes before them, the last one first: those with contexts in common are neighbours.
+HEAD_ORDER = " + ".join(f"shiftleft(shiftright(key, {8 * (HEAD + k)}) & 255, {8 * (HEAD + BACK - 1 - k)})" for k in range(BACK)) + f" + (key & {(1 << 8 * HEAD) - 1})"
+
+
 # mixing
 
 
@@ -551,7 +548,7 @@ def worked_out(model):
         for _, units, bodies in each_part(rows):
             events = Events(*units)
             bits = np.bincount(events.owner, mixer.log2_probability(events, inputs(events, bodies, 0)), len(units[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(units[0].view(np.int64)), pa.array(units[1]), pa.array(bits)], ["key", "c", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(units[0].view(np.int64)), pa.array(units[1]), pa.array(bits.astype(np.float32))], ["key", "c", "bits"])
 
     return run
 
@@ -577,7 +574,9 @@ def text_bits(owner: np.ndarray, place: np.ndarray, keys: np.ndarray, word_bits:
     for e, own in enumerate(EXPERTS):
         if own:
             p = np.exp2(np.maximum(word_bits, -1000))
-            got = np.where(place > 0, np.where(share > 0, np.log2((1 - own) * p + own * share), word_bits + math.log2(1 - own)), word_bits)
+            with np.errstate(divide="ignore"):  # of very long words that are new, which take the other branch
+                shared = np.log2((1 - own) * p + own * share)
+            got = np.where(place > 0, np.where(share > 0, shared, word_bits + math.log2(1 - own)), word_bits)
             after = np.bincount(owner, minlength=n) > 0  # with no word so far there is nothing to share with
             total[e] = np.bincount(owner, got, n) + end_bits + np.where(after, math.log2(1 - own), 0)
         else:
@@ -683,8 +682,8 @@ def score(docs: DataFrame, held_out: Column, chunk_rows: int = CHUNK_ROWS, part_
     n, chunks, ends = raw.agg(F.count("key"), F.countDistinct("chunk"), F.sum("docs")).first()
     parts = max(1, -(-n // part_rows))
     tasks = max(1, -(-parts // 2))
-    dealt = asked.select(F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int").alias("part"), "key", "n", "word")
-    units = written(dealt.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(collected(parts), COLLECTED), "lm-units")
+    # words by their bytes, heads by theirs: what a part asks has many contexts in common
+    units = written(asked.select("key", "n", "word").repartitionByRange(parts, F.col("word"), F.expr(HEAD_ORDER)).mapInArrow(collected(parts), COLLECTED), "lm-units")
     freed(spark)
     words, known_words = units.agg(F.sum("words"), F.sum("known")).first()
     total, vocabulary = int(words or 0) + int(ends or 0), int(known_words or 0) + (1 if ends else 0)
@@ -700,13 +699,13 @@ def score(docs: DataFrame, held_out: Column, chunk_rows: int = CHUNK_ROWS, part_
         a[r["slot"]], b[r["slot"]] = r["a"], r["b"]
     mixer.put(a, b)
     model = spark.sparkContext.broadcast(mixer)
-    found = written(own.mapInArrow(worked_out(model), "key long, c long, bits double"), "lm-found")
+    found = written(own.mapInArrow(worked_out(model), "key long, c long, bits float"), "lm-found")
     for done in (units, known):
         dropped(done)
     freed(spark)
 
-    look = asked.select("chunk", "key").distinct().join(found.hint("merge"), "key").select("chunk", F.lit(0).alias("kind"), "key", "c", "bits", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
-    texts = rows.select("chunk", F.lit(1).alias("kind"), null("long").alias("key"), null("long").alias("c"), null("double").alias("bits"), "doc_id", "held_out", "text")
+    look = asked.select("chunk", "key").join(found.hint("merge"), "key").select("chunk", F.lit(0).alias("kind"), "key", "c", "bits", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
+    texts = rows.select("chunk", F.lit(1).alias("kind"), null("long").alias("key"), null("long").alias("c"), null("float").alias("bits"), "doc_id", "held_out", "text")
     both = look.unionByName(texts).repartition(max(1, chunks // 2), "chunk").sortWithinPartitions("chunk", "kind")
     return both.mapInArrow(scored(total, vocabulary, int(ends or 0)), SCORED)
 
