@@ -319,7 +319,7 @@ def held_out():
 def test_lm_base_score_and_counts(spark, odd, none):
     rows = [(i, t) for i, t, *_ in odd_documents()] + [(100 + i, f"The cat number {i % 7} sat on the mat and saw word{i}") for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).withColumn("chunk", F.lit("x"))
-    got = lm_scoring.score(docs, held_out(), chunk_rows=16, part_rows=50).collect()
+    got = lm_scoring.score(docs, held_out(), chunk_rows=32, part_rows=2000).collect()
     assert len(got) == len(rows)
     count = Counter()
     for i, t in rows:
@@ -351,7 +351,8 @@ def plain_events(before, body):
     """(contexts, byte) of every coded byte of a unit."""
     if before is not None:
         for j, byte in enumerate(body):
-            yield [("h", j, before[len(before) - min(c, len(before)) :].rjust(c, b"\0"), body[:j]) for c in range(5)], byte
+            last = (b"\0" + before + body[:j])[-1:] if j or before else b"\0"
+            yield [("h", j, last if c is None else (before[len(before) - min(c, len(before)) :].rjust(c, b"\0"), body[:j])) for c in lm_scoring.LONGEST], byte
         return
     for j in range(lm_scoring.HEAD, len(body)):
         padded = b"\0\0" + body
@@ -381,7 +382,7 @@ def test_lm_scores_equal_a_plain_mixer(spark, monkeypatch):
     kept = []
     put = lm_scoring.Mixer.put
     monkeypatch.setattr(lm_scoring.Mixer, "put", lambda self, a, b: (put(self, a, b), kept.append(self))[0])
-    got = {x.doc_id: x.score for x in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), held_out(), chunk_rows=8, part_rows=400).collect()}
+    got = {x.doc_id: x.score for x in lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string"), held_out(), chunk_rows=16, part_rows=1200).collect()}
     (mixer,) = kept
     counts = {}
     texts = {i: [w.encode() for w in WORD.findall(lower(t or ""))] for i, t in rows}
@@ -416,8 +417,8 @@ def test_lm_probabilities_sum_to_one():
     units.add(every, np.zeros(512, np.int64), np.zeros(512, np.int64), np.zeros(0, np.uint8))
     keys, n, lengths, body = units.total()
     events = lm_scoring.Events(keys, n, lengths, body)
-    answers = [a for _, ask in lm_scoring.dealt_asks(events, 3) for a in lm_scoring.answers([lm_scoring.unboxed(ask)])]
-    p = 2 ** lm_scoring.Mixer().log2_probability(events, lm_scoring.inputs(events, answers, 0))
+    answers = {b: a for b, ask in lm_scoring.dealt_asks(events, 3) for a in lm_scoring.answers([lm_scoring.unboxed(ask)])}
+    p = 2 ** lm_scoring.Mixer().log2_probability(events, lm_scoring.inputs(events, answers, 3, False))
     first = events.codes[0] >> np.uint64(56) == 0
     for before in (0, int.from_bytes(b"the", "big")):
         of = first & ((keys[events.owner] & ~lm_scoring.IS_HEAD) >> np.uint64(24) == before)

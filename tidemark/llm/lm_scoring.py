@@ -8,8 +8,8 @@ is how sure two of the contexts are; a table over the mixed probability and
 the partial byte refines the result.
 
 - Contexts of a word's first `HEAD` bytes: the bytes of the word so far, with
-  the last 0 to 4 bytes of the word before. Contexts of later bytes: the last 2
-  to 5 bytes of the word, and the whole word so far. So a text's probability is
+  the last 0 to 3 bytes of the word before, and the last byte alone. Contexts
+  of later bytes: the last 2 to 5 bytes of the word, and the whole word so far. So a text's probability is
   made of *units*: heads (the end of a word and the first bytes of the next)
   and whole words. Each distinct unit of the corpus is worked out once, however
   often it stands in the texts.
@@ -53,10 +53,11 @@ from tidemark.plans.scratch import dropped, written
 from tidemark.sources.tables import table
 
 CHUNK_ROWS = 8192
-PART_ROWS = 150_000  # distinct units of chunks that a part collects
+PART_ROWS = 300_000  # distinct units of chunks that a part collects
 SLICE = 1 << 20
 MOST_WAITING = 600_000  # units that wait before they are added up
-HEAD, BACK = 3, 4
+HEAD, BACK = 3, 3
+LONGEST = (0, 1, 2, None, 3)  # bytes of the word before that a head's contexts see; None: one byte in all
 CONTEXTS = 5
 END = 0xFF  # no byte of UTF-8
 SPACE = 0x20
@@ -245,8 +246,11 @@ class Events:
                 at, lead, back = at[on], lead[on], back[on]
             so_far = lead >> U(8 * (HEAD - j))
             symbol = (lead >> U(8 * (HEAD - 1 - j))) & U(0xFF)
-            for c in range(CONTEXTS):
-                seen = (back & U((1 << 8 * c) - 1)) << U(16) | so_far
+            for c, k in enumerate(LONGEST):
+                if k is None:
+                    seen = so_far & U(0xFF) if j else back & U(0xFF)
+                else:
+                    seen = (back & U((1 << 8 * k) - 1)) << U(16) | so_far
                 codes[c].append(U(j) << U(56) | seen << U(8) | symbol)
             owner.append(at)
             times.append(n[at])
@@ -289,14 +293,25 @@ class Events:
         return self.codes[0] >> U(56) == U(HEAD)
 
 
+    def distinct(self, c: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Context c's distinct codes and their counts, by bucket; where each bucket's begin; and each event's code. All codes of a context are in one bucket."""
+        order = np.argsort(self.codes[c])
+        first = first_of_runs(self.codes[c][order])
+        at = np.flatnonzero(first)
+        keys = self.codes[c][order][at]
+        n = np.add.reduceat(self.times[order], at) if len(at) else np.zeros(0, np.int64)
+        bucket = (((_text.mix((keys >> U(8)) * _HASH[c]) >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
+        dealt = np.argsort(bucket, kind="stable")
+        place = np.empty(len(keys), np.int32)
+        place[dealt] = np.arange(len(keys), dtype=np.int32)
+        code = np.empty(len(order), np.int32)
+        code[order] = place[np.cumsum(first) - 1]
+        return keys[dealt], n[dealt], np.searchsorted(bucket[dealt], np.arange(buckets + 1)), code
+
+
 def dealt_asks(events: Events, buckets: int) -> Iterator[tuple[int, bytes]]:
-    """The events' distinct codes and counts by bucket: all codes of a context are in one."""
-    cut = []
-    for c in range(CONTEXTS):
-        keys, n = summed(events.codes[c], events.times)
-        at = (((_text.mix((keys >> U(8)) * _HASH[c]) >> U(32)) * U(buckets)) >> U(32)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        cut.append((keys[order], n[order], np.searchsorted(at[order], np.arange(buckets + 1))))
+    """What the events' contexts ask of each bucket: codes and counts."""
+    cut = [events.distinct(c, buckets)[:3] for c in range(CONTEXTS)]
     for b in range(buckets):
         part = [(keys[s[b] : s[b + 1]], n[s[b] : s[b + 1]]) for keys, n, s in cut]
         if any(len(k) for k, _ in part):
@@ -335,62 +350,70 @@ def steps(keys: np.ndarray, counts: np.ndarray, left_out: int) -> np.ndarray:
 
 
 def answers(asked: list[list[np.ndarray]]) -> Iterator[bytes]:
-    """What parts ask of one bucket -> for each its codes with their steps, first with one occurrence left out."""
+    """What parts ask of one bucket -> for each, in the order of its codes, their steps, and how these change with one occurrence left out."""
     for_context = []
     for c in range(CONTEXTS):
         keys, n = summed(np.concatenate([np.cumsum(p[2 * c]) for p in asked]), np.concatenate([p[2 * c + 1] for p in asked]))
         counts = paths(keys, n)
-        for_context.append((keys, *[np.ascontiguousarray(steps(keys, counts, left)).view(np.int64).reshape(-1) for left in (1, 0)]))
+        whole = np.ascontiguousarray(steps(keys, counts, 0))
+        for_context.append((keys, whole.view(np.int64).reshape(-1), np.ascontiguousarray(steps(keys, counts, 1) - whole).view(np.int64).reshape(-1)))
     for p in asked:
         out = []
-        for c, (keys, learning, scoring) in enumerate(for_context):
+        for c, (keys, whole, change) in enumerate(for_context):
             at = np.searchsorted(keys, np.cumsum(p[2 * c]))
-            out += [p[2 * c], learning[at], scoring[at]]
+            out += [whole[at], change[at]]
         yield boxed(*out)
 
 
 def answered(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, part, body), ordered by bucket: what parts ask -> (part, body), the answers."""
+    """Rows (bucket, part, body), ordered by bucket: what parts ask -> the same, with the answers."""
 
-    def done(who: list[int], asked: list) -> Iterator[pa.RecordBatch]:
+    def done(bucket: int, who: list[int], asked: list) -> Iterator[pa.RecordBatch]:
         for part, body in zip(who, answers(asked), strict=True):
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([body], pa.binary())], ["part", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([part], pa.int32()), pa.array([body], pa.binary())], ["bucket", "part", "body"])
 
     last, who, asked = None, [], []
     for batch in rows:
         for i, (bucket, part) in enumerate(zip(batch.column("bucket").to_pylist(), batch.column("part").to_pylist(), strict=True)):
             if bucket != last and asked:
-                yield from done(who, asked)
+                yield from done(last, who, asked)
                 who, asked = [], []
             last = bucket
             who.append(part)
             asked.append(unboxed(batch.column("body")[i].as_py()))
     if asked:
-        yield from done(who, asked)
+        yield from done(last, who, asked)
 
 
+OWN = -1  # the bucket of a part's own row
 COLLECTED = "part int, bucket int, body binary, words long, known long"
 
 
 def collected(buckets: int):
-    """Rows (key, n, word) of a range of units, a part -> its units (bucket null), with the sum of their words and how many of them training texts have, and what it asks of buckets."""
+    """Rows (chunk, key, n, word) of a range of units, a part -> its units and which chunk has which (bucket `OWN`), with the sum of their words and how many of them training texts have; then what it asks of buckets."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, units = TaskContext.get().partitionId(), Units()
+        part, units, chunks, asked = TaskContext.get().partitionId(), Units(), [], []
         for batch in rows:
             data, offsets = _text.raw(batch.column("word"))
-            units.add(batch.column("key").to_numpy().view(np.uint64), batch.column("n").to_numpy(), np.diff(offsets), data)
-        if not len(units):
+            keys = batch.column("key").to_numpy().view(np.uint64).copy()
+            chunks.append(batch.column("chunk").to_numpy().copy())
+            asked.append(keys)
+            units.add(keys, batch.column("n").to_numpy().copy(), np.diff(offsets), data.copy())
+        if not asked:
             return
         keys, n, lengths, data = units.total()
+        place = np.searchsorted(keys, np.concatenate(asked)).astype(np.int32)
+        who, chunk = np.unique(np.concatenate(chunks), return_inverse=True)
+        order = np.lexsort((place, chunk))
         word = keys < IS_HEAD
 
-        def row(bucket: int | None, body: bytes, words: int | None = None, known: int | None = None) -> pa.RecordBatch:
+        def row(bucket: int, body: bytes, words: int | None = None, known: int | None = None) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([bucket], pa.int32()), pa.array([body], pa.binary()), pa.array([words], pa.int64()), pa.array([known], pa.int64())], ["part", "bucket", "body", "words", "known"]
             )
 
-        yield row(None, boxed(keys, n, lengths, data), int(n[word].sum()), int((n[word] > 0).sum()))
+        yield row(OWN, boxed(keys, n, lengths, data, who, np.bincount(chunk, minlength=len(who)), np.diff(place[order], prepend=np.int32(0))), int(n[word].sum()), int((n[word] > 0).sum()))
         for bucket, body in dealt_asks(Events(keys, n, lengths, data), buckets):
             yield row(bucket, body)
 
@@ -404,19 +427,19 @@ HEAD_ORDER = " + ".join(f"shiftleft(shiftright(key, {8 * (HEAD + k)}) & 255, {8
 # mixing
 
 
-def inputs(events: Events, bodies: list[bytes], left_out: int) -> np.ndarray:
-    """The steps of each event's contexts: (CONTEXTS, events, 8 decisions)."""
+def inputs(events: Events, bodies: dict[int, bytes], buckets: int, left_out: bool) -> np.ndarray:
+    """The steps of each event's contexts from the answers by bucket: (CONTEXTS, events, 8 decisions)."""
     out = np.zeros((CONTEXTS, len(events), 8), np.int8)
-    parts = [unboxed(b) for b in bodies]
+    parts = [unboxed(bodies[b]) for b in sorted(bodies)]
     for c in range(CONTEXTS):
-        keys = np.concatenate([np.zeros(0, np.uint64), *[np.cumsum(p[3 * c]) for p in parts]])
-        values = np.concatenate([np.zeros(0, np.int64), *[p[3 * c + (1 if left_out else 2)] for p in parts]])
-        order = np.argsort(keys)
-        keys, values = keys[order], values[order]
-        at = np.searchsorted(keys, events.codes[c])
-        if len(at) and (len(keys) == 0 or int(at.max()) >= len(keys) or (keys[at] != events.codes[c]).any()):
-            raise ValueError("a context was not asked for")
-        out[c] = values[at].view(np.int8).reshape(-1, 8)
+        keys, _, _, code = events.distinct(c, buckets)
+        values = np.concatenate([np.zeros(0, np.int64), *[p[2 * c] for p in parts]])
+        if len(values) != len(keys):
+            raise ValueError("answers are missing")
+        values = values.view(np.int8)
+        if left_out:
+            values = values + np.concatenate([np.zeros(0, np.int64), *[p[2 * c + 1] for p in parts]]).view(np.int8)
+        out[c] = values.reshape(-1, 8)[code]
     return out
 
 
@@ -512,43 +535,51 @@ class Mixer:
         self.ones, self.seen = a[n:], b[n:]
 
 
-def each_part(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, tuple, list[bytes]]]:
-    """Rows (part, kind, body), ordered by both: a part's units (kind 0) and answers (kind 1)."""
-    last, units, bodies = None, None, []
+def each_part(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], dict[int, bytes]]]:
+    """Rows (part, bucket, body), ordered by part: a part's own row and its answers by bucket."""
+    last, own, bodies = None, None, {}
     for batch in rows:
-        for i, (part, kind) in enumerate(zip(batch.column("part").to_pylist(), batch.column("kind").to_pylist(), strict=True)):
+        for i, (part, bucket) in enumerate(zip(batch.column("part").to_pylist(), batch.column("bucket").to_pylist(), strict=True)):
             if part != last:
-                if units is not None:
-                    yield last, units, bodies
-                last, units, bodies = part, None, []
+                if own is not None:
+                    yield own, bodies
+                last, own, bodies = part, None, {}
             body = batch.column("body")[i].as_py()
-            if kind:
-                bodies.append(body)
+            if bucket == OWN:
+                own = unboxed(body)
             else:
-                units = unboxed(body)
-    if units is not None:
-        yield last, units, bodies
+                bodies[bucket] = body
+    if own is not None:
+        yield own, bodies
 
 
-def learned(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def learned(buckets: int):
     """Each part's sums of a mixer, as (slot, a, b)."""
-    for _, units, bodies in each_part(rows):
-        mixer, events = Mixer(), Events(*units)
-        mixer.learn(events, inputs(events, bodies, 1))
-        a, b = mixer.sums()
-        at = np.flatnonzero(b)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(a[at]), pa.array(b[at])], ["slot", "a", "b"])
 
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, bodies in each_part(rows):
+            mixer, events = Mixer(), Events(*own[:4])
+            mixer.learn(events, inputs(events, bodies, buckets, True))
+            a, b = mixer.sums()
+            at = np.flatnonzero(b)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(a[at]), pa.array(b[at])], ["slot", "a", "b"])
+
+    return run
 
-def worked_out(model):
-    """Each part's units as (key, c, bits): how often training texts have them, and the log2 of their probability. `model` is a broadcast."""
+
+def worked_out(model, buckets: int):
+    """(chunk, body) for each part and the chunks that have units of it: their keys, how often training texts have them, and the log2 of their probability. `model` is a broadcast."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer = model.value
-        for _, units, bodies in each_part(rows):
-            events = Events(*units)
-            bits = np.bincount(events.owner, mixer.log2_probability(events, inputs(events, bodies, 0)), len(units[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(units[0].view(np.int64)), pa.array(units[1]), pa.array(bits.astype(np.float32))], ["key", "c", "bits"])
+        for own, bodies in each_part(rows):
+            events = Events(*own[:4])
+            keys, n, _, _, who, counts, place = own
+            bits = np.bincount(events.owner, mixer.log2_probability(events, inputs(events, bodies, buckets, False)), len(keys)).astype(np.float32)
+            place = np.cumsum(place, dtype=np.int32)
+            for chunk, lo, hi in zip(who.tolist(), np.cumsum(counts) - counts, np.cumsum(counts), strict=True):
+                at = place[lo:hi]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([boxed(np.diff(keys[at], prepend=U(0)), n[at], bits[at])], pa.binary())], ["chunk", "body"])
 
     return run
 
@@ -603,7 +634,7 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def scored(total: int, vocabulary: int, ends: int):
-    """Rows of a chunk: first its units (kind 0: key, c, bits), then its texts (kind 1) -> scores."""
+    """Rows of a chunk: first its units (kind 0), then its texts (kind 1) -> scores."""
     scale = math.log10(total + 0.5 * (vocabulary + 1))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -615,10 +646,12 @@ def scored(total: int, vocabulary: int, ends: int):
                 if chunks[lo] != last:
                     last, parts, look = chunks[lo], [], None
                 if not kinds[lo]:
-                    parts.append([batch.column(c).slice(lo, hi - lo).to_numpy().copy() for c in ("key", "c", "bits")])
+                    for body in batch.column("body").slice(lo, hi - lo).to_pylist():
+                        found, c, bits = unboxed(body)
+                        parts.append((np.cumsum(found), c, bits))
                     continue
                 if look is None:
-                    look = Lookup(*[np.concatenate(x) for x in zip(*[(k.view(np.uint64), c, b) for k, c, b in parts], strict=True)])
+                    look = Lookup(*[np.concatenate(x) for x in zip(*parts, strict=True)])
                     parts = []
                 for a, b in _text.slices(offsets[lo : hi + 1], SLICE):
                     a, b = a + lo, b + lo
@@ -678,34 +711,39 @@ def score(docs: DataFrame, held_out: Column, chunk_rows: int = CHUNK_ROWS, part_
         "lm-texts",
     )
     raw = written(rows.select("chunk", "text", "training").mapInArrow(gathered, GATHERED), "lm-gathered")
-    asked = raw.where("key is not null")
     n, chunks, ends = raw.agg(F.count("key"), F.countDistinct("chunk"), F.sum("docs")).first()
     parts = max(1, -(-n // part_rows))
-    tasks = max(1, -(-parts // 2))
     # words by their bytes, heads by theirs: what a part asks has many contexts in common
-    units = written(asked.select("key", "n", "word").repartitionByRange(parts, F.col("word"), F.expr(HEAD_ORDER)).mapInArrow(collected(parts), COLLECTED), "lm-units")
+    ranged = raw.where("key is not null").select("chunk", "key", "n", "word").repartitionByRange(parts, F.col("word"), F.expr(HEAD_ORDER))
+    units = written(ranged.mapInArrow(collected(parts), COLLECTED), "lm-units")
+    del ranged
+    dropped(raw)
     freed(spark)
     words, known_words = units.agg(F.sum("words"), F.sum("known")).first()
     total, vocabulary = int(words or 0) + int(ends or 0), int(known_words or 0) + (1 if ends else 0)
-    asks = units.where("bucket is not null").select("bucket", "part", "body")
-    known = written(asks.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(answered, "part int, body binary"), "lm-known")
+    asks = units.where(f"bucket <> {OWN}").select("bucket", "part", "body")
+    known = written(asks.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(answered, "bucket int, part int, body binary"), "lm-known")
+    del asks
     freed(spark)
 
-    own = units.where("bucket is null").select("part", F.lit(0).alias("kind"), "body").unionByName(known.select("part", F.lit(1).alias("kind"), "body"))
-    own = own.repartition(tasks, "part").sortWithinPartitions("part", "kind")
+    own = units.where(f"bucket = {OWN}").select("part", "bucket", "body").unionByName(known.select("part", "bucket", "body"))
+    own = own.repartition(parts, "part").sortWithinPartitions("part")
     mixer = Mixer()
     a, b = mixer.sums()
-    for r in own.mapInArrow(learned, "slot int, a double, b double").groupBy("slot").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():  # as many as a mixer has slots
+    # as many as a mixer has slots
+    for r in own.mapInArrow(learned(parts), "slot int, a double, b double").groupBy("slot").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():
         a[r["slot"]], b[r["slot"]] = r["a"], r["b"]
     mixer.put(a, b)
+    freed(spark)
     model = spark.sparkContext.broadcast(mixer)
-    found = written(own.mapInArrow(worked_out(model), "key long, c long, bits float"), "lm-found")
+    found = written(own.mapInArrow(worked_out(model, parts), "chunk long, body binary"), "lm-found")
+    del own
     for done in (units, known):
         dropped(done)
     freed(spark)
 
-    look = asked.select("chunk", "key").join(found.hint("merge"), "key").select("chunk", F.lit(0).alias("kind"), "key", "c", "bits", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
-    texts = rows.select("chunk", F.lit(1).alias("kind"), null("long").alias("key"), null("long").alias("c"), null("float").alias("bits"), "doc_id", "held_out", "text")
+    look = found.select("chunk", F.lit(0).alias("kind"), "body", null("long").alias("doc_id"), null("boolean").alias("held_out"), null("string").alias("text"))
+    texts = rows.select("chunk", F.lit(1).alias("kind"), null("binary").alias("body"), "doc_id", "held_out", "text")
     both = look.unionByName(texts).repartition(max(1, chunks // 2), "chunk").sortWithinPartitions("chunk", "kind")
     return both.mapInArrow(scored(total, vocabulary, int(ends or 0)), SCORED)
 
