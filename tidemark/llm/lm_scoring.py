@@ -62,6 +62,7 @@ CONTEXTS = 5
 END = 0xFF  # no byte of UTF-8
 SPACE = 0x20
 BATCH = 2048  # events a step of learning
+FAN = 32  # mixers a task adds up
 BLOCK = 1 << 15  # events scored at once
 RATE, REFINED_PRIOR = 0.3, 16
 GATES, BUCKETS = 32, 33
@@ -535,14 +536,14 @@ class Mixer:
         self.ones, self.seen = a[n:], b[n:]
 
 
-def each_part(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], dict[int, bytes]]]:
-    """Rows (part, bucket, body), ordered by part: a part's own row and its answers by bucket."""
+def each_part(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], dict[int, bytes]]]:
+    """Rows (part, bucket, body), ordered by part: each part, its own row and its answers by bucket."""
     last, own, bodies = None, None, {}
     for batch in rows:
         for i, (part, bucket) in enumerate(zip(batch.column("part").to_pylist(), batch.column("bucket").to_pylist(), strict=True)):
             if part != last:
                 if own is not None:
-                    yield own, bodies
+                    yield last, own, bodies
                 last, own, bodies = part, None, {}
             body = batch.column("body")[i].as_py()
             if bucket == OWN:
@@ -550,29 +551,56 @@ def each_part(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray]
             else:
                 bodies[bucket] = body
     if own is not None:
-        yield own, bodies
+        yield last, own, bodies
+
+
+SUMS = "part int, body binary"
 
 
 def learned(buckets: int):
-    """Each part's sums of a mixer, as (slot, a, b)."""
+    """Each part's sums of a mixer."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, bodies in each_part(rows):
+        for part, own, bodies in each_part(rows):
             mixer, events = Mixer(), Events(*own[:4])
             mixer.learn(events, inputs(events, bodies, buckets, True))
-            a, b = mixer.sums()
-            at = np.flatnonzero(b)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(a[at]), pa.array(b[at])], ["slot", "a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([boxed(*mixer.sums())], pa.binary())], ["part", "body"])
 
     return run
 
 
+def added(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, body), ordered by part -> one with the sum of all bodies' arrays, under the least part."""
+    part, total = None, None
+    for batch in rows:
+        for p, body in zip(batch.column("part").to_pylist(), batch.column("body").to_pylist(), strict=True):
+            new = unboxed(body)
+            part, total = (p, new) if total is None else (part, [x + y for x, y in zip(total, new, strict=True)])
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([boxed(*total)], pa.binary())], ["part", "body"])
+
+
+def sum_of(sums: DataFrame, parts: int) -> Mixer:
+    """The mixer of all parts' sums, added up `FAN` at a time and in a fixed order."""
+    span = 1
+    while parts > FAN * span:
+        span *= FAN
+        sums = sums.repartitionByRange(-(-parts // span), F.expr(f"part div {span}")).sortWithinPartitions("part").mapInArrow(added, SUMS)
+    mixer, total = Mixer(), None
+    for r in sorted(sums.collect(), key=lambda r: r["part"]):  # at most FAN rows, but where the engine dealt them finer
+        new = unboxed(r["body"])
+        total = new if total is None else [x + y for x, y in zip(total, new, strict=True)]
+    if total is not None:
+        mixer.put(*total)
+    return mixer
+
+
 def worked_out(model, buckets: int):
     """(chunk, body) for each part and the chunks that have units of it: their keys, how often training texts have them, and the log2 of their probability. `model` is a broadcast."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mixer = model.value
-        for own, bodies in each_part(rows):
+        for _, own, bodies in each_part(rows):
             events = Events(*own[:4])
             keys, n, _, _, who, counts, place = own
             bits = np.bincount(events.owner, mixer.log2_probability(events, inputs(events, bodies, buckets, False)), len(keys)).astype(np.float32)
@@ -728,14 +756,8 @@ def score(docs: DataFrame, held_out: Column, chunk_rows: int = CHUNK_ROWS, part_
 
     own = units.where(f"bucket = {OWN}").select("part", "bucket", "body").unionByName(known.select("part", "bucket", "body"))
     own = own.repartition(parts, "part").sortWithinPartitions("part")
-    mixer = Mixer()
-    a, b = mixer.sums()
-    # as many as a mixer has slots
-    for r in own.mapInArrow(learned(parts), "slot int, a double, b double").groupBy("slot").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():
-        a[r["slot"]], b[r["slot"]] = r["a"], r["b"]
-    mixer.put(a, b)
+    model = spark.sparkContext.broadcast(sum_of(own.mapInArrow(learned(parts), SUMS), parts))
     freed(spark)
-    model = spark.sparkContext.broadcast(mixer)
     found = written(own.mapInArrow(worked_out(model, parts), "chunk long, body binary"), "lm-found")
     del own
     for done in (units, known):
