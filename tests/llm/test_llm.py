@@ -176,6 +176,38 @@ def test_join_pairs_of_blocks_lose_nothing(spark, monkeypatch):
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute_components(rows, t)[0]
 
 
+def test_join_class_counts_bound_overlaps():
+    r = np.random.default_rng(12)
+    pool = r.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2)
+    sets = [np.sort(r.choice(pool, int(r.integers(1, 300)), replace=False)) for _ in range(40)]
+    counts = ngram_join.spread(sets).astype(np.int64)
+    assert [c.sum() for c in counts] == [len(x) for x in sets]
+    for i in range(40):
+        for j in range(i):
+            assert len(np.intersect1d(sets[i], sets[j])) <= np.minimum(counts[i], counts[j]).sum()
+
+
+def test_join_overlaps_and_derived_overlaps():
+    r = np.random.default_rng(13)
+    pivot = np.sort(r.integers(0, 1 << 62, 200).astype(np.uint64))
+    near = [np.sort(np.concatenate([r.choice(pivot, 180, replace=False), r.integers(0, 1 << 62, int(r.integers(1, 30))).astype(np.uint64)])) for _ in range(8)] + [np.sort(r.integers(0, 1 << 62, 50).astype(np.uint64))]
+    rows = {"a": [1] * 10 + [2] * 2, "salt": [0] * 12, "kind": [0] + [1] * 9 + [0, 1], "b": [0, *range(10, 19), 0, 18], "body": [x.tobytes() for x in (pivot, *near, near[0], near[8])]}
+    got = pa.Table.from_batches(ngram_join.overlaps(iter([pa.RecordBatch.from_pydict(rows)]))).to_pylist()
+    by = {x["b"]: x for x in got if x["a"] == 1}
+    for i, x in enumerate(near):
+        row = by[10 + i]
+        assert (row["na"], row["nb"], row["both"]) == (200, len(x), len(np.intersect1d(pivot, x)))
+        if i < 8:
+            assert row["minus"] == np.setdiff1d(pivot, x).tobytes() and row["plus"] == np.setdiff1d(x, pivot).tobytes()
+    assert by[18]["minus"] is None and [x["both"] for x in got if x["a"] == 2] == [len(np.intersect1d(near[0], near[8]))]
+    pairs = [(i, j) for i in range(8) for j in range(i)]
+    ask = {"a": [10 + i for i, _ in pairs], "b": [10 + j for _, j in pairs], "na": [len(near[i]) for i, _ in pairs], "nb": [len(near[j]) for _, j in pairs], "known": [by[10 + j]["both"] for _, j in pairs]}
+    for c in ("minus", "plus"):
+        ask |= {f"{c}_a": [by[10 + i][c] for i, _ in pairs], f"{c}_b": [by[10 + j][c] for _, j in pairs]}
+    found = pa.Table.from_batches(ngram_join.derived(iter([pa.RecordBatch.from_pydict(ask)]))).to_pylist()
+    assert [x["both"] for x in found] == [len(np.intersect1d(near[i], near[j])) for i, j in pairs]
+
+
 def test_join_odd_rows(spark, odd, none):
     t = ngram_join.Threshold(3, 90, 100)
     got = ngram_join.similarity_components(odd, t).collect()

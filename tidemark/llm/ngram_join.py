@@ -12,8 +12,18 @@ the others are verified against it alone. What that proves to be in one
 component needs no more answers. Other pairs of a list are skipped where the
 known overlaps with a common pivot already exclude a link: of two sets x, y
 with overlaps p, q with it, no more than min(p, q) + min(|x| - p, |y| - q)
-can be common. All pairs left are verified, so no link is lost; a list is
-worked off in pairs of hash blocks of bounded size.
+can be common. Where x and y are both similar to their pivot p, their overlap
+is derived from what they differ in from p, without reading the sets:
+|x y| = |p y| - |p-x| + |(p-x)(p-y)| + |(x-p)(y-p)|.
+All pairs left are verified, so no link is lost; a list is worked off in pairs
+of hash blocks of bounded size.
+
+Before sets are fetched, a pair's overlap is bounded by how many shingles each
+set has in every one of `SPREAD` classes of hashes: the sum of the lesser
+counts. Pairs that merely share a common shingle end there.
+
+Texts are one class where the 64-bit names of their sets agree, which depend
+on all hashes and their number.
 
 A set holds fewer than 2**32 shingles.
 
@@ -41,6 +51,8 @@ from tidemark.sources.tables import table
 BUCKET_BITS = 20
 LIST_BLOCK = 2048
 HOLD = 4096
+SPREAD = 64
+FULL = 0xFFFF  # a class count that stands for more, too
 MOST_BROADCAST = 1_000_000
 U = np.uint64
 
@@ -97,8 +109,16 @@ def signatures(k: int):
     return run
 
 
+def spread(sets: list[np.ndarray]) -> np.ndarray:
+    """How many hashes of each set lie in each class: (sets, SPREAD)."""
+    flat = (np.concatenate(sets) if sets else np.zeros(0, np.uint64)) * _text._SALT[52] >> U(64 - (SPREAD - 1).bit_length())
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    counts = np.bincount(owner * SPREAD + flat.astype(np.int64), minlength=len(sets) * SPREAD)
+    return np.minimum(counts, FULL).astype(np.uint16).reshape(len(sets), SPREAD)
+
+
 def prefixes(t: Threshold, levels: np.ndarray):
-    """(doc_id, text) -> (cls, doc_id, n, tokens): the first shingles of each set in the common order."""
+    """(doc_id, text) -> (cls, doc_id, n, tokens, spread): the first shingles of each set in the common order, and its class counts."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -116,7 +136,8 @@ def prefixes(t: Threshold, levels: np.ndarray):
                 tokens = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(np.concatenate(out).view(np.int64)))
                 names = class_of(sets)[keep]
                 ids = batch.column("doc_id").slice(a, len(sets)).take(pa.array(keep))
-                yield pa.RecordBatch.from_arrays([pa.array(names), ids, pa.array(np.array([len(sets[i]) for i in keep], np.int64)), tokens], ["cls", "doc_id", "n", "tokens"])
+                counts = pa.array([c.tobytes() for c in spread([sets[i] for i in keep])], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(names), ids, pa.array(np.array([len(sets[i]) for i in keep], np.int64)), tokens, counts], ["cls", "doc_id", "n", "tokens", "spread"])
 
     return run
 
@@ -132,23 +153,72 @@ def whole_sets(k: int):
     return run
 
 
+ANSWERED = "a long, b long, na long, nb long, both long, minus binary, plus binary"
+
+
 def overlaps(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, salt, kind, b, body), ordered so that a's own set comes first -> (a, b, na, nb, both)."""
-    held, own = None, None
+    """Rows (a, salt, kind, b, body), ordered so that a's own set comes first -> a, b, their sizes and overlap; for similar ones (half of all shingles common) also a's hashes that b lacks and b's that a lacks."""
+    held, own = None, np.zeros(0, np.uint64)
     for batch in rows:
-        a, salt, kind = (batch.column(c).to_numpy() for c in ("a", "salt", "kind"))
-        b, bodies = batch.column("b").to_numpy(zero_copy_only=False), batch.column("body")
-        out = []
-        for i in range(len(batch)):
-            s = np.frombuffer(bodies[i].as_py(), np.uint64)
-            if kind[i] == 0:
-                held, own = (a[i], salt[i]), s
-            elif held == (a[i], salt[i]):
-                at = np.searchsorted(own, s)
-                at[at == len(own)] = 0
-                out.append((a[i], b[i], len(own), len(s), int(np.count_nonzero(own[at] == s))))
+        a, salt, kind, b = (batch.column(c).to_numpy() for c in ("a", "salt", "kind", "b"))
+        data, offsets = _text.raw(batch.column("body"))
+        flat, at = np.ascontiguousarray(data).view(np.uint64), offsets // 8
+        cuts = np.flatnonzero((a[1:] != a[:-1]) | (salt[1:] != salt[:-1])) + 1
+        out, minus, plus = [], [], []
+        for lo, hi in zip([0, *cuts], [*cuts, len(a)], strict=True):
+            if lo == hi:
+                continue
+            if kind[lo] == 0:
+                held, own = (a[lo], salt[lo]), flat[at[lo] : at[lo + 1]].copy()
+                lo += 1
+            if lo == hi or held != (a[lo], salt[lo]):
+                continue
+            part = flat[at[lo] : at[hi]]
+            place = np.searchsorted(own, part)
+            place[place == len(own)] = 0
+            hit = own[place] == part
+            before = np.concatenate([[0], np.cumsum(hit)])
+            ends = at[lo : hi + 1] - at[lo]
+            both, size = before[ends[1:]] - before[ends[:-1]], np.diff(ends)
+            out.append(np.stack([a[lo:hi], b[lo:hi], np.full(hi - lo, len(own)), size, both]))
+            for i in range(hi - lo):
+                if 2 * both[i] < len(own) + size[i] - both[i]:
+                    minus.append(None)
+                    plus.append(None)
+                    continue
+                row = slice(ends[i], ends[i + 1])
+                lacks = np.ones(len(own), bool)
+                lacks[place[row][hit[row]]] = False
+                minus.append(own[lacks].tobytes())
+                plus.append(part[row][~hit[row]].tobytes())
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in zip(*out, strict=True)], ["a", "b", "na", "nb", "both"])
+            yield pa.RecordBatch.from_arrays([*[pa.array(c) for c in np.concatenate(out, 1)], pa.array(minus, pa.binary()), pa.array(plus, pa.binary())], ["a", "b", "na", "nb", "both", "minus", "plus"])
+
+
+def derived(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (a, b, na, nb, known, minus_a, plus_a, minus_b, plus_b) of sets with a common pivot, `known` being b's overlap with it -> (a, b, na, nb, both)."""
+    for batch in rows:
+        sets = [(batch.column(c)) for c in ("minus_a", "minus_b", "plus_a", "plus_b")]
+        known, both = batch.column("known").to_numpy(), []
+        for i in range(len(batch)):
+            less_a, less_b, more_a, more_b = (np.frombuffer(c[i].as_py(), np.uint64) for c in sets)
+            both.append(int(known[i]) - len(less_a) + len(np.intersect1d(less_a, less_b, True)) + len(np.intersect1d(more_a, more_b, True)))
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("a", "b", "na", "nb")], pa.array(both, pa.int64())], ["a", "b", "na", "nb", "both"])
+
+
+def near_enough(t: Threshold):
+    """Rows (a, b, na, nb, sa, sb) -> those (a, b) whose class counts allow a link."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            if not len(batch):
+                continue
+            x, y = (np.ascontiguousarray(_text.raw(batch.column(c))[0]).view(np.uint16).reshape(-1, SPREAD) for c in ("sa", "sb"))
+            least = np.minimum(x, y)
+            keep = (least.sum(1, dtype=np.int64) >= needed(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), t)) | (least == FULL).any(1)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
 
 
 def needed(na, nb, t: Threshold):
@@ -234,8 +304,16 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def bounded(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
+    """The pairs (a, b) whose class counts allow a link."""
+    counts = sets.select("cls", "n", "spread")
+    first = pairs.join(dealt(counts.select(F.col("cls").alias("a"), F.col("n").alias("na"), F.col("spread").alias("sa"))), "a")
+    both = first.join(dealt(counts.select(F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("spread").alias("sb"))), "b")
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(near_enough(t), "a long, b long")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, t: Threshold) -> DataFrame:
-    """(a, b, na, nb, both) of distinct pairs of classes: sets are fetched for these only, each a's in groups of bounded size."""
+    """(a, b, na, nb, both, minus, plus) of distinct pairs of classes: sets are fetched for these only, each a's in groups of bounded size."""
     sides = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     wanted = cut(sides.join(classes, "cls").select(F.col("rep").alias("doc_id")).distinct())
     if wanted.count() <= MOST_BROADCAST:  # one number a set; beyond, a shuffled join
@@ -250,7 +328,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, t: Threshold
         .select("a", "salt", F.lit(1).alias("kind"), "b", "body")
     )
     both = held.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", "kind")
-    out = written(both.mapInArrow(overlaps, "a long, b long, na long, nb long, both long"), "join-overlaps")
+    out = written(both.mapInArrow(overlaps, ANSWERED), "join-overlaps")
     dropped(sets)
     return out
 
@@ -270,9 +348,9 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     counts = _tables.total_table(raw.where("piece is not null"), 1 << BUCKET_BITS, tasks)
     levels = np.minimum(np.rint(4 * np.log2(np.maximum(counts, 1))), 127).astype(np.uint64)
 
-    first = docs.where("doc_id is not null").mapInArrow(prefixes(t, levels), "cls long, doc_id long, n long, tokens array<bigint>")
+    first = docs.where("doc_id is not null").mapInArrow(prefixes(t, levels), "cls long, doc_id long, n long, tokens array<bigint>, spread binary")
     reps = classes.select("cls", F.col("rep").alias("doc_id"))
-    sets = written(first.join(dealt(reps), ["cls", "doc_id"]).select("cls", "n", "tokens"), "join-prefixes")
+    sets = written(first.join(dealt(reps), ["cls", "doc_id"]).select("cls", "n", "tokens", "spread"), "join-prefixes")
     postings = sets.select("cls", "n", F.posexplode("tokens").alias("pos", "token"))
     # a list's pivot is the set in which its shingle comes first, then the smallest; position and size share a number
     rank = F.col("pos").cast("long") * (1 << 32) + F.col("n")
@@ -282,7 +360,8 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
 
     near = listed.where((F.col("cls") != F.col("pivot")) & may_link(F.col("n"), F.col("pos"), F.col("pivot_n"), F.col("pivot_pos"), t))
     pairs = written(near.select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct(), "join-pairs")
-    answers = verified(pairs, docs, classes, t)
+    close = written(bounded(pairs, sets, t), "join-close")
+    answers = verified(close, docs, classes, t)
     links = linked(answers, t)
     labels = connected_components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
 
@@ -299,9 +378,15 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     blocked = blocked.select("token", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "cls", "n", F.col("pos").cast("long").alias("pos"), "label", "pivot", "known")
     more = blocked.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "pos", "n").mapInArrow(list_pairs(t), "a long, b long").distinct()
     more = written(more.join(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti"), "join-more")
-    for done in (sets, listed):  # what follows reads the pairs only
+    more_close = written(bounded(more, sets, t), "join-more-close")
+    for done in (sets, listed, more, pairs, close):  # what follows reads the close pairs only
         dropped(done)
-    links = links.union(linked(verified(more, docs, classes, t), t))
+    told = answers.where("minus is not null").join(best, (F.col("b") == F.col("cls")) & (F.col("a") == F.col("pivot"))).select("cls", "pivot", F.col("nb").alias("n"), F.col("both").alias("known"), "minus", "plus")
+    x, y = (told.select(*[F.col(c).alias(c if c == side else f"{c}_{side}") for c in ("pivot", "n", "known", "minus", "plus")], F.col("cls").alias(side)) for side in ("a", "b"))
+    common = more_close.join(dealt(x), "a").join(dealt(y), "b").where("pivot_a = pivot_b")
+    by_pivot = written(common.select("a", "b", F.col("n_a").alias("na"), F.col("n_b").alias("nb"), F.col("known_b").alias("known"), "minus_a", "plus_a", "minus_b", "plus_b").mapInArrow(derived, "a long, b long, na long, nb long, both long"), "join-derived")
+    rest = written(more_close.join(dealt(by_pivot.select("a", "b")), ["a", "b"], "left_anti"), "join-rest")
+    links = links.union(linked(by_pivot, t)).union(linked(verified(rest, docs, classes, t), t))
 
     labels = connected_components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
     named = classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
