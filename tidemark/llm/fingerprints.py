@@ -2,11 +2,14 @@
 
 A text's sketch keeps every shingle hash below a fixed fraction of the hash
 range, so its size follows the text's and any two sketches compare: their
-common hashes estimate resemblance and containment, and the union of two
-sketches is the sketch of both texts' shingles.
+common hashes estimate resemblance and containment, and two sketches merge to
+that of both texts' shingles. Where no hash is so low, the least one stands
+for the text, so that only texts without words have the empty fingerprint.
 
 Null texts count as empty; a text of fewer words than a shingle has its whole
-word sequence as one; an empty text has the empty fingerprint.
+word sequence as one. Rows that repeat an id are each a document, ordered by
+their texts' hashes; null ids come last. Columns other than doc_id and text are
+not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,8 +21,9 @@ from tidemark.plans.scratch import cut
 from tidemark.sources.tables import table
 
 SHINGLE = 5
-SCALE = 8
+SCALE = 4
 ROWS_A_RANGE = 1024
+QUANTILES, COARSE = 1024, 32
 MOST_BROADCAST = 500_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -44,9 +48,14 @@ def sketch(text: Column, shingle: int = SHINGLE, scale: int = SCALE) -> Column:
         short = F.when(n > 0, F.array(F.xxhash64(F.array_join(w, " "), F.lit("short")))).otherwise(F.array().cast("array<bigint>"))
         return F.when(n >= shingle, each).otherwise(short)
 
+    return once(once(text_words(text), hashes), lambda h: lowest(h, scale))
+
+
+def lowest(hashes: Column, scale: int = SCALE) -> Column:
+    """The sorted distinct hashes in the lowest 1/`scale` of the range, or the least one if none is."""
     most = (1 << 63) // scale * 2 - (1 << 63)
-    kept = F.filter(once(text_words(text), hashes), lambda h: h < F.lit(most).cast("long"))
-    return F.sort_array(F.array_distinct(kept))
+    below = F.sort_array(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(most).cast("long"))))
+    return once(below, lambda b: F.when((F.size(b) > 0) | (F.size(hashes) == 0), b).otherwise(F.array(F.array_min(hashes))))
 
 
 def fingerprint(sketch_: Column) -> Column:
@@ -54,9 +63,9 @@ def fingerprint(sketch_: Column) -> Column:
     return F.array_join(F.transform(sketch_, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def merged(a: Column, b: Column) -> Column:
+def merged(a: Column, b: Column, scale: int = SCALE) -> Column:
     """The sketch of both texts' shingles together."""
-    return F.sort_array(F.array_union(a, b))
+    return once(F.array_union(a, b), lambda both: lowest(both, scale))
 
 
 def common(a: Column, b: Column) -> Column:
@@ -75,29 +84,68 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(a) > 0, common(a, b) / F.size(a)).otherwise(F.lit(0.0))
 
 
+def id_ranges(docs: DataFrame, rows_a_range: int) -> Column:
+    """A number for each row's range: higher for higher ids, and for one id higher for lower hashes of text.
+
+    Quantiles of the ids part the rows; between two of them ids are parted
+    evenly, so that far-off ids spoil only their own quantile. An id that
+    fills a quantile, and the null ids, are parted by the texts' hashes. Takes
+    the columns doc_id and hash.
+    """
+    steps = F.array(*[F.lit(k / QUANTILES) for k in range(QUANTILES + 1)])
+    n, nulls, cuts = docs.agg(F.count("*"), F.count_if(F.col("doc_id").isNull()), F.percentile_approx(F.col("doc_id").cast("long"), steps, F.lit(8 * QUANTILES))).first()
+    cuts = sorted(cuts or [])
+    bounds = sorted(set(cuts))
+    pieces = max(1, n // (QUANTILES * rows_a_range))
+    id_, hash_ = F.col("doc_id").cast("long"), F.col("hash")
+
+    def longs(values: list[int]) -> Column:
+        return F.from_json(F.lit(str(list(values))), "array<bigint>")
+
+    def parted(by: Column) -> Column:
+        """Which of so many equal parts of the hash range, the lowest hashes last."""
+        return by - 1 - F.least(by - 1, F.floor((hash_ / F.lit(2.0**64) + 0.5) * by))
+
+    of_null = parted(F.lit(max(1, nulls // rows_a_range)).cast("long"))
+    if not bounds:
+        return of_null
+    blocks = [bounds[k : k + COARSE] for k in range(0, len(bounds), COARSE)]
+    block = F.size(F.filter(longs([b[0] for b in blocks]), lambda b: b <= id_)) - 1
+    within = F.size(F.filter(F.get(F.from_json(F.lit(str(blocks)), "array<array<bigint>>"), block), lambda b: b <= id_))
+    at = F.when(block < 0, F.lit(-1)).otherwise(block * COARSE + within - 1)  # the last bound up to the id; -1: below all
+    low, high = F.get(longs(bounds), at), F.get(longs([*bounds[1:], bounds[-1] + 1]), at)
+    splits = F.get(longs([pieces * cuts.count(b) if cuts.count(b) > 1 else 1 for b in bounds]), at)
+    even = F.least(F.lit(pieces), F.floor((id_ - low).cast("double") / (high - low).cast("double") * pieces) + 1)
+    here = F.when(at < 0, F.lit(0)).when((id_ == low) & (splits > 1), parted(splits)).otherwise(F.shiftleft(even.cast("long"), 24))
+    return F.when(id_.isNull(), of_null).otherwise(F.shiftleft((at + 2).cast("long"), 48) + here)
+
+
 def with_next(docs: DataFrame, value: Column, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
     """(doc_id, text, value, next_text, next_value): the row that follows by descending doc_id; the last is followed by the first.
 
     Rows are dealt by ranges of ids, each ordered on its own. Only one row a
-    range is ordered over all ranges, to find what follows a range's last
-    row. Null ids come last; equal ids are ordered by their texts' hashes.
-    `value` is worked out of `text` once a row.
+    range looks across: for the next range, in its own quantile or else the
+    next one that holds any. Null ids come last; equal ids are ordered by their
+    texts' hashes. `value` is worked out of `text` once a row.
     """
-    low, high, n = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("*")).first()
-    width = 1 if low is None else max(1, (int(high) - int(low) + 1) * rows_a_range // max(n, 1))
-    at = F.coalesce(F.expr(f"(doc_id - ({low or 0}L)) div {width}L"), F.lit(-1).cast("long"))
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("at", at)
-
-    tops = rows.groupBy("at").agg(F.max("doc_id").alias("top"))
-    down = Window.orderBy(F.col("at").desc())
-    follows = cut(tops.select("at", "top", F.coalesce(F.lead("at").over(down), F.first("at").over(down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("follows")))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("hash", F.xxhash64("text"))
+    rows = rows.withColumn("at", id_ranges(rows, rows_a_range))
+
+    tops = cut(rows.groupBy("at").agg(F.max("doc_id").alias("top")))
+    quantile = F.shiftright("at", 48).alias("quantile")
+    groups = tops.groupBy(quantile).agg(F.max("at").alias("first"))  # QUANTILES + 3 rows at most
+    round_ = Window.orderBy(F.col("quantile").desc())
+    whole = round_.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    groups = groups.select("quantile", F.coalesce(F.lead("first").over(round_), F.first("first").over(whole)).alias("beyond"))
+    own = tops.select("at", "top", quantile).withColumn("inside", F.lead("at").over(Window.partitionBy("quantile").orderBy(F.col("at").desc())))
+    follows = cut(own.join(F.broadcast(groups), "quantile").select("at", "top", F.coalesce("inside", "beyond").alias("follows")))
     top = follows.select(F.col("at").alias("top_at"), "top")
-    if n // rows_a_range < MOST_BROADCAST:  # two numbers a range; beyond, a shuffled join
+    if follows.count() < MOST_BROADCAST:  # two numbers a range; beyond, a shuffled join
         top = F.broadcast(top)
-    firsts = rows.join(top, (F.col("at") == F.col("top_at")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("at").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("head"))
+    firsts = rows.join(top, (F.col("at") == F.col("top_at")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("at").agg(F.min(F.struct("hash", "text")).alias("head"))
     heads = firsts.select(F.col("at").alias("follows"), F.col("head.text").alias("text")).join(follows, "follows").select("at", F.col("text").alias("head_text"), value.alias("head_value"))
 
-    ranged = Window.partitionBy("at").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text"))
+    ranged = Window.partitionBy("at").orderBy(F.col("doc_id").desc_nulls_last(), F.col("hash"), F.col("text"))
     rows = rows.withColumn("value", value).withColumn("after_text", F.lead("text").over(ranged)).withColumn("after_value", F.lead("value").over(ranged))
     return rows.join(heads, "at", "left").select(
         "doc_id",
