@@ -537,6 +537,31 @@ def test_top_k_equals_brute_force(spark):
     assert exact_topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)).count() == 0
 
 
+def test_top_k_of_huge_components(spark):
+    rows = [(0, [1e200, 1.0]), (1, [1e200, 2.0]), (2, [-1e200, 3.0]), (3, [1.0, 1e12]), (20, [0.5, 1e12]), (21, [2.0, 0.0])]
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in exact_topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5, block_rows=2).collect()}
+    ints = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+    for q in (0, 20):
+        s = {i: max(-(2**63 - 1), min(2**63 - 1, sum(a * b for a, b in zip(ints[q], v)))) for i, v in ints.items() if i != q}
+        assert [got[q, k + 1] for k in range(5)] == [(i, s[i]) for i in sorted(s, key=lambda i: (-s[i], i))]
+
+
+def test_blocks_are_skipped_or_read_as_deep_as_the_floor_asks():
+    r = np.random.default_rng(15)
+    v = np.zeros((4000, 6))
+    v[:, 0] = np.floor(r.exponential(100, 4000))
+    v[:, 1:] = r.integers(-3, 4, (4000, 5))
+    lists = exact_topk.SortedLists(np.arange(4000), v)
+    qs = np.array([[5.0, 1, 0, -1, 0, 0], [-1, 0, 0, 2, 0, 1], [1, 1, 1, 1, 1, 1], [9, 0, 0, 0, 0, 0], [0, 0, 0, 0, 0, 0]])
+    s = v @ qs.T
+    floors = np.array([np.sort(s[:, 0])[-9], -np.inf, s[:, 2].max() + 10**6, s[:, 3].max(), 0.0])
+    got = {i: list(zip(ids.tolist(), scores.tolist())) for i, ids, scores in lists.reaching(qs, floors, 5)}
+    assert 2 not in got
+    for i in (0, 1, 3, 4):
+        want = sorted((-s[j, i], j) for j in range(4000) if s[j, i] >= floors[i])[:5]
+        assert got[i] == [(j, -x) for x, j in want]
+
+
 def test_threshold_stops_early_on_spread_lists():
     r = np.random.default_rng(9)
     v = np.zeros((4000, 4))
