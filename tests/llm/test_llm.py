@@ -253,6 +253,85 @@ def test_url_templates_generalise_and_reject_by_purity(spark):
     assert url_filters.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def plain_tree(rows, rules, depth=3, least_pages=5, least_share=0.02, many_pages=1000, smooth=4.0, sigma=1.96):
+    """(template, smoothed share) of every url, by a plain tree."""
+    parsed = [plain_url(u) for u in rows]
+    labels = []
+    for host, path in parsed:
+        fit = [(h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        labels.append(max(fit, key=lambda x: len(x[0]))[1] if fit else None)
+    segments = [[x for x in p.split("/") if x] for _, p in parsed]
+    levels = [[(h, "") for h, _ in parsed]]
+    for d in range(depth):
+        child = Counter((*levels[d][i], s[d]) for i, s in enumerate(segments) if len(s) > d)
+        parent = Counter()
+        for (h, t, _), n in child.items():
+            parent[h, t] += n
+        now = []
+        for i, s in enumerate(segments):
+            h, t = levels[d][i]
+            if len(s) <= d:
+                now.append((h, t))
+                continue
+            n = child[h, t, s[d]]
+            now.append((h, t + "/" + (s[d] if n >= least_pages and (n >= least_share * parent[h, t] or n >= many_pages) else "*")))
+        levels.append(now)
+    count = lambda keys: {k: (sum(labels[i] == "block" for i in at), sum(labels[i] is not None for i in at)) for k, at in keys.items()}
+
+    def grouped(of):
+        out = {}
+        for i in range(len(rows)):
+            out.setdefault(of(i), []).append(i)
+        return count(out)
+
+    bad, all_ = grouped(lambda i: 0)[0]
+    base = min(bad / all_, 0.5) if all_ else 0.0
+    estimate = {k: (b + smooth * base) / (a + smooth) for k, (b, a) in grouped(lambda i: levels[0][i]).items()}
+    for d in range(depth):
+        nodes = grouped(lambda i: (levels[d][i], levels[d + 1][i]))  # noqa: B023
+        after = {}
+        for parent in {k[0] for k in nodes}:
+            mine = sorted((b / a, k[1][1], b, a, k[1]) for k, (b, a) in nodes.items() if k[0] == parent and a)
+            pools = []
+            for x in mine:
+                if pools:
+                    p = pools[-1][-1]
+                    both = (x[2] + p[2]) / (x[3] + p[3])
+                    if x[0] - p[0] <= sigma * math.sqrt(both * (1 - both) * (1 / x[3] + 1 / p[3])):
+                        pools[-1].append(x)
+                        continue
+                pools.append([x])
+            sums = {x[4]: (sum(y[2] for y in pool), sum(y[3] for y in pool)) for pool in pools for x in pool}
+            for k in nodes:
+                if k[0] == parent:
+                    b, a = sums.get(k[1], (0, 0))
+                    after[k[1]] = (b + smooth * estimate[parent]) / (a + smooth) if a else base
+        estimate = after
+    template = [t + ("/**" if len(segments[i]) > depth else "") for i, (_, t) in enumerate(levels[depth])]
+    leaf = grouped(lambda i: (levels[depth][i], template[i]))
+    out = []
+    for i in range(len(rows)):
+        b, a = leaf[levels[depth][i], template[i]]
+        out.append((template[i], round((b + smooth * estimate[levels[depth][i]]) / (a + smooth), 6)))
+    return out
+
+
+def test_url_tree_equals_a_plain_tree(spark):
+    """Several hosts and levels, repeated rows, unlabelled branches, and branches that merge or stay apart below the first level."""
+    r = np.random.default_rng(16)
+    urls = []
+    for host in ("a.test", "b.test", "c.other", "d.net"):
+        for top in ("x", "y", "zz"):
+            for sub in ("good", "bad", "mix", "new"):
+                urls += [f"http://{host}/{top}/{sub}/{int(r.integers(0, 9))}/{k}" for k in range(int(r.integers(3, 30)))]
+        urls += [f"http://{host}/{k}.html" for k in range(12)] + [f"http://{host}/", f"http://{host}"] * 3
+    rules = [("block", "test", f"/{top}/bad/{k}") for top in ("x", "y") for k in range(7)] + [("allow", "test", f"/{top}/good/") for top in ("x", "zz")] + [("block", "a.test", "/x/mix/1"), ("allow", "a.test", "/x/mix/2"), ("block", "d.net", "/")]
+    got = {x.page_id: (x.template, round(x.bad, 6)) for x in url_filters.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules, many_pages=15, least_share=0.4).collect()}
+    want = plain_tree(urls, rules, many_pages=15, least_share=0.4)
+    assert [got[i] for i in range(len(urls))] == want
+    assert len({b for _, b in want}) > 10
+
+
 # mixing
 
 
