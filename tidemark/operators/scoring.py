@@ -104,7 +104,8 @@ def kmeans_score(df: DataFrame, row_id: str, features: Sequence[str], k: int = 8
     near = F.get(centres, F.col("cluster"))
     gap = F.sqrt(F.aggregate(F.zip_with(vector_to_array("x"), near, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
     out = model.transform(scaled).withColumn("distance", gap)
-    return out.withColumn("score", F.col("distance") / F.greatest(F.avg("distance").over(Window.partitionBy("cluster")), F.lit(1e-12))).select(row_id, "cluster", "score")
+    mean = out.groupBy("cluster").agg(F.avg("distance").alias("mean_distance"))  # k rows
+    return out.join(F.broadcast(mean), "cluster").withColumn("score", F.col("distance") / F.greatest("mean_distance", F.lit(1e-12))).select(row_id, "cluster", "score")
 
 
 def pca_score(df: DataFrame, row_id: str, features: Sequence[str], k: int) -> DataFrame:

@@ -11,9 +11,11 @@ DIR_KEY = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is set (single-machine runs)."""
+    """The cluster's shared folder; a local one only where none is set and the master is local."""
     sc = spark.sparkContext
     found = spark.conf.get(DIR_KEY, None) or sc.getConf().get(DIR_KEY)
+    if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+        raise ValueError(f"set {DIR_KEY} to a folder that all executors share")
     if not found:
         found = tempfile.mkdtemp(prefix="tidemark-checkpoints-")
         spark.conf.set(DIR_KEY, found)
@@ -33,6 +35,8 @@ def written(frame: DataFrame, what: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     frame.write.option("compression", "zstd").parquet(path)
+    file = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(file)  # what nothing dropped before the application ends
     return spark.read.schema(frame.schema).parquet(path)
 
 
