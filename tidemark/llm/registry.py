@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from tidemark.llm import exact_topk, fingerprints, language_id, license_scan, lm_scoring, mixing, ngram_join, packing, token_counts, url_filters
 
 QUERIES = {
-    "pipeline": corpus_pipeline.run,
     "op1_language_id": language_id.op1_language_id,
     "op2_ngram_join": ngram_join.op2_ngram_join,
     "op3_url_filters": url_filters.op3_url_filters,

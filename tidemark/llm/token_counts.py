@@ -1,32 +1,43 @@
 """Token counts of whole texts without token ids.
 
-Each task splits its texts into pre-tokens, counts the pieces of every
-distinct pre-token once, joins these counts to the documents' pre-token
-frequencies and sums. The join stays within the task: nothing is shuffled, a
-task needs nothing from another, and its table of counts is bounded
-(`MOST_KNOWN` entries, then it starts anew).
+Texts are split into pre-tokens once; chunks of documents keep how often each
+document has each pre-token, by its place in the chunk's list of distinct ones.
+The lists are dealt by pre-token over the cluster, where the pieces of every
+distinct pre-token of the corpus are counted once, and the counts return to the
+chunks that asked, as one small body for each. There they are joined to the
+documents' frequencies and summed.
 
 Null texts count as empty: 0 bytes, 0 tokens. Texts are never cut or padded.
 Strings of special tokens inside a text count as the library's default has
-them: one token each. Repeated rows are counted each.
+them: one token each. Repeated rows and null ids are counted each. Columns
+other than doc_id and text are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tidemark.llm._boxes import boxed, unboxed
 from tidemark.llm._text import raw, slices
+from tidemark.plans.scratch import written
 from tidemark.sources.tables import table
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
-MOST_KNOWN = 150_000
+CHUNK_TOKENS = 250_000  # distinct pre-tokens, and
+CHUNK_FREQUENCIES = 2_000_000  # frequencies, beyond which a chunk ends
+TASK_TOKENS = 400_000  # pre-tokens of chunks that a task counts
+ENCODED_AT_ONCE = 5_000
 SLICE_BYTES = 500_000
 SIMPLE = "ɐ"  # below it, this module's own splitting is the library's
 
@@ -56,7 +67,6 @@ class PieceCounter:
         special = [t["content"] for t in shape["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.marks = {s[:2] for s in special}
-        self.known: dict[str, int] = {}
 
     def pre_tokens(self, text: str) -> list[str]:
         """The pre-tokens of a text without special strings."""
@@ -80,21 +90,19 @@ class PieceCounter:
             found.update(self.pre_tokens(text[at:]))
         return found, n
 
-    def learn(self, tokens: set[str]) -> None:
-        """Count the pieces of those pre-tokens that aren't known yet."""
-        new = list(tokens - self.known.keys())
-        if len(self.known) + len(new) > MOST_KNOWN:
-            self.known.clear()
-            new = list(tokens)
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for t, e in zip(part, self.library.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[t] = len(e)
+    def pieces(self, tokens: list[str]) -> np.ndarray:
+        """How many pieces each pre-token has."""
+        out = np.zeros(len(tokens), np.int64)
+        for at in range(0, len(tokens), ENCODED_AT_ONCE):
+            part = tokens[at : at + ENCODED_AT_ONCE]
+            out[at : at + len(part)] = [len(e) for e in self.library.encode_batch_fast(part, add_special_tokens=False)]
+        return out
 
     def count(self, texts: list[str]) -> list[int]:
+        """Tokens of texts that lie here, without a corpus."""
         own = [self.frequencies(t) for t in texts]
-        self.learn(set().union(*(f.keys() for f, _ in own)) if own else set())
-        known = self.known
+        tokens = list(set().union(*(f.keys() for f, _ in own)) if own else set())
+        known = dict(zip(tokens, self.pieces(tokens).tolist(), strict=True))
         return [sum([known[t] * n for t, n in f.items()]) + special for f, special in own]
 
 
@@ -108,27 +116,106 @@ def counter_of(path: str) -> PieceCounter:
     return _counters[path]
 
 
-def counted(path: str, limit: int):
+class Chunk:
+    """Documents and how often each has which of the chunk's distinct pre-tokens."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.docs: list[tuple[int, bool, int, int, int]] = []  # id, whether there is one, bytes, special tokens, distinct pre-tokens
+        self.at, self.times = array("i"), array("i")
+
+    def add(self, doc_id: int | None, n_bytes: int, found: Counter, special: int) -> None:
+        place = self.place
+        self.at.extend([place.setdefault(t, len(place)) for t in found])
+        self.times.extend(found.values())
+        self.docs.append((doc_id or 0, doc_id is not None, n_bytes, special, len(found)))
+
+    def rows(self, chunk: int) -> pa.RecordBatch:
+        """The documents' frequencies, then the pre-tokens by place."""
+        body = boxed(np.array(self.docs, np.int64).reshape(-1), np.array(self.at, np.int32), np.array(self.times, np.int32))
+        n = len(self.place)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n + 1, chunk)), pa.array([body, *[None] * n], pa.binary()), pa.array([None, *range(n)], pa.int32()), pa.array([None, *self.place], pa.string())], ["chunk", "body", "place", "token"]
+        )
+
+
+def split(path: str):
+    """(doc_id, text) -> chunks: (chunk, body, place, token)."""
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = counter_of(path)
+        counter, chunk, number = counter_of(path), Chunk(), TaskContext.get().partitionId() << 32
         for batch in rows:
             _, offsets = raw(batch.column("text"))
-            tokens = []
             for a, b in slices(offsets, SLICE_BYTES):
-                tokens += counter.count([x or "" for x in batch.column("text").slice(a, b - a).to_pylist()])
-            n = pa.array(tokens, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(offsets[1:] - offsets[:-1], pa.int64()), n, pa.array([x > limit for x in tokens], pa.bool_())],
-                ["doc_id", "n_bytes", "n_tokens", "over_limit"],
-            )
+                texts, ids = batch.column("text").slice(a, b - a).to_pylist(), batch.column("doc_id").slice(a, b - a).to_pylist()
+                for i, text, size in zip(ids, texts, np.diff(offsets[a : b + 1]).tolist(), strict=True):
+                    chunk.add(i, size, *counter.frequencies(text or ""))
+                if len(chunk.place) > CHUNK_TOKENS or len(chunk.at) > CHUNK_FREQUENCIES:
+                    yield chunk.rows(number)
+                    chunk, number = Chunk(), number + 1
+        if chunk.docs:
+            yield chunk.rows(number)
+
+    return run
+
+
+def counted(path: str):
+    """Rows (chunk, place, token), all of a pre-token in one task -> (chunk, body): the places and their pieces; each distinct pre-token is counted once."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        have = [(b.column("chunk"), b.column("place"), b.column("token")) for b in rows if len(b)]
+        if not have:
+            return
+        chunk, place = (np.concatenate([x[c].to_numpy() for x in have]) for c in (0, 1))
+        token = pa.chunked_array([x[2] for x in have]).combine_chunks().dictionary_encode()
+        del have
+        pieces = counter_of(path).pieces(token.dictionary.to_pylist())[token.indices.to_numpy()]
+        order = np.lexsort((place, chunk))
+        chunk, place, pieces = chunk[order], place[order], pieces[order]
+        cuts = np.flatnonzero(chunk[1:] != chunk[:-1]) + 1
+        for lo, hi in zip([0, *cuts], [*cuts, len(chunk)], strict=True):
+            body = boxed(np.diff(place[lo:hi], prepend=np.int32(0)).astype(np.int32), pieces[lo:hi].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array([chunk[lo]], pa.int64()), pa.array([body], pa.binary())], ["chunk", "body"])
+
+    return run
+
+
+def summed(limit: int):
+    """Rows (chunk, kind, body), ordered by both: a chunk's pieces (0), then its documents' frequencies (1) -> token counts."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, parts = None, []
+        for batch in rows:
+            for i, (chunk, kind) in enumerate(zip(batch.column("chunk").to_pylist(), batch.column("kind").to_pylist(), strict=True)):
+                if chunk != last:
+                    last, parts = chunk, []
+                got = unboxed(batch.column("body")[i].as_py())
+                if kind == 0:
+                    parts.append((np.cumsum(got[0]), got[1]))
+                    continue
+                docs, at, times = got[0].reshape(-1, 5), got[1], got[2]
+                pieces = np.zeros(int(at.max(initial=-1)) + 1, np.int64)
+                for place, n in parts:
+                    pieces[place] = n
+                owner = np.repeat(np.arange(len(docs)), docs[:, 4])
+                n = np.bincount(owner, pieces[at] * times, len(docs)).astype(np.int64) + docs[:, 3]
+                yield pa.RecordBatch.from_arrays([pa.array(docs[:, 0], mask=docs[:, 1] == 0), pa.array(docs[:, 2]), pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return run
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row; `path` is the vocabulary file on the executors."""
-    return docs.select("doc_id", "text").mapInArrow(counted(path or vocabulary_path(), limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    path = path or vocabulary_path()
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    chunks = written(named.mapInArrow(split(path), "chunk long, body binary, place int, token string"), "token-chunks")
+    asked = chunks.where("place is not null").select("chunk", "place", "token")
+    n, bodies = chunks.agg(F.count("place"), F.count("body")).first()
+    pieces = asked.repartition(max(1, -(-n // TASK_TOKENS)), "token").mapInArrow(counted(path), "chunk long, body binary")
+    both = pieces.select("chunk", F.lit(0).alias("kind"), "body").unionByName(chunks.where("body is not null").select("chunk", F.lit(1).alias("kind"), "body"))
+    dealt = both.repartition(max(1, bodies), "chunk").sortWithinPartitions("chunk", "kind")
+    return dealt.mapInArrow(summed(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op5_token_counts(spark, sf_dir: str) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents").selectExpr("cast(doc_id as bigint) as doc_id", "text"))
+    return token_counts(table(spark, sf_dir, "documents"))
