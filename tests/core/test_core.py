@@ -388,7 +388,7 @@ def test_two_answers_for_a_phone_leave_one_life(spark):
     from datetime import datetime as at
 
     lives = spark.createDataFrame([("a", "c", at(2024, 1, 10), None, True, "LOW", False), ("b", "c", at(2024, 1, 10), None, True, "LOW", False)], "k string, carrier string, start_ts timestamp, end_ts timestamp, start_inferred boolean, start_confidence string, floored boolean")
-    rows = [("a", at(2024, 1, 5), at(2024, 2, 1), "c"), ("a", at(2024, 1, 20), at(2024, 3, 1), "c"), ("b", at(2024, 1, 20), at(2024, 2, 1), "c"), ("b", at(2024, 1, 5), at(2024, 3, 1), "c"), ("b", at(2024, 1, 5), at(2024, 3, 1), "c")]
+    rows = [("a", at(2024, 1, 5), at(2024, 2, 1), "c"), ("a", at(2024, 1, 20), at(2024, 3, 1), "c"), ("b", at(2024, 1, 20), at(2024, 2, 1), "c"), ("b", at(2024, 1, 5), at(2024, 3, 1), "c"), ("b", at(2024, 1, 5), at(2024, 3, 1), "c"), ("b", None, at(2024, 4, 1), "c")]
     evidence = spark.createDataFrame(rows, "k string, since timestamp, asked_at timestamp, carrier string")
     got = [(r.k, r.evidence_use, r.start_ts.day) for r in lineage.firm_starts(lives, evidence, "k").orderBy("k").collect()]
     assert got == [("a", "conflict", 10), ("b", "moved", 5)]

@@ -17,8 +17,8 @@ HIGH, LOW = "HIGH", "LOW"
 def firm_starts(lives: DataFrame, evidence: DataFrame, key: str) -> DataFrame:
     """Lives (key, carrier, start_ts, end_ts, start_inferred, start_confidence, floored) with start evidence (key, since, asked_at, carrier).
 
-    Of a key's answers only the latest asked counts, of equal ones the
-    greatest, so lives are never multiplied; unknown times come last.
+    Of a key's answers with a date only the latest asked counts, of equal ones
+    the greatest, so lives are never multiplied.
     Evidence counts for the life that was on when the question was asked, at
     the same carrier or one unknown, and only where confidence is low. An
     inferred start moves back to it, if no earlier life is in the way; a
@@ -26,7 +26,7 @@ def firm_starts(lives: DataFrame, evidence: DataFrame, key: str) -> DataFrame:
     confirmed. Anything else contradicts. Adds `evidence_use`.
     """
     named = evidence.select(F.col(key), F.col("since").alias("_since"), F.col("asked_at").alias("_asked"), F.col("carrier").alias("_carrier"))
-    e = latest(named, [key], ["_asked"], ["_asked", "_since", "_carrier"])
+    e = latest(named.where("_since is not null"), [key], ["_asked"], ["_asked", "_since", "_carrier"])
     before = F.lag("end_ts").over(Window.partitionBy(key).orderBy("start_ts", "carrier"))
     d = lives.withColumn("_before", before).join(e, key, "left")
     on = F.col("_asked").between(F.col("start_ts"), F.coalesce(F.col("end_ts"), F.col("_asked"))) & ~F.col("_asked").eqNullSafe(F.col("end_ts"))
