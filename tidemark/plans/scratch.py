@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -50,3 +51,9 @@ def dropped(frame: DataFrame) -> None:
         if root.replace("file:///", "/").replace("file:/", "/").startswith(base.replace("file://", "").replace("file:", "")):
             path = jvm.org.apache.hadoop.fs.Path(root)
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
