@@ -38,7 +38,6 @@ repeated nor null ids meet. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import gc
 import math
 from collections.abc import Iterator
 
@@ -50,7 +49,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import _text
 from tidemark.llm._boxes import boxed, unboxed
-from tidemark.plans.scratch import dropped, written
+from tidemark.plans.scratch import dropped, freed, written
 from tidemark.sources.tables import table
 
 CHUNK_ROWS = 8192
@@ -689,12 +688,6 @@ def scored(total: int, vocabulary: int, ends: int):
     return run
 
 
-def freed(spark) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def null(kind: str) -> Column:
     return F.lit(None).cast(kind)
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm._boxes import boxed, unboxed
 from tidemark.llm._text import raw, slices
-from tidemark.plans.scratch import written
+from tidemark.plans.scratch import freed, written
 from tidemark.sources.tables import table
 
 VOCABULARY = "word_bpe_49k.json"
@@ -211,7 +211,9 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     chunks = written(named.mapInArrow(split(path), "chunk long, body binary, place int, token string"), "token-chunks")
     asked = chunks.where("place is not null").select("chunk", "place", "token")
     n, bodies = chunks.agg(F.count("place"), F.count("body")).first()
-    pieces = asked.repartition(max(1, -(-n // TASK_TOKENS)), "token").mapInArrow(counted(path), "chunk long, body binary")
+    # written, so that the pre-tokens' shuffle files can go before the frequencies are dealt
+    pieces = written(asked.repartition(max(1, -(-n // TASK_TOKENS)), "token").mapInArrow(counted(path), "chunk long, body binary"), "token-pieces")
+    freed(docs.sparkSession)
     both = pieces.select("chunk", F.lit(0).alias("kind"), "body").unionByName(chunks.where("body is not null").select("chunk", F.lit(1).alias("kind"), "body"))
     dealt = both.repartition(max(1, bodies), "chunk").sortWithinPartitions("chunk", "kind")
     return dealt.mapInArrow(summed(limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
