@@ -132,7 +132,9 @@ class Chunk:
 
     def rows(self, chunk: int) -> pa.RecordBatch:
         """The documents' frequencies, then the pre-tokens by place."""
-        body = boxed(np.array(self.docs, np.int64).reshape(-1), np.array(self.at, np.int32), np.array(self.times, np.int32))
+        docs, at = np.array(self.docs, np.int64).reshape(-1, 5), np.array(self.at, np.int32)
+        order = np.lexsort((at, np.repeat(np.arange(len(docs)), docs[:, 4])))  # places that ascend have small steps
+        body = boxed(docs.reshape(-1), np.diff(at[order], prepend=np.int32(0)), np.array(self.times, np.int32)[order])
         n = len(self.place)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(n + 1, chunk)), pa.array([body, *[None] * n], pa.binary()), pa.array([None, *range(n)], pa.int32()), pa.array([None, *self.place], pa.string())], ["chunk", "body", "place", "token"]
@@ -193,7 +195,7 @@ def summed(limit: int):
                 if kind == 0:
                     parts.append((np.cumsum(got[0]), got[1]))
                     continue
-                docs, at, times = got[0].reshape(-1, 5), got[1], got[2]
+                docs, at, times = got[0].reshape(-1, 5), np.cumsum(got[1], dtype=np.int32), got[2]
                 pieces = np.zeros(int(at.max(initial=-1)) + 1, np.int64)
                 for place, n in parts:
                     pieces[place] = n
