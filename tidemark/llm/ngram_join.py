@@ -304,6 +304,15 @@ def dealt(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def one_a_class(sets: DataFrame, most: int, name: str) -> DataFrame:
+    """The written sets, each class once: where rows repeat an id and its text they come several times, and are more than `most`."""
+    if sets.count() <= most:
+        return sets
+    out = written(sets.dropDuplicates(["cls"]), name)
+    dropped(sets)
+    return out
+
+
 def bounded(pairs: DataFrame, sets: DataFrame, t: Threshold) -> DataFrame:
     """The pairs (a, b) whose class counts allow a link."""
     counts = sets.select("cls", "n", "spread")
@@ -316,9 +325,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, t: Threshold
     """(a, b, na, nb, both, minus, plus) of distinct pairs of classes: sets are fetched for these only, each a's in groups of bounded size."""
     sides = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     wanted = cut(sides.join(classes, "cls").select(F.col("rep").alias("doc_id")).distinct())
-    if wanted.count() <= MOST_BROADCAST:  # one number a set; beyond, a shuffled join
+    ids = wanted.count()
+    if ids <= MOST_BROADCAST:  # one number a set; beyond, a shuffled join
         wanted = F.broadcast(wanted)
     sets = written(docs.join(wanted, "doc_id").select("doc_id", "text").mapInArrow(whole_sets(t.shingle), "cls long, body binary"), "join-sets")
+    sets = one_a_class(sets, ids, "join-sets-once")
     salts = pairs.groupBy("a").agg(F.expr(f"cast(count(*) div {HOLD} as int)").alias("most"))
     held = salts.join(dealt(sets), F.col("a") == F.col("cls")).select("a", F.explode(F.sequence(F.lit(0), F.col("most"))).alias("salt"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("b"), "body")
     members = (
@@ -339,6 +350,11 @@ def linked(found: DataFrame, t: Threshold) -> DataFrame:
 
 def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of (doc_id, text)."""
+    return labelled(docs, t).select("doc_id", "n_shingles", "component_id")
+
+
+def labelled(docs: DataFrame, t: Threshold) -> DataFrame:
+    """doc_id, n_shingles, component_id, cls (the name of the row's set), label (of its component): a row's component where ids repeat."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     raw = written(docs.mapInArrow(signatures(t.shingle), "doc_id long, n long, cls long, piece int, body binary"), "join-signatures")
@@ -351,6 +367,7 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     first = docs.where("doc_id is not null").mapInArrow(prefixes(t, levels), "cls long, doc_id long, n long, tokens array<bigint>, spread binary")
     reps = classes.select("cls", F.col("rep").alias("doc_id"))
     sets = written(first.join(dealt(reps), ["cls", "doc_id"]).select("cls", "n", "tokens", "spread"), "join-prefixes")
+    sets = one_a_class(sets, classes.count(), "join-prefixes-once")
     postings = sets.select("cls", "n", F.posexplode("tokens").alias("pos", "token"))
     # a list's pivot is the set in which its shingle comes first, then the smallest; position and size share a number
     rank = F.col("pos").cast("long") * (1 << 32) + F.col("n")
@@ -391,27 +408,55 @@ def similarity_components(docs: DataFrame, t: Threshold = Threshold()) -> DataFr
     labels = connected_components(links).select(F.col("node").alias("cls"), F.col("component").alias("label"))
     named = classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     least = named.groupBy("label").agg(F.min("rep").alias("component"))
-    named = cut(named.join(least, "label").select("cls", "component"))
+    named = cut(named.join(least, "label").select("cls", "component", "label"))
     out = own.join(dealt(named), "cls", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.cast("long").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.cast("long").alias("component_id"), "cls", "label")
+
+
+def named_rows(k: int, columns: list[str], at: int):
+    """Rows with one more column: the name of the set of the row's text, 0 without words."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            names = np.zeros(batch.num_rows, np.int64)
+            for a, sets in doc_sets(batch, k):
+                names[a : a + len(sets)] = np.where([len(s) > 0 for s in sets], class_of(sets), 0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], *batch.columns[at + 1 :], pa.array(names)], columns)
+
+    return run
 
 
 def one_of_each(docs: DataFrame, t: Threshold) -> DataFrame:
     """The rows of docs, all columns, but one document of each component: that of the smallest id, and one row of that.
 
-    Rows with a null id and documents without words stay.
+    Rows with a null id and documents without words stay. Where an id has
+    several texts each is judged by itself: what is no copy stays.
     """
-    found = cut(similarity_components(docs, t))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    repeated = cut(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    gone = cut(gone)
+    found = cut(labelled(docs, t).where("doc_id is not null"))
+    repeated = cut(found.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    gone = cut(found.join(dealt(repeated), "doc_id", "left_anti").where("doc_id <> component_id").select("doc_id"))
     if gone.count() <= MOST_BROADCAST:  # one number a document; beyond, a shuffled join
         gone = F.broadcast(gone)
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     if repeated.isEmpty():
         return kept
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    several = kept.join(dealt(repeated), "doc_id", "left_semi").select(*docs.columns)
+    return kept.join(dealt(repeated), "doc_id", "left_anti").select(*docs.columns).unionByName(rows_of_several_texts(several, found, t))
+
+
+def rows_of_several_texts(docs: DataFrame, found: DataFrame, t: Threshold) -> DataFrame:
+    """Of rows whose ids repeat, those without words and one of each id and component that the id is the smallest of."""
+    held = [f"c{i}" for i in range(len(docs.columns))]  # names of our own, whatever the columns are called
+    plain = docs.toDF(*held)
+    id_, text = held[docs.columns.index("doc_id")], held[docs.columns.index("text")]
+    asked = plain.select(F.col(id_).cast("long").alias("doc_id"), F.col(text).alias("text"), F.struct(*held).alias("row"))
+    schema = F.col("row")
+    named = asked.mapInArrow(named_rows(t.shingle, ["doc_id", "row", "cls"], 1), f"doc_id long, row {asked.schema['row'].dataType.simpleString()}, cls long")
+    labels = found.where("n_shingles > 0 and doc_id = component_id").select("doc_id", "cls", "label").distinct()
+    worded = named.where("cls <> 0").join(dealt(labels), ["doc_id", "cls"]).dropDuplicates(["doc_id", "label"])
+    rows = named.where("cls = 0").select("row").unionByName(worded.select("row"))
+    return rows.select(*[schema[h].alias(c) for h, c in zip(held, docs.columns, strict=True)])
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
