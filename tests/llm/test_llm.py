@@ -221,6 +221,32 @@ def test_join_odd_rows(spark, odd, none):
     assert sorted(x.doc_id for x in kept.collect() if x.doc_id is not None) == [1, 3, 4, 5, 6, 8, 9, 10, 11, 12]
 
 
+def test_join_of_repeated_rows_equals_brute_force(spark):
+    t = ngram_join.Threshold(3, 90, 100)
+    rng = np.random.default_rng(3)
+    rows = []
+    for g in range(6):
+        words = [f"g{g}w{i}" for i in range(80)]
+        for k in range(3):
+            w = list(words)
+            w[int(rng.integers(80))] = f"x{g}{k}"
+            rows += [(10 * g + k, " ".join(w))] * int(rng.integers(1, 4))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_components(spark.createDataFrame(rows, "doc_id long, text string"), t).collect()}
+    assert got == brute_components(sorted(set(rows)), t)[0]
+
+
+def test_one_of_each_judges_texts_of_a_repeated_id_by_themselves(spark):
+    t = ngram_join.Threshold(3, 90, 100)
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    rows = [(3, a, "x"), (7, a, "y"), (7, b, "z"), (7, b, "u"), (7, b + " end", "v"), (7, None, "n"), (7, "", "e"), (9, c, "r"), (9, c, "s"), (11, b, "t"), (12, c + " more", "q")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, cls string")
+    kept = ngram_join.one_of_each(d, t)
+    assert kept.columns == d.columns
+    got = kept.collect()
+    assert sorted((r.doc_id, "-" if r.text is None else r.text[:1]) for r in got) == [(3, "a"), (7, ""), (7, "-"), (7, "b"), (9, "c")]
+    assert {r.cls for r in got} >= {"x", "n", "e"}
+
+
 # URL filters
 
 
@@ -416,6 +442,57 @@ def test_license_scan_finds_whole_notices(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def notice_words(text):
+    apart = license_scan.APART
+    return lower((text or "").translate({ord(c): " " for c in apart})).split(" ")
+
+
+def plain_scan(text):
+    """Templates of which some stretch of the text, long enough for it, holds 0.8 of the shingles: no bands, no hashes."""
+    w = [x for x in notice_words(text) if x]
+    grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    found = set()
+    for name, notice in license_scan.TEMPLATES.items():
+        n = [x for x in notice_words(notice) if x]
+        wanted = {tuple(n[i : i + 3]) for i in range(len(n) - 2)}
+        span = 2 * len(n)
+        if any(len(wanted & set(grams[i : i + span])) >= 0.8 * len(wanted) for i in range(max(1, len(grams)))):
+            found.add(name)
+    return found
+
+
+def test_license_scan_of_edited_notices_equals_brute_force(spark):
+    rng = np.random.default_rng(5)
+    filler = [f"f{i}" for i in range(200)]
+    rows = []
+    for notice in license_scan.TEMPLATES.values():
+        for _ in range(12):
+            w = notice.split()
+            for _ in range(int(rng.integers(0, 1 + len(w) // 8))):
+                at = int(rng.integers(len(w)))
+                w[at : at + 1] = [] if rng.random() < 0.5 else ["other", "words"][: int(rng.integers(1, 3))]
+            a = int(rng.integers(0, 40))
+            rows.append((len(rows), " ".join([*filler[:a], *w, *filler[a : 2 * a]])))
+    got = {}
+    for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.template)
+    want = {(i, name) for i, t in rows for name in plain_scan(t)}
+    have = {(i, name) for i, names in got.items() for name in names}
+    assert len(want) > len(rows) / 2
+    assert have <= want
+    assert len(have & want) >= 0.95 * len(want)
+
+
+def test_license_scan_odd_rows(spark, odd, none):
+    short = "All Rights Reserved."
+    long = " ".join(f"w{i % 977}" for i in range(30_000)) + " " + short
+    rows = [(1, short, 7, "t", "a"), (1, short, 7, "t", "a"), (None, short, 7, "t", "a"), (None, f"x {short} y {short}", 7, "t", "a"), (2, "all rights", 7, "t", "a"), (3, long, 7, "t", "a")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, row long, template string, hashes string")
+    got = sorted((r.doc_id or 0, r.template, r.n_windows, r.first_word) for r in license_scan.scan(d).collect())
+    assert got == [(0, "all-rights-reserved", 1, 0), (0, "all-rights-reserved", 2, 1), (1, "all-rights-reserved", 1, 0), (1, "all-rights-reserved", 1, 0), (3, "all-rights-reserved", 1, 30_000)]
+    assert license_scan.scan(odd).count() == 0 and license_scan.scan(none).count() == 0
+
+
 # LM scoring
 
 

@@ -7,12 +7,15 @@ stands, some window holds min(m, WINDOW - STEP + 1) words in a row of it:
 a resemblance J of at least 3/6 even for a template of five words. Each of the
 `BANDS` bands is one MinHash value, so a window with resemblance J to a piece
 retrieves it with probability 1 - (1 - J) ** BANDS: 0.996 at 3/6, and more for
-longer templates, which have several windows.
+longer templates, which have several windows. A template of fewer than five words
+is a piece of one shingle, and its windows are every single shingle of a text:
+J is 1 there, and one band retrieves it always.
 
 A retrieved template is verified against a stretch of words around the window
 that can hold all of it: the share of its distinct shingles found there must
 reach `CONTAINED`. Null and empty texts have no match; a text is never cut
-short; repeated rows are scanned each; an empty table gives an empty result.
+short; every row is scanned and reported by itself, be its id repeated or null;
+an empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from tidemark.llm.fingerprints import LOWER, UPPER, once
 from tidemark.sources.tables import table
 
 SHINGLE, WINDOW, STEP, BANDS, CONTAINED = 3, 8, 2, 8, 0.8
+SHORT = 5  # templates of fewer words are retrieved by single shingles
 
 # Short public license notices, as commonly written.
 TEMPLATES = {
@@ -41,6 +45,10 @@ TEMPLATES = {
     "cc-by-sa-4.0": "Licensed under CC BY-SA 4.0",
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
     "cc0": "To the extent possible under law, the author has waived all copyright and related rights",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "bsl-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "all-rights-reserved": "All rights reserved",
 }
 
 
@@ -86,15 +94,16 @@ def window_bands(hashes: Column) -> Column:
 
 
 def template_table(spark, templates: Mapping[str, str]) -> DataFrame:
-    rows = [(k, v) for k, v in sorted(templates.items())]
-    return spark.createDataFrame(rows, "template string, notice string")
+    """template, n (words), wanted (distinct shingles)."""
+    d = spark.createDataFrame(sorted(templates.items()), "template string, notice string").withColumn("words", license_words(F.col("notice")))
+    return d.select("template", "words", F.size("words").alias("n"), F.array_distinct(shingles(F.col("words"))).alias("wanted"))
 
 
-def retrieval_keys(spark, templates: Mapping[str, str]) -> list[dict[int, list[str]]]:
+def retrieval_keys(found: DataFrame) -> list[dict[int, list[str]]]:
     """For each band, the templates whose pieces have a value there: as many as the parameter's pieces."""
-    found = template_table(spark, templates).select("template", F.explode(once(license_words(F.col("notice")), lambda w: once(shingles(w), window_bands))).alias("w"))
+    pieces = found.where(F.col("n") >= SHORT).select("template", F.explode(once(shingles(F.col("words")), window_bands)).alias("w"))
     keys: list[dict[int, list[str]]] = [{} for _ in range(BANDS)]
-    for r in found.select("template", "w.values").collect():
+    for r in pieces.select("template", "w.values").collect():
         for b, v in enumerate(r["values"]):
             names = keys[b].setdefault(v, [])
             if r["template"] not in names:
@@ -102,34 +111,48 @@ def retrieval_keys(spark, templates: Mapping[str, str]) -> list[dict[int, list[s
     return keys
 
 
+def table_lookup(value: Column, names: Mapping[int, list[str]]) -> Column:
+    """The templates of a value; none for another."""
+    none = F.array().cast("array<string>")
+    if not names:
+        return none
+    return F.coalesce(F.create_map(*[x for v, t in sorted(names.items()) for x in (F.lit(v), F.array(*map(F.lit, t)))])[value], none)
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
-    """doc_id, template, n_windows (verified windows), containment (the best), first_word (from 0): one row a document and template."""
+    """doc_id, template, n_windows (verified windows), containment (the best), first_word (from 0): one line a row of docs and template."""
     spark = docs.sparkSession
-    keys = retrieval_keys(spark, templates)
-    lengths = {r["template"]: (r["n"], r["s"]) for r in template_table(spark, templates).select("template", F.size(license_words(F.col("notice"))).alias("n"), F.array_distinct(shingles(license_words(F.col("notice")))).alias("s")).collect()}
+    listed = template_table(spark, templates)
+    keys = retrieval_keys(listed)
+    lengths = {r["template"]: (r["n"], r["wanted"]) for r in listed.select("template", "n", "wanted").collect()}
     if any(n < SHINGLE for n, _ in lengths.values()):
         raise ValueError(f"a template needs {SHINGLE} words")
+    short: dict[int, list[str]] = {}
+    for k, (n, wanted) in sorted(lengths.items()):
+        for v in wanted if n < SHORT else ():
+            short.setdefault(v, []).append(k)
 
     def hits(window: Column) -> Column:
-        found = None
+        found = F.lit(False)
         for b in range(BANDS):
-            here = F.get(window["values"], F.lit(b)).isin(sorted(keys[b]))
-            found = here if found is None else found | here
+            if keys[b]:
+                found = found | F.get(window["values"], F.lit(b)).isin(sorted(keys[b]))
         return found
 
-    windows = once(license_words(F.col("text")), lambda w: once(shingles(w), lambda h: F.when(F.size(h) > 0, F.struct(F.filter(window_bands(h), hits).alias("windows"), h.alias("hashes")))))
-    found = docs.select("doc_id", windows.alias("w")).where(F.size("w.windows") > 0)
-    each = found.select("doc_id", F.col("w.hashes").alias("hashes"), F.explode("w.windows").alias("at"))
-
-    def names(b: int) -> Column:
-        """Templates of the value in band b."""
-        value = F.get(F.col("at.values"), F.lit(b))
-        out = F.array().cast("array<string>")
-        for v, t in sorted(keys[b].items()):
-            out = F.when(value == v, F.array(*map(F.lit, t))).otherwise(out)
-        return out
-
-    each = each.withColumn("template", F.explode(F.array_distinct(F.flatten(F.array(*[names(b) for b in range(BANDS)])))))
+    def windows(hashes: Column) -> Column:
+        """Windows that retrieve something: those of the bands, then single shingles."""
+        found = F.transform(F.filter(window_bands(hashes), hits), lambda w: F.struct(w["start"].alias("start"), w["values"].alias("values"), F.lit(None).cast("long").alias("one")))
+        if not short:
+            return found
+        single = F.transform(hashes, lambda h, i: F.struct((i + 1).alias("start"), F.lit(None).cast("array<bigint>").alias("values"), h.alias("one")))
+        return F.concat(found, F.when(F.exists(hashes, lambda h: h.isin(sorted(short))), F.filter(single, lambda w: w["one"].isin(sorted(short)))).otherwise(F.slice(single, 1, 0)))
+
+    at = once(license_words(F.col("text")), lambda w: once(shingles(w), lambda h: F.when(F.size(h) > 0, F.struct(windows(h).alias("windows"), h.alias("hashes")))))
+    # a row's number tells rows of one id apart; it goes once the row's windows are added up
+    found = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), at.alias("w")).where(F.size("w.windows") > 0)
+    each = found.select("doc_id", "row", F.col("w.hashes").alias("hashes"), F.explode("w.windows").alias("at"))
+    names = [table_lookup(F.get(F.col("at.values"), F.lit(b)), keys[b]) for b in range(BANDS)]
+    each = each.withColumn("template", F.explode(F.array_distinct(F.concat(*names, table_lookup(F.col("at.one"), short)))))
     size = F.element_at(F.create_map(*[x for k, (n, _) in sorted(lengths.items()) for x in (F.lit(k), F.lit(n))]), F.col("template"))
     wanted = F.element_at(F.create_map(*[x for k, (_, s) in sorted(lengths.items()) for x in (F.lit(k), F.array(*map(F.lit, s)))]), F.col("template"))
     each = each.withColumn("wanted", wanted).withColumn("from", F.greatest(F.lit(1), F.col("at.start") - size)).withColumn("span", 2 * size + WINDOW)
@@ -137,8 +160,9 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, contained: f
     return (
         each.withColumn("share", share)
         .where(F.col("share") >= contained)
-        .groupBy("doc_id", "template")
+        .groupBy("row", "doc_id", "template")
         .agg(F.count("*").alias("n_windows"), F.max("share").alias("containment"), (F.min("at.start") - 1).cast("long").alias("first_word"))
+        .drop("row")
     )
 
 
