@@ -9,7 +9,9 @@ a resemblance J of at least 3/6 even for a template of five words. Each of the
 retrieves it with probability 1 - (1 - J) ** BANDS: 0.996 at 3/6, and more for
 longer templates, which have several windows. A template of fewer than five words
 is a piece of one shingle, and its windows are every single shingle of a text:
-J is 1 there, and one band retrieves it always.
+J is 1 there, and one band retrieves it always. A window and a piece with one
+MinHash value in common have the shingle of that value in common, so only texts
+that hold some shingle of a template are cut into windows.
 
 A retrieved template is verified against a stretch of words around the window
 that can hold all of it: the share of its distinct shingles found there must
@@ -139,15 +141,17 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, contained: f
                 found = found | F.get(window["values"], F.lit(b)).isin(sorted(keys[b]))
         return found
 
+    any_ = sorted({v for _, wanted in lengths.values() for v in wanted})
+
     def windows(hashes: Column) -> Column:
         """Windows that retrieve something: those of the bands, then single shingles."""
         found = F.transform(F.filter(window_bands(hashes), hits), lambda w: F.struct(w["start"].alias("start"), w["values"].alias("values"), F.lit(None).cast("long").alias("one")))
         if not short:
             return found
         single = F.transform(hashes, lambda h, i: F.struct((i + 1).alias("start"), F.lit(None).cast("array<bigint>").alias("values"), h.alias("one")))
-        return F.concat(found, F.when(F.exists(hashes, lambda h: h.isin(sorted(short))), F.filter(single, lambda w: w["one"].isin(sorted(short)))).otherwise(F.slice(single, 1, 0)))
+        return F.concat(found, F.filter(single, lambda w: w["one"].isin(sorted(short))))
 
-    at = once(license_words(F.col("text")), lambda w: once(shingles(w), lambda h: F.when(F.size(h) > 0, F.struct(windows(h).alias("windows"), h.alias("hashes")))))
+    at = once(license_words(F.col("text")), lambda w: once(shingles(w), lambda h: F.when(F.exists(h, lambda x: x.isin(any_)), F.struct(windows(h).alias("windows"), h.alias("hashes")))))
     # a row's number tells rows of one id apart; it goes once the row's windows are added up
     found = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), at.alias("w")).where(F.size("w.windows") > 0)
     each = found.select("doc_id", "row", F.col("w.hashes").alias("hashes"), F.explode("w.windows").alias("at"))
