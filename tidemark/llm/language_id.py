@@ -24,7 +24,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidemark.llm._text import raw
 from tidemark.sources.tables import table
@@ -154,39 +153,35 @@ def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return flat.reshape(-1, WINDOW), rows, held
 
 
-def predicted(model: dict, found: tuple[str, str]):
-    """Rows with _plain (the lower-cased text) and _spoken -> the same without these two, and the language and score in the last columns."""
+def predictor(model: dict):
+    """A function of a lower-cased text and whether it has letters: its language and score. Only these two columns go to Python."""
     names = np.array([*model["classes"], UNKNOWN], dtype=object)
     shape = ByteNetwork(model["classes"])
     shape.embed, shape.filters, shape.bias, shape.out, shape.out_bias = (model[k] for k in ("embed", "filters", "bias", "out", "out_bias"))
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(rows: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         tables = shape.tables()
         k = len(model["classes"])
-        for batch in rows:
-            data, offsets = raw(batch.column("_plain"))
-            spoken = np.asarray(batch.column("_spoken").fill_null(False))
-            total = np.zeros((len(batch), k))
-            step = STEP_BYTES // WINDOW
+        step = STEP_BYTES // WINDOW
+        for text, letters in rows:
+            data, offsets = raw(text)
+            spoken = np.asarray(letters.fill_null(False))
+            total = np.zeros((len(text), k))
             at = 0
-            while at < len(batch):
-                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (4 << 20), side="right")) - 1)
+            while at < len(text):
+                to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (2 << 20), side="right")) - 1)
                 wins, owner, held = windows_of(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
                 for w in range(0, len(wins), step):
                     p = probabilities(tables, wins[w : w + step]) * held[w : w + step, None]
                     np.add.at(total, owner[w : w + step] + at, p)
                 at = to
-            lengths = np.maximum(np.diff(offsets), 1)[:, None]
-            mean = total / lengths
-            best = mean.argmax(1) if k else np.zeros(len(batch), int)
+            mean = total / np.maximum(np.diff(offsets), 1)[:, None]
+            best = mean.argmax(1) if k else np.zeros(len(text), int)
             ok = spoken & (np.diff(offsets) > 0) & (k > 0)
-            score = np.where(ok, mean[np.arange(len(batch)), best] if k else 0.0, 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], pa.array(names[np.where(ok, best, k)], pa.string()), pa.array(np.clip(score, 0.0, 1.0), pa.float64())],
-                [*batch.schema.names[:-2], *found],
-            )
+            score = np.where(ok, mean[np.arange(len(text)), best] if k else 0.0, 0.0)
+            yield pa.StructArray.from_arrays([pa.array(names[np.where(ok, best, k)], pa.string()), pa.array(np.clip(score, 0.0, 1.0), pa.float64())], ["lang", "score"])
 
-    return run
+    return F.arrow_udf(run, "lang string, score double")
 
 
 def fitted(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
@@ -207,9 +202,9 @@ def fitted(docs: DataFrame, per_language: int = PER_LANGUAGE) -> dict:
 
 def identify(docs: DataFrame, model: dict, found: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """All columns of docs, of which `text` is read, and the language and its score under the names in `found`."""
-    shaped = docs.withColumns({"_plain": F.lower("text"), "_spoken": F.rlike("text", F.lit(r"\p{L}"))})
-    schema = StructType([*docs.schema.fields, StructField(found[0], StringType()), StructField(found[1], DoubleType())])
-    return shaped.mapInArrow(predicted(model, found), schema)
+    told = predictor(model)(F.lower("text"), F.rlike("text", F.lit(r"\p{L}")))
+    both = docs.select(F.struct("*").alias("row"), told.alias("told"))
+    return both.select("row.*", F.col("told.lang").alias(found[0]), F.col("told.score").alias(found[1]))
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:
