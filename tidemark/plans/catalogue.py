@@ -610,10 +610,11 @@ def incremental_window(t):
     return in_window(t("events"), "ts", "2024-01-05 00:00:00", "2024-01-12 00:00:00").select("event_id", "ts")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 <> 0")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def publish_insert_only(t):
-    o = t("orders").select("o_orderkey")
-    return merge.new_rows(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 2 = 0"), "o_orderkey")
+    """All orders against a target that has those with a returned line."""
+    published = t("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return merge.new_rows(t("orders").select("o_orderkey"), published, "o_orderkey")
 
 
 @query("""
