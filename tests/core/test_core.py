@@ -392,3 +392,75 @@ def test_two_answers_for_a_phone_leave_one_life(spark):
     evidence = spark.createDataFrame(rows, "k string, since timestamp, asked_at timestamp, carrier string")
     got = [(r.k, r.evidence_use, r.start_ts.day) for r in lineage.firm_starts(lives, evidence, "k").orderBy("k").collect()]
     assert got == [("a", "conflict", 10), ("b", "moved", 5)]
+
+
+# Joins and ranks against brute force
+
+
+def test_intervals_meet_points_at_every_length(spark):
+    r = np.random.default_rng(3)
+    day = lambda x: T0 + dt.timedelta(days=float(x))
+    points = [(int(r.integers(3)), i, day(r.uniform(-4000, 4000))) for i in range(150)]
+    spans = [(int(r.integers(3)), i, day(a := r.uniform(-4000, 4000)), None if i % 9 == 0 else day(a + r.choice([0.0, 0.5, 6, 100, 113, 900, 6000, 30000]) - (1 if i % 11 == 0 else 0))) for i in range(120)]
+    spans += [(None, 900, day(0), None), (1, 901, None, day(3)), (1, 902, *[points[0][2]] * 2)]
+    p = spark.createDataFrame(points + [(None, 900, day(1)), (1, 901, None)], "k int, p int, at timestamp_ntz")
+    i = spark.createDataFrame(spans, "k int, i int, s timestamp_ntz, e timestamp_ntz")
+    for closed in (True, False):
+        want = sorted((b, d) for a, b, at in points for c, d, s, e in spans if a == c and s is not None and s <= at and (e is None or (at <= e if closed else at < e)))
+        got = joins.point_in_interval(p, i, "k", "at", "s", "e", closed).collect()
+        assert sorted((x.p, x.i) for x in got) == want
+    assert joins.point_in_interval(p.limit(0), i, "k", "at", "s", "e").collect() == []
+
+
+def test_nearest_in_band_against_all_pairs(spark):
+    r = np.random.default_rng(4)
+    rows = lambda n: [(int(r.integers(3)), i, T0 + dt.timedelta(hours=int(r.integers(400)))) for i in range(n)]
+    left, right = rows(120), rows(60)
+    a = spark.createDataFrame([*left, (None, 900, T0), (1, 901, None)], "k int, a int, at timestamp_ntz")
+    b = spark.createDataFrame([*right, right[0], (1, 900, None)], "k int, b int, bt timestamp_ntz")
+    want = {}
+    for k, i, at in left:
+        near = [(abs(at - bt), j) for h, j, bt in right if h == k and abs(at - bt) <= dt.timedelta(hours=12)]
+        if near:
+            want[i] = min(near)[1]
+    got = joins.nearest_in_band(a, b, "k", "at", "bt", "a", "b", 0.5)
+    assert got.columns == ["k", "a", "at", "b", "bt", "gap_us"]
+    assert {x.a: x.b for x in got.collect()} == want and got.count() == len(want)
+
+
+def test_none_before_against_all_pairs(spark):
+    r = np.random.default_rng(5)
+    rows = [(int(r.integers(12)), i, int(r.integers(5)), "abc"[int(r.integers(3))] if i % 7 else None) for i in range(150)]
+    df = spark.createDataFrame(rows, "k int, i int, at int, v string")
+    want = {i for k, i, at, v in rows if not any(k == h and v is not None and w is not None and v != w and bt < at for h, _, bt, w in rows)}
+    assert {x.i for x in joins.none_before(df, df, "k", "at", "at", ("v", "v")).collect()} == want
+
+
+def test_subtraction_against_one_interval_at_a_time(spark):
+    r = np.random.default_rng(6)
+    day = lambda x: T0 + dt.timedelta(days=int(x))
+
+    def some(n, keys):
+        out = []
+        for i in range(n):
+            a = int(r.integers(2000))
+            out.append((str(int(r.integers(keys))), day(a), None if i % 13 == 0 else day(a + int(r.choice([1, 5, 90, 700])))))
+        return out
+
+    free, taken = some(60, 9), some(40, 7)
+    frame = lambda rows: spark.createDataFrame(rows, "k string, s timestamp, e timestamp")
+    want = [(k, *piece) for k, s, e in free for piece in sequence.minus(s, e, [(a, b) for h, a, b in taken if h == k])]
+    order = lambda x: (x[0], x[1], x[2] or dt.datetime.max)
+    got = sequence.subtract_intervals(frame(free), frame([*taken, ("1", day(5), day(5)), ("2", day(9), day(3)), (None, day(0), None)]), "k", "s", "e")
+    assert sorted([tuple(x) for x in got.collect()], key=order) == sorted(want, key=order)
+
+
+def test_quantiles_of_a_column_with_an_outlier(spark):
+    r = np.random.default_rng(7)
+    values = [*r.exponential(1, 3000), 1e12, -1e12]
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", float(i)) for i in range(5)] + [("a", None)], "f string, v double")
+    got = {(x.f, x.q): x.quantile for x in scoring.quantiles(df, ["f"], "v", [0.0, 0.05, 0.5, 0.95, 1.0]).collect()}
+    for q in (0.0, 0.05, 0.5, 0.95, 1.0):
+        assert math.isclose(got["a", q], float(np.quantile(values, q)), rel_tol=1e-9) and math.isclose(got["b", q], 4 * q)
+    parts = scoring._tie_ranks(df.where("v IS NOT NULL"), ["f"], "v").where("f = 'a'").orderBy("v").collect()
+    assert [p.below for p in parts] == list(range(len(values)))

@@ -26,13 +26,14 @@ def collapsed(df: DataFrame, keys: Sequence[str], row_id: str) -> DataFrame:
     return df.groupBy(*keys).agg(joined_ids(F.col(row_id)).alias("ids"), F.count("*").alias("n"))
 
 
-def kept_positives(df: DataFrame, label: Column, most: int, seed: int = 0) -> DataFrame:
-    """All positives and so many negatives, in a hash order, that `most` rows are not exceeded (a sampling operator)."""
+def kept_positives(df: DataFrame, label: Column, most: int, row_id: str, seed: int = 0) -> DataFrame:
+    """All positives and so many negatives, in the order of an MD5 of their ids, that `most` rows are not exceeded (a sampling operator)."""
     positives = df.where(label)
     left = max(0, most - positives.count())
-    return positives.unionByName(df.where(~F.coalesce(label, F.lit(False))).orderBy(F.xxhash64(F.lit(seed), *df.columns)).limit(left))
+    order = F.md5(F.concat(F.lit(f"{seed}::"), F.col(row_id).cast("string")))
+    return positives.unionByName(df.where(~F.coalesce(label, F.lit(False))).orderBy(order, row_id).limit(left))
 
 
 def in_cohort(key: Column, salt: str, buckets: int, keep: int) -> Column:
-    """Whether a key is in the sample: the same answer for it in every table."""
-    return F.pmod(F.xxhash64(F.concat(F.lit(f"{salt}::"), key.cast("string"))), F.lit(buckets)) < keep
+    """Whether a key is in the sample, by 32 bits of an MD5: the same answer for it in every table and engine."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{salt}::"), key.cast("string"))), 1, 8), 16, 10).cast("long") % buckets < keep

@@ -16,12 +16,12 @@ def stacked(df: DataFrame, features: Sequence[str], *keep: str) -> DataFrame:
 
 
 def profile(df: DataFrame, features: Sequence[str], low: float = 0.05, high: float = 0.95) -> DataFrame:
-    """null_rate, variance and quantile spread of each feature, in one pass."""
-    return stacked(df, features).groupBy("feature").agg(
-        F.avg(F.col("value").isNull().cast("double")).alias("null_rate"),
-        F.coalesce(F.var_samp("value"), F.lit(0.0)).alias("variance"),
-        (F.percentile("value", high) - F.percentile("value", low)).alias("spread"),
-    )
+    """null_rate, variance and exact quantile spread of each feature."""
+    long = stacked(df, features)
+    plain = long.groupBy("feature").agg(F.avg(F.col("value").isNull().cast("double")).alias("null_rate"), F.coalesce(F.var_samp("value"), F.lit(0.0)).alias("variance"))
+    ends = quantiles(long, ["feature"], "value", [low, high])
+    spread = ends.groupBy("feature").agg((F.max(F.when(F.col("q") == high, F.col("quantile"))) - F.max(F.when(F.col("q") == low, F.col("quantile")))).alias("spread"))
+    return plain.join(F.broadcast(spread), "feature", "left")  # a row a feature
 
 
 def ranked_features(profiled: DataFrame, boosted: Sequence[str] = (), boost: float = 1.1, most_null: float = 0.95, least_variance: float = 1e-12) -> DataFrame:
@@ -36,15 +36,17 @@ def ranked_features(profiled: DataFrame, boosted: Sequence[str] = (), boost: flo
 def _tie_ranks(df: DataFrame, by: Sequence[str], value: str, rows: str = "n") -> DataFrame:
     """(by, value, rows, below, upto): counts of distinct values and how many rows lie below and up to each.
 
-    Values are dealt by ranges, each accumulated on its own, then the ranges'
-    sums are added, so a whole column isn't ordered in one task.
+    Values are dealt by ranges between quantiles of the distinct ones, each
+    accumulated on its own, then the ranges' sums are added, so a whole column
+    isn't ordered in one task, however its values are spread.
     """
-    counts = df.groupBy(*by, value).agg(F.count("*").alias(rows))
-    parts = 256
-    bounds = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    width = F.greatest((F.col("_hi") - F.col("_lo")) / parts, F.lit(1e-300))
+    steps = [2**i for i in range(9, -1, -1)]
+    parts = 2 * steps[0]
     on = list(by)
-    counts = (counts.join(F.broadcast(bounds), on) if on else counts.crossJoin(F.broadcast(bounds))).withColumn("_part", F.least(F.floor((F.col(value) - F.col("_lo")) / width), F.lit(parts)))  # bounds: one row a group
+    counts = df.groupBy(*by, value).agg(F.count("*").alias(rows))
+    bounds = counts.groupBy(*by).agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], 10_000).alias("_bounds"))
+    part = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: at + F.when(F.get("_bounds", at + s - 1) < F.col(value), s).otherwise(0))  # how many bounds lie below, by halving
+    counts = (counts.join(F.broadcast(bounds), on) if on else counts.crossJoin(F.broadcast(bounds))).withColumn("_part", part).drop("_bounds")  # one row a group
     sums = counts.groupBy(*by, "_part").agg(F.sum(rows).alias("_s"))
     before = F.coalesce(F.sum("_s").over(Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = sums.withColumn("_before", before).drop("_s")
@@ -53,6 +55,20 @@ def _tie_ranks(df: DataFrame, by: Sequence[str], value: str, rows: str = "n") ->
     return out.select(*by, value, rows, (F.col("_before") + F.col("_in") - F.col(rows)).alias("below"), (F.col("_before") + F.col("_in")).alias("upto"))
 
 
+def quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float]) -> DataFrame:
+    """(by, q, quantile): exact quantiles of non-null values, interpolated, from their ranks rather than in one task a group."""
+    some = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    total = some.groupBy(*by).agg(F.count("*").alias("_total"))
+    ranks = _tie_ranks(some, by, "_v")
+    each = (ranks.join(F.broadcast(total), list(by)) if by else ranks.crossJoin(F.broadcast(total))).withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))  # one row a group
+    place = (F.col("_total") - 1) * F.col("q")
+    low, high = F.floor(place), F.ceil(place)
+    each = each.where((F.col("below") <= high) & (F.col("upto") > low)).withColumn("_share", place - low)
+    holds = lambda at: F.max(F.when((F.col("below") <= at) & (F.col("upto") > at), F.col("_v")))
+    found = each.groupBy(*by, "q").agg(holds(low).alias("_a"), holds(high).alias("_b"), F.max("_share").alias("_share"))
+    return found.select(*by, "q", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_share")).alias("quantile"))
+
+
 def tail_probability(df: DataFrame, row_id: str, features: Sequence[str]) -> DataFrame:
     """(row_id, score): the largest of the sums of -log tail probabilities to the left, to the right, and on the side of each feature's skew.
 
@@ -221,8 +237,7 @@ def leaderboard(metrics: DataFrame, keys: Sequence[str], scenario: str, metric:
 
 def psi(reference: DataFrame, current: DataFrame, value: str, bins: int = 10) -> DataFrame:
     """(psi): population stability index over the reference's quantile bins, ends open, shares floored at 0.1 / the larger count."""
-    cuts = F.array_distinct(F.percentile(value, F.lit([i / bins for i in range(1, bins)])))
-    edges = reference.where(F.col(value).isNotNull()).agg(cuts.alias("edges"))
+    edges = quantiles(reference, [], value, [i / bins for i in range(1, bins)]).agg(F.array_sort(F.collect_set("quantile")).alias("edges"))  # bins - 1 rows
     both = reference.select(F.col(value).alias("v"), F.lit(1).alias("ref")).unionAll(current.select(F.col(value).alias("v"), F.lit(0).alias("ref"))).where("v IS NOT NULL")
     binned = both.join(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: F.col("v") > e)))  # one row of edges
     counts = binned.groupBy("bin").agg(F.sum("ref").alias("r"), F.sum(1 - F.col("ref")).alias("c"))

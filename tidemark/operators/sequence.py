@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.clean import surrogate_key
+from tidemark.operators.joins import point_in_interval
 
 
 def micros(a: str, b: str) -> Column:
@@ -144,7 +145,7 @@ def lifecycles(events: DataFrame, words: Vocabulary) -> DataFrame:
 
 
 def minus(start, end, taken: Iterable[tuple]) -> list[tuple]:
-    """What is left of [start, end) without the taken intervals; a null end is open."""
+    """What is left of one interval [start, end) without the taken ones; a null end is open."""
     left, at = [], start
     for a, b in sorted(taken, key=lambda t: t[0]):
         if end is not None and a >= end:
@@ -159,15 +160,33 @@ def minus(start, end, taken: Iterable[tuple]) -> list[tuple]:
     return left
 
 
-def subtract_intervals(free: DataFrame, taken: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Parts of `free` intervals that no `taken` interval of the key covers: (key, start, end), half-open."""
+def covers(taken: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """(key, start, end): overlapping and touching intervals of a key as one; a null end is open, empty ones are left out."""
+    forever = F.lit("9999-12-31 23:59:59").cast("timestamp")
+    each = taken.select(F.col(key).alias("k"), F.col(start).alias("s"), F.coalesce(F.col(end), forever).alias("e")).where("k IS NOT NULL AND e > s")
+    order = Window.partitionBy("k").orderBy("s", "e")
+    reached = F.max("e").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = each.withColumn("_new", F.coalesce((F.col("s") > reached).cast("int"), F.lit(1))).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    out = runs.groupBy("k", "_run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    return out.select(F.col("k").alias(key), F.col("s").alias(start), F.when(F.col("e") < forever, F.col("e")).alias(end))
+
 
-    def of(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        none = lambda x: None if pd.isna(x) else x
-        used = [(r.s, none(r.e)) for r in b.itertuples()]
-        out = [(k.k, s, e) for k in a.itertuples() for s, e in minus(k.s, none(k.e), used)]
-        return pd.DataFrame(out, columns=["k", "s", "e"]).astype({"s": "datetime64[us]", "e": "datetime64[us]"})
+def subtract_intervals(free: DataFrame, taken: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """Parts of `free` intervals that no `taken` interval of the key covers: (key, start, end), half-open; a null end is open.
 
+    What lies between a key's covers is met twice: by the start of a free
+    interval, and with its own start inside a free interval. Empty intervals
+    take nothing and leave nothing; null keys are left out.
+    """
     shape = lambda d: d.select(F.col(key).cast("string").alias("k"), F.col(start).cast("timestamp").alias("s"), F.col(end).cast("timestamp").alias("e"))
-    found = shape(free).groupBy("k").cogroup(shape(taken).groupBy("k")).applyInPandas(of, "k string, s timestamp, e timestamp")
+    wanted = shape(free).where("k IS NOT NULL AND s IS NOT NULL AND (e IS NULL OR e > s)")
+    used = covers(shape(taken), "k", "s", "e")
+    order = Window.partitionBy("k").orderBy("s")
+    gaps = used.select("k", F.coalesce(F.lag("e").over(order), F.lit("0001-01-01 00:00:00").cast("timestamp")).alias("gs"), F.col("s").alias("ge"))
+    gaps = gaps.unionByName(used.groupBy("k").agg(F.max_by("e", "s").alias("gs")).where("gs IS NOT NULL").withColumn("ge", F.lit(None).cast("timestamp")))
+    until = F.when(F.col("e").isNull() | (F.col("ge") < F.col("e")), F.coalesce("ge", "e")).otherwise(F.col("e"))
+    at_start = point_in_interval(wanted, gaps, "k", "s", "gs", "ge", False).select("k", "s", until.alias("e"))
+    later = point_in_interval(gaps, wanted, "k", "gs", "s", "e", False).where("gs > s").select("k", F.col("gs").alias("s"), until.alias("e"))
+    whole = wanted.join(used.select("k"), "k", "left_anti")
+    found = at_start.unionByName(later).unionByName(whole)
     return found.select(F.col("k").alias(key), F.col("s").alias(start), F.col("e").alias(end))

@@ -344,10 +344,16 @@ def lifecycle_walk(t):
     return sequence.lifecycles(e, WORDS)
 
 
-@query()
+@query(f"""WITH {ORDER_INTERVALS}, u AS (SELECT o_custkey, f AS s, e FROM i WHERE e > f), x AS (SELECT *, max(e) OVER (PARTITION BY o_custkey ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM u),
+y AS (SELECT *, sum(CASE WHEN s <= reached THEN 0 ELSE 1 END) OVER (PARTITION BY o_custkey ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM x), c AS (SELECT o_custkey, min(s) AS s, max(e) AS e FROM y GROUP BY o_custkey, run),
+g AS (SELECT o_custkey, coalesce(lag(e) OVER (PARTITION BY o_custkey ORDER BY s), TIMESTAMP '0001-01-01') AS gs, s AS ge FROM c UNION ALL SELECT o_custkey, max(e), TIMESTAMP '9999-12-31' FROM c GROUP BY o_custkey),
+w AS (SELECT o_custkey, min(o_orderdate) AS f, max(o_orderdate) + INTERVAL 60 DAY AS e FROM orders GROUP BY o_custkey)
+SELECT CAST(o_custkey AS VARCHAR) AS o_custkey, greatest(f, gs) AS f, least(e, ge) AS e FROM w JOIN g USING (o_custkey) WHERE greatest(f, gs) < least(e, ge)
+UNION ALL SELECT CAST(o_custkey AS VARCHAR), f, e FROM w WHERE o_custkey NOT IN (SELECT o_custkey FROM c)""")
 def interval_subtraction(t):
     free = t("orders").groupBy("o_custkey").agg(F.min("o_orderdate").alias("f"), F.max(F.col("o_orderdate") + F.expr("INTERVAL 60 DAYS")).alias("e"))
-    return sequence.subtract_intervals(free, order_intervals(t), "o_custkey", "f", "e")
+    left = sequence.subtract_intervals(free, order_intervals(t), "o_custkey", "f", "e")
+    return left.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("f", "e")})
 
 
 # Graphs
@@ -630,9 +636,9 @@ def scoped_merge(t):
     return merged.select("o_orderkey", "o_custkey", "o_orderstatus", "action")
 
 
-@query()
+@query("SELECT c_custkey FROM customer WHERE CAST('0x' || substr(md5('salt::' || c_custkey), 1, 8) AS BIGINT) % 10 < 3")
 def cohort_sample(t):
-    """A sampling operator: Spark's own hash, so without a SQL twin."""
+    """A sampling operator."""
     return t("customer").where(dedup.in_cohort(F.col("c_custkey"), "salt", 10, 3)).select("c_custkey")
 
 
@@ -771,10 +777,11 @@ def pivot_histogram(t):
     return t("orders").groupBy(F.floor(F.col("o_totalprice") / 1000).alias("bin")).pivot("o_orderstatus", ["F", "O"]).count().fillna(0)
 
 
-@query()
+@query("""WITH p AS (SELECT * FROM labels WHERE toxic = 1), n AS (SELECT *, row_number() OVER (ORDER BY md5('0::' || doc_id), doc_id) AS place FROM labels WHERE toxic IS DISTINCT FROM 1)
+SELECT doc_id, CAST(quality AS BIGINT) AS quality, CAST(toxic AS BIGINT) AS toxic FROM p UNION ALL SELECT doc_id, quality, toxic FROM n WHERE place <= greatest(0, 200 - (SELECT count(*) FROM p))""")
 def stratified_cap(t):
     """A sampling operator: every positive, and a hash sample of the rest."""
-    return dedup.kept_positives(t("labels"), F.col("toxic") == 1, 200)
+    return dedup.kept_positives(t("labels"), F.col("toxic") == 1, 200, "doc_id")
 
 
 @query("""
