@@ -14,8 +14,8 @@ def best_of(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Data
 
 
 # Widths in days of the time ranges by which intervals meet points, and how many ranges of one width an interval may touch.
-RANGES = (7, 364)
-MOST_RANGES = 16
+RANGES = (28,)
+MOST_RANGES = 52
 
 
 def _day(at: Column) -> Column:

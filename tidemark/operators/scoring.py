@@ -44,7 +44,8 @@ def _tie_ranks(df: DataFrame, by: Sequence[str], value: str, rows: str = "n") ->
     parts = 2 * steps[0]
     on = list(by)
     counts = df.groupBy(*by, value).agg(F.count("*").alias(rows))
-    bounds = counts.groupBy(*by).agg(F.percentile_approx(value, [i / parts for i in range(1, parts)], 10_000).alias("_bounds"))
+    # rows are asked for, so that both uses of the counts have the same columns and share one shuffle
+    bounds = counts.groupBy(*by).agg(F.percentile_approx(F.when(F.col(rows) > 0, F.col(value)), [i / parts for i in range(1, parts)], 10_000).alias("_bounds"))
     part = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: at + F.when(F.get("_bounds", at + s - 1) < F.col(value), s).otherwise(0))  # how many bounds lie below, by halving
     counts = (counts.join(F.broadcast(bounds), on) if on else counts.crossJoin(F.broadcast(bounds))).withColumn("_part", part).drop("_bounds")  # one row a group
     sums = counts.groupBy(*by, "_part").agg(F.sum(rows).alias("_s"))
@@ -58,8 +59,8 @@ def _tie_ranks(df: DataFrame, by: Sequence[str], value: str, rows: str = "n") ->
 def quantiles(df: DataFrame, by: Sequence[str], value: str, qs: Sequence[float]) -> DataFrame:
     """(by, q, quantile): exact quantiles of non-null values, interpolated, from their ranks rather than in one task a group."""
     some = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    total = some.groupBy(*by).agg(F.count("*").alias("_total"))
     ranks = _tie_ranks(some, by, "_v")
+    total = some.groupBy(*by, "_v").agg(F.count("*").alias("n")).groupBy(*by).agg(F.sum("n").alias("_total"))  # the ranks' own counts, whose shuffle is shared
     each = (ranks.join(F.broadcast(total), list(by)) if by else ranks.crossJoin(F.broadcast(total))).withColumn("q", F.explode(F.array(*[F.lit(float(q)) for q in qs])))  # one row a group
     place = (F.col("_total") - 1) * F.col("q")
     low, high = F.floor(place), F.ceil(place)
