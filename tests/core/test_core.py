@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 import __spark_entry__
 from tidemark.functions import clean
 from tidemark.functions import xml
-from tidemark.operators import dedup, features, graph, joins, lineage, merge, quality, scoring, sequence
+from tidemark.operators import dedup, features, graph, joins, lineage, merge, ports, quality, scoring, sequence
 from tidemark.plans import catalogue
 from tidemark.sources import files
 from tidemark.streaming.incremental import in_window, publish_stream
@@ -464,3 +464,44 @@ def test_quantiles_of_a_column_with_an_outlier(spark):
         assert math.isclose(got["a", q], float(np.quantile(values, q)), rel_tol=1e-9) and math.isclose(got["b", q], 4 * q)
     parts = scoring._tie_ranks(df.where("v IS NOT NULL"), ["f"], "v").where("f = 'a'").orderBy("v").collect()
     assert [p.below for p in parts] == list(range(len(values)))
+
+
+# Reasons and counts of lives, and lives of the porting history
+
+
+def test_walk_names_reasons_counts_plans_and_ignored_ends():
+    words = sequence.Vocabulary(frozenset({"start"}), frozenset({"port"}), frozenset({"resume"}), frozenset({"end"}), plans=frozenset({"plan"}), low_carriers=frozenset({"low"}))
+    run = lambda *es: sequence.walk([SimpleNamespace(kind=k, ts=T0 + dt.timedelta(hours=h), carrier=c, event_id=f"e{i}") for i, (k, h, c) in enumerate(es)], words)
+    (a,) = run(("plan", 0, "a"), ("plan", 1, "a"))
+    assert (a["start_reason"], a["plan_changes"], a["end_reason"], a["end_confidence"], a["confidence"]) == (sequence.FROM_PLAN, 2, sequence.TO_OPEN, "HIGH", "LOW")
+    (a,) = run(("plan", 0, "a"), ("resume", 1, "a"))
+    assert a["start_reason"] == words.other_start
+    (a,) = run(("start", 0, "a"), ("end", 5, "a"), ("end", 6, "a"))
+    assert (a["start_reason"], a["end_reason"], a["end_id"], a["end_kind"], a["ignored_ends"], a["confidence"]) == ("explicit_start", "_to_explicit_end", "e1", "end", 1, "HIGH")
+    a, b = run(("start", 0, "a"), ("port", 5, "b"))
+    assert (a["end_reason"], a["end_id"], a["end_confidence"], b["start_reason"]) == (sequence.TO_NEXT, None, "LOW", "explicit_port")
+    assert [r["start_reason"] for r in run(("end", 0, "a"), ("end", 90, "a"))] == [sequence.FROM_FLOOR, sequence.FROM_PREVIOUS]
+    assert run(("start", 0, "low"), ("end", 5, "low"))[0]["confidence"] == "LOW"
+
+
+def test_port_lives(spark):
+    day = lambda n: T0 + dt.timedelta(days=n)
+    words = sequence.Vocabulary(frozenset({"start"}), frozenset(), frozenset(), frozenset({"end"}))
+    events = [("a", "X", "start", 0), ("a", "X", "end", 10), ("a", "Y", "start", 40), ("b", "X", "end", 20), ("c", "X", "start", 0)]
+    lives = sequence.lifecycles(spark.createDataFrame([(s, c, k, day(n), f"{s}{n}") for s, c, k, n in events], "subscriber string, carrier string, kind string, ts timestamp, event_id string"), words)
+    rows = [("a", 5, 1, "a1", True, "Foreign ", None), ("a", 30, 1, "a2", True, None, " 9z"), ("a", 31, 1, "a3", False, "Q", None), ("b", 2, 1, "b0", True, "F", None), ("b", 8, 1, "b1", True, "x", None), ("b", 25, 1, "b2", True, "", None), (None, 1, 1, "n", True, "F", None)]
+    asked = spark.createDataFrame([(k, day(n), *r) for k, n, *r in rows], "subscriber string, ts timestamp, seq int, record_id string, between_carriers boolean, to_name string, to_code string")
+    got = [(r.subscriber, r.lifecycle_no, r.segment, r.carrier, r.start_ts, r.end_ts, r.start_reason, r.end_reason, r.confidence, r.enriched) for r in ports.port_lives(lives, asked, "subscriber", ["X", "Y"]).collect()]
+    assert sorted(got, key=lambda g: g[:2]) == [
+        ("a", 1, 1, "X", day(0), day(10), "explicit_start", "_to_explicit_end", "HIGH", True),
+        ("a", 2, 2, "FOREIGN", day(10), day(30), sequence.FROM_PREVIOUS, ports.PORT_OUT, "LOW", True),
+        ("a", 3, 3, "SPID_9Z", day(30), day(40), ports.PORT_IN, sequence.TO_NEXT, "LOW", True),
+        ("a", 4, 4, "Y", day(40), None, "explicit_start", sequence.TO_OPEN, "HIGH", True),
+        ("b", 1, 1, "F", day(2), day(8), ports.PORT_IN, ports.PORT_OUT, "HIGH", True),
+        ("b", 2, 2, "X", day(8), day(20), ports.PORT_IN, "_to_explicit_end", "HIGH", True),
+        ("b", 3, 3, "UNKNOWN_CARRIER", day(25), None, ports.PORT_IN, sequence.TO_OPEN, "HIGH", True),
+        ("c", 1, 1, "X", day(0), None, "explicit_start", sequence.TO_OPEN, "HIGH", False),
+    ]
+    assert ports.port_lives(lives, asked.limit(0), "subscriber", ["X"]).count() == lives.count()
+    twice = asked.withColumn("asked_at", F.lit(1)).withColumn("request", F.col("record_id")).where("subscriber = 'a'")
+    assert [r.record_id for r in ports.latest_answer(twice, "subscriber", "asked_at", "request").collect()] == ["a3"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -58,9 +58,23 @@ def overlapping(df: DataFrame, keys: Sequence[str], start: str, end: str, order:
     return df.withColumn("_reached", F.max(F.coalesce(F.col(end).cast("timestamp_ntz"), forever)).over(w)).where(F.col(start).cast("timestamp_ntz") < F.col("_reached")).drop("_reached")
 
 
+# How a boundary that no event names came about, and the grades of confidence.
+FROM_FLOOR = "inferred_start_from_floor"
+FROM_PREVIOUS = "inferred_start_from_previous_lifecycle_end"
+FROM_PLAN = "inferred_start_from_plan_change_only"
+TO_NEXT = "_to_inferred_end_from_next_start"
+TO_OPEN = "_open_no_cancellation"
+HIGH, LOW = "HIGH", "LOW"
+
+
 @dataclass(frozen=True)
 class Vocabulary:
-    """Which event kinds start a life, force a new one, resume one or end it; any other is neutral."""
+    """Which event kinds start a life, force a new one, resume one or end it; any other is neutral.
+
+    plans: neutral kinds that are counted as changes of plan. start_reasons and
+    end_reasons name a boundary by its event's kind; low_carriers never have
+    boundaries of high confidence.
+    """
 
     starts: frozenset[str]
     forces: frozenset[str]
@@ -68,6 +82,17 @@ class Vocabulary:
     ends: frozenset[str]
     duplicate_end_hours: float = 24.0
     floor: str = "1970-01-01 00:00:00"
+    plans: frozenset[str] = frozenset()
+    low_carriers: frozenset[str] = frozenset()
+    start_reasons: Mapping[str, str] = field(default_factory=dict)
+    end_reasons: Mapping[str, str] = field(default_factory=dict)
+    other_start: str = "inferred_start"
+
+    def start_reason(self, kind: str) -> str:
+        return FROM_PLAN if kind in self.plans else self.start_reasons.get(kind, f"explicit_{kind}" if kind in self.starts | self.forces | self.resumes else self.other_start)
+
+    def confidence(self, carrier, inferred: bool) -> str:
+        return LOW if inferred or carrier in self.low_carriers else HIGH
 
     def rank(self, kind: str) -> int:
         """At one moment ends come first, then starts, then what is neutral."""
@@ -83,39 +108,66 @@ class _Walk:
     segment: int = 0
     closed: pd.Timestamp | None = None
 
-    def begin(self, e, inferred: bool, at: pd.Timestamp | None = None) -> None:
-        self.live = {"carrier": e.carrier, "segment": self.segment, "anchor_id": e.event_id, "start_ts": e.ts if at is None else at, "start_inferred": inferred, "end_ts": None, "end_inferred": True, "is_open": True}
-
-    def finish(self, at: pd.Timestamp, inferred: bool) -> None:
+    ignored: int = 0
+
+    def begin(self, e, inferred: bool, at: pd.Timestamp | None = None, reason: str | None = None) -> None:
+        self.live = {
+            "carrier": e.carrier,
+            "segment": self.segment,
+            "anchor_id": e.event_id,
+            "start_ts": e.ts if at is None else at,
+            "start_inferred": inferred,
+            "start_id": e.event_id,
+            "start_kind": e.kind,
+            "start_reason": reason or self.words.start_reason(e.kind),
+            "start_confidence": self.words.confidence(e.carrier, inferred),
+            "plan_changes": int(e.kind in self.words.plans),
+            **{"end_ts": None, "end_inferred": True, "is_open": True, "end_id": None, "end_kind": None, "end_reason": TO_OPEN, "end_confidence": HIGH},
+        }
+
+    def finish(self, at: pd.Timestamp, by=None) -> None:
+        """Close what is on, by an event that says so or, without one, by inference."""
         if self.live is not None:
-            self.rows.append({**self.live, "end_ts": at, "end_inferred": inferred, "is_open": False})
+            end = {"end_ts": at, "end_inferred": by is None, "is_open": False, "end_reason": TO_NEXT, "end_confidence": self.words.confidence(self.live["carrier"], by is None)}
+            if by is not None:
+                end |= {"end_id": by.event_id, "end_kind": by.kind, "end_reason": self.words.end_reasons.get(by.kind, f"_to_explicit_{by.kind}")}
+            self.rows.append({**self.live, **end})
             self.live, self.closed = None, at
 
     def end(self, e) -> None:
         if self.live is not None:
-            self.finish(e.ts, False)
+            self.finish(e.ts, e)
         elif self.closed is None or e.ts - self.closed > pd.Timedelta(hours=self.words.duplicate_end_hours):
             # the last life's end is the latest moment at which something else is known
-            self.begin(e, True, self.rows[-1]["end_ts"] if self.rows else pd.Timestamp(self.words.floor))
-            self.finish(e.ts, False)
+            if self.rows:
+                self.begin(e, True, self.rows[-1]["end_ts"], FROM_PREVIOUS)
+            else:
+                self.begin(e, True, pd.Timestamp(self.words.floor), FROM_FLOOR)
+            self.finish(e.ts, e)
+        else:
+            self.ignored += 1
 
     def step(self, e) -> None:
         if self.segment == 0 or e.carrier != self.carrier:
-            self.finish(e.ts, True)
+            self.finish(e.ts)
             self.carrier, self.segment, self.closed = e.carrier, self.segment + 1, None
         if e.kind in self.words.forces | self.words.starts:
-            self.finish(e.ts, True)
+            self.finish(e.ts)
             self.begin(e, False)
         elif e.kind in self.words.ends:
             self.end(e)
         elif self.live is None:
             self.begin(e, e.kind not in self.words.resumes)
+        elif e.kind in self.words.plans:
+            self.live["plan_changes"] += 1
+        elif self.live["start_reason"] == FROM_PLAN:
+            self.live["start_reason"] = self.words.other_start  # more than a change of plan is known of it
 
     def result(self) -> list[dict]:
         return sorted(self.rows + ([self.live] if self.live else []), key=lambda r: (r["start_ts"], r["end_ts"] is None, r["end_ts"] or r["start_ts"], r["segment"], r["anchor_id"]))
 
 
-LIFECYCLE = "subscriber string, lifecycle_no int, carrier string, segment int, anchor_id string, start_ts timestamp, end_ts timestamp, is_open boolean, start_inferred boolean, end_inferred boolean"
+LIFECYCLE = "subscriber string, lifecycle_no int, carrier string, segment int, anchor_id string, start_ts timestamp, end_ts timestamp, is_open boolean, start_inferred boolean, end_inferred boolean, start_id string, start_kind string, start_reason string, start_confidence string, end_id string, end_kind string, end_reason string, end_confidence string, confidence string, plan_changes int, ignored_ends int"
 
 
 def walk(events: Iterable, words: Vocabulary) -> list[dict]:
@@ -123,7 +175,8 @@ def walk(events: Iterable, words: Vocabulary) -> list[dict]:
     state = _Walk(words)
     for e in sorted(events, key=lambda e: (e.ts, words.rank(e.kind), e.event_id)):
         state.step(e)
-    return [{**r, "lifecycle_no": i + 1} for i, r in enumerate(state.result())]
+    weaker = lambda r: HIGH if r["start_confidence"] == r["end_confidence"] == HIGH else LOW
+    return [{**r, "lifecycle_no": i + 1, "confidence": weaker(r), "ignored_ends": state.ignored} for i, r in enumerate(state.result())]
 
 
 def lifecycles(events: DataFrame, words: Vocabulary) -> DataFrame:
@@ -171,22 +224,22 @@ def covers(taken: DataFrame, key: str, start: str, end: str) -> DataFrame:
     return out.select(F.col("k").alias(key), F.col("s").alias(start), F.when(F.col("e") < forever, F.col("e")).alias(end))
 
 
-def subtract_intervals(free: DataFrame, taken: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """Parts of `free` intervals that no `taken` interval of the key covers: (key, start, end), half-open; a null end is open.
+def subtract_intervals(free: DataFrame, taken: DataFrame, key: str, start: str, end: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Parts of `free` intervals that no `taken` interval of the key covers: (key, start, end), half-open, with `keep` of their rows; a null end is open.
 
     What lies between a key's covers is met twice: by the start of a free
     interval, and with its own start inside a free interval. Empty intervals
     take nothing and leave nothing; null keys are left out.
     """
-    shape = lambda d: d.select(F.col(key).cast("string").alias("k"), F.col(start).cast("timestamp").alias("s"), F.col(end).cast("timestamp").alias("e"))
-    wanted = shape(free).where("k IS NOT NULL AND s IS NOT NULL AND (e IS NULL OR e > s)")
+    shape = lambda d, *more: d.select(F.col(key).cast("string").alias("k"), F.col(start).cast("timestamp").alias("s"), F.col(end).cast("timestamp").alias("e"), *more)
+    wanted = shape(free, F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("kept")).where("k IS NOT NULL AND s IS NOT NULL AND (e IS NULL OR e > s)")
     used = covers(shape(taken), "k", "s", "e")
     order = Window.partitionBy("k").orderBy("s")
     gaps = used.select("k", F.coalesce(F.lag("e").over(order), F.lit("0001-01-01 00:00:00").cast("timestamp")).alias("gs"), F.col("s").alias("ge"))
     gaps = gaps.unionByName(used.groupBy("k").agg(F.max_by("e", "s").alias("gs")).where("gs IS NOT NULL").withColumn("ge", F.lit(None).cast("timestamp")))
     until = F.when(F.col("e").isNull() | (F.col("ge") < F.col("e")), F.coalesce("ge", "e")).otherwise(F.col("e"))
-    at_start = point_in_interval(wanted, gaps, "k", "s", "gs", "ge", False).select("k", "s", until.alias("e"))
-    later = point_in_interval(gaps, wanted, "k", "gs", "s", "e", False).where("gs > s").select("k", F.col("gs").alias("s"), until.alias("e"))
+    at_start = point_in_interval(wanted, gaps, "k", "s", "gs", "ge", False).select("k", "s", until.alias("e"), "kept")
+    later = point_in_interval(gaps, wanted, "k", "gs", "s", "e", False).where("gs > s").select("k", F.col("gs").alias("s"), until.alias("e"), "kept")
     whole = wanted.join(used.select("k"), "k", "left_anti")
     found = at_start.unionByName(later).unionByName(whole)
-    return found.select(F.col("k").alias(key), F.col("s").alias(start), F.col("e").alias(end))
+    return found.select(F.col("k").alias(key), F.col("s").alias(start), F.col("e").alias(end), *[F.col(f"kept.`{c}`") for c in keep])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
 from tidemark.functions import xml
-from tidemark.operators import dedup, features, graph, joins, lineage as accounts, merge, quality, scoring, sequence
+from tidemark.operators import dedup, features, graph, joins, lineage as accounts, merge, ports, quality, scoring, sequence
 from tidemark.sources.tables import table
 from tidemark.streaming.incremental import in_window
 
@@ -356,6 +356,34 @@ def interval_subtraction(t):
     return left.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("f", "e")})
 
 
+@query(f"""WITH {LINEAGE}, lives AS (SELECT user_id, interval_id, from_ts AS s, least(coalesce(to_ts, TIMESTAMP '9999-01-01'), from_ts + INTERVAL 12 HOUR) AS e FROM lineage),
+k AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error'),
+g AS (SELECT user_id, coalesce(lag(e) OVER (PARTITION BY user_id ORDER BY s), TIMESTAMP '0001-01-01') AS gs, s AS ge FROM lives UNION ALL SELECT user_id, max(e), TIMESTAMP '9999-01-01' FROM lives GROUP BY user_id
+  UNION ALL SELECT user_id, TIMESTAMP '0001-01-01', TIMESTAMP '9999-01-01' FROM k WHERE user_id NOT IN (SELECT user_id FROM lives)),
+st AS (SELECT user_id, event_id, CAST(floor(value) % 3 AS BIGINT) AS c, ts AS s, coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), TIMESTAMP '9999-01-01') AS e FROM events WHERE event_type = 'error'),
+p AS (SELECT user_id, event_id, CASE c WHEN 1 THEN 'OTHER' ELSE 'SPID_2B' END AS carrier, greatest(s, gs) AS start_ts, least(e, ge) AS end_ts, s, e FROM st JOIN g USING (user_id) WHERE c <> 0 AND greatest(s, gs) < least(e, ge)),
+u AS (SELECT user_id, carrier, start_ts, CASE WHEN end_ts < TIMESTAMP '9999-01-01' THEN end_ts END AS end_ts, CASE WHEN start_ts = s AND (e = end_ts) THEN 'HIGH' ELSE 'LOW' END AS confidence, true AS ported FROM p
+  UNION ALL SELECT user_id, 'HOME', s, e, 'HIGH', false FROM lives)
+SELECT user_id, carrier, start_ts, end_ts, confidence, ported, user_id IN (SELECT user_id FROM k) AS enriched, CASE WHEN user_id IN (SELECT user_id FROM k) THEN row_number() OVER (PARTITION BY user_id ORDER BY start_ts) ELSE 0 END AS lifecycle_no FROM u""")
+def port_lifecycles(t):
+    """Half-day lives from signups; errors as ports to a fed carrier, a named and an unnamed one."""
+    w = lineage(t).withColumn("to_ts", F.least(F.coalesce("to_ts", F.to_timestamp_ntz(F.lit("9999-01-01 00:00:00"))), F.col("from_ts") + F.expr("INTERVAL 12 HOURS")))
+    none, high = F.lit(None).cast("string"), F.lit("HIGH")
+    names = {"lifecycle_no": F.lit(0), "segment": F.lit(0), "carrier": F.lit("HOME"), "anchor_id": F.col("interval_id").cast("string"), "start_ts": F.col("from_ts").cast("timestamp"), "end_ts": F.col("to_ts").cast("timestamp"), "is_open": F.lit(False), "start_inferred": F.lit(False), "end_inferred": F.lit(False)}
+    names |= {"start_id": none, "start_kind": none, "start_reason": F.lit("explicit"), "start_confidence": high, "end_id": none, "end_kind": none, "end_reason": none, "end_confidence": high, "confidence": high, "plan_changes": F.lit(0), "ignored_ends": F.lit(0), "lifecycle_uid": F.sha2(F.col("interval_id").cast("string"), 256)}
+    c = F.floor("value") % 3
+    asked = t("events").where("event_type = 'error'").select("user_id", F.col("ts").cast("timestamp").alias("ts"), F.lit(None).cast("int").alias("seq"), F.col("event_id").alias("record_id"), F.lit(True).alias("between_carriers"), F.when(c == 0, "home").when(c == 1, " other ").alias("to_name"), F.when(c == 2, "2b").alias("to_code"))
+    found = ports.port_lives(w.select("user_id", *[v.alias(k) for k, v in names.items()]), asked, "user_id", ["HOME"])
+    return found.select("user_id", "carrier", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_ts", "end_ts")], "confidence", "ported", "enriched", "lifecycle_no")
+
+
+@query("""WITH w AS (SELECT *, lag(o_orderpriority) OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_orderdate, o_orderpriority) AS b FROM orders)
+SELECT o_custkey, o_orderstatus, o_orderdate, o_orderpriority, 'NUMBER_CHANGE' AS event_kind FROM w WHERE b <> o_orderpriority""")
+def derived_changes(t):
+    o = t("orders").select("o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    return ports.lineage_changes(o, ["o_custkey", "o_orderstatus"], "o_orderpriority", "o_orderdate", "NUMBER_CHANGE")
+
+
 # Graphs
 
 
