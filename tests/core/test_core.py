@@ -12,8 +12,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 import __spark_entry__
 from tidemark.functions import clean
-from tidemark.functions import xml
-from tidemark.operators import dedup, features, graph, joins, lineage, merge, ports, quality, scoring, sequence
+from tidemark.functions import silver, xml
+from tidemark.operators import dedup, features, graph, joins, lineage, merge, ports, preprocess, quality, scoring, sequence
 from tidemark.plans import catalogue
 from tidemark.sources import files
 from tidemark.streaming.incremental import in_window, publish_stream
@@ -505,3 +505,52 @@ def test_port_lives(spark):
     assert ports.port_lives(lives, asked.limit(0), "subscriber", ["X"]).count() == lives.count()
     twice = asked.withColumn("asked_at", F.lit(1)).withColumn("request", F.col("record_id")).where("subscriber = 'a'")
     assert [r.record_id for r in ports.latest_answer(twice, "subscriber", "asked_at", "request").collect()] == ["a3"]
+
+
+# Feeds, filling and drift
+
+
+def test_feeds_refuse_what_is_ambiguous(spark):
+    feed = silver.Feed({"id": ["id", "ID2"], "timestamp": ["timestamp"]}, {}, frozenset({"timestamp"}))
+    for columns in ("id string, ID string", "id string, id2 string, timestamp string", "id string", "_x string, timestamp string"):
+        with pytest.raises(ValueError):
+            silver.prepared(spark.createDataFrame([], columns), feed)
+    assert "_s_id" in silver.prepared(spark.createDataFrame([], "timestamp string, more int"), feed).columns
+
+
+def test_audit_excludes_test_ids_and_keeps_their_rows(spark):
+    raw = spark.createDataFrame([("a", "T1", "7", "x"), ("b", "5", None, "2024-01-01"), ("c", None, "77777777777", None)], "id string, partner_id string, service_provider_id string, timestamp string")
+    feed = silver.Feed({c: [c] for c in catalogue.AUDIT.inputs}, {"record_id": "string", "partner_id": "string", "service_provider_id": "string"}, test_partners=["t1"])
+    none = spark.createDataFrame([], "partner_id string, partner_name string")
+    kept, out = silver.audit(raw, feed, none, none.withColumnRenamed("partner_id", "service_provider_id").drop("partner_name"))
+    assert [(r.record_id, r.partner_id, r.service_provider_id, r._warn_partner_reference) for r in kept.orderBy("record_id").collect()] == [("b", "0000000005", None, True), ("c", None, "77777777777", False)]
+    (gone,) = out.collect()
+    assert gone.record_id == "a" and '"T1"' in gone._raw_payload
+
+
+def test_variants_and_fitted_fills(spark):
+    assert preprocess.variant("raw_numeric_zero_impute_no_scaling") == preprocess.Variant("zero", None)
+    assert preprocess.variant("domain_impute_with_missing_indicators_minmax_scaler") == preprocess.Variant("domain", "minmax", True)
+    for bad in ("", "mean_impute_no_scaling", "zero_impute", "zero_impute_robust", "zero_no_scaling"):
+        with pytest.raises(ValueError):
+            preprocess.variant(bad)
+    assert preprocess.tenure_of("acct_days_since_x", ["acct_node_tenure_days", "cust_node_tenure_days"]) == "acct_node_tenure_days"
+    assert preprocess.tenure_of("x_days_since", ["cust_node_tenure_days"]) == "cust_node_tenure_days" and preprocess.tenure_of("x", []) is None
+    train = spark.createDataFrame([(1.0, None, 5.0), (float("inf"), None, 5.0), (4.0, None, 5.0)], "a double, b double, c double")
+    for scale, want in (("standard", [(-1.0, 0.0, 0.0), (0.0, 0.0, 0.0), (1.0, 0.0, 0.0)]), ("minmax", [(0.0, 0.0, 0.0), (0.5, 0.0, 0.0), (1.0, 0.0, 0.0)]), (None, [(1.0, 0.0, 5.0), (2.5, 0.0, 5.0), (4.0, 0.0, 5.0)])):
+        got = preprocess.fit(train, ["a", "b", "c"], preprocess.Variant("median", scale)).apply(train).collect()
+        assert all(math.isclose(x, y * (1.5 / np.std([1, 2.5, 4]) if scale == "standard" and i == 0 else 1), abs_tol=1e-9) for g, w in zip(sorted(tuple(r) for r in got), want) for i, (x, y) in enumerate(zip(g, w)))
+    marked = preprocess.fit(train, ["a", "c"], preprocess.Variant("zero", None, True)).apply(train)
+    assert marked.columns == ["a", "b", "c", "a_missing"] and sorted(r.a for r in marked.collect()) == [0.0, 1.0, 4.0]
+    assert preprocess.fit(train.limit(0), ["a"], preprocess.Variant("median", "robust")).apply(train).where("a IS NULL").isEmpty()
+    with pytest.raises(ValueError):
+        preprocess.fit(train, ["z"], preprocess.Variant("zero", None))
+
+
+def test_drift_of_columns_without_values(spark):
+    a = spark.createDataFrame([(float(i), None, float("nan")) for i in range(50)], "x double, y double, z double")
+    b = spark.createDataFrame([(float(i), 1.0, 2.0) for i in range(50)], "x double, y double, z double")
+    got = {r.feature: (r.status, r.null_share_shift, r.null_shift_flag) for r in scoring.feature_drift(a, b, ["x", "y", "z"]).collect()}
+    assert got == {"x": ("ok", 0.0, False), "y": ("unevaluable", 1.0, True), "z": ("unevaluable", 0.0, False)}
+    one = scoring.retrain_decision(scoring.feature_drift(a, b, ["x", "y"]), spark.createDataFrame([(None,)], "psi double")).collect()
+    assert [(r.n_features, r.n_evaluated, r.n_drifted, r.retrain) for r in one] == [(2, 1, 0, False)]

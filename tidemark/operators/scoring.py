@@ -248,6 +248,38 @@ def psi(reference: DataFrame, current: DataFrame, value: str, bins: int = 10) ->
     return counts.join(F.broadcast(totals)).agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
 
 
+def feature_drift(reference: DataFrame, current: DataFrame, features: Sequence[str], most: float = 0.2, null_shift: float = 0.1, bins: int = 10) -> DataFrame:
+    """(feature, reference_null_share, batch_null_share, null_share_shift, psi, status, null_shift_flag), all features in one pass.
+
+    psi as in `psi`, over each feature's own quantile bins. status: drifted
+    beyond `most`, ok, or unevaluable where a side has no finite value.
+    """
+    finite = F.when(~F.isnan("value") & (F.abs("value") < float("inf")), F.col("value"))
+    side = lambda d, ref: stacked(d, features).select("feature", F.lit(ref).alias("ref"), F.col("value").isNull().alias("_null"), finite.alias("value"))
+    both = side(reference, 1).unionAll(side(current, 0))
+    edges = quantiles(both.where("ref = 1"), ["feature"], "value", [i / bins for i in range(1, bins)]).groupBy("feature").agg(F.array_sort(F.collect_set("quantile")).alias("edges"))  # bins - 1 values a feature
+    share = lambda ref: F.avg(F.when(F.col("ref") == ref, F.col("_null").cast("double")))
+    some = lambda ref: F.count(F.when(F.col("ref") == ref, F.col("value")))
+    totals = both.groupBy("feature").agg(share(1).alias("reference_null_share"), share(0).alias("batch_null_share"), some(1).alias("nr"), some(0).alias("nc"))
+    binned = both.where("value IS NOT NULL").join(F.broadcast(edges), "feature").withColumn("bin", F.size(F.filter("edges", lambda e: F.col("value") > e)))  # a row a feature
+    counts = binned.groupBy("feature", "bin").agg(F.sum("ref").alias("r"), F.sum(1 - F.col("ref")).alias("c")).join(F.broadcast(totals), "feature").where("nr > 0 AND nc > 0")
+    floor = F.lit(0.1) / F.greatest("nr", "nc")
+    r, c = F.greatest(F.col("r") / F.col("nr"), floor), F.greatest(F.col("c") / F.col("nc"), floor)
+    index = counts.groupBy("feature").agg(F.sum((c - r) * F.log(c / r)).alias("psi"))
+    shift = F.abs(F.col("batch_null_share") - F.col("reference_null_share"))
+    status = F.when(F.col("psi").isNull(), "unevaluable").when(F.col("psi") > most, "drifted").otherwise("ok")
+    return totals.join(F.broadcast(index), "feature", "left").select("feature", "reference_null_share", "batch_null_share", shift.alias("null_share_shift"), "psi", status.alias("status"), F.coalesce(shift > null_shift, F.lit(False)).alias("null_shift_flag"))
+
+
+def retrain_decision(drift: DataFrame, score_psi: DataFrame, most: float = 0.2, share: float = 0.25) -> DataFrame:
+    """(n_features, n_evaluated, n_drifted, share_drifted, n_null_shift, score_psi, retrain): whether the score or enough features drifted."""
+    one = drift.agg(F.count("*").alias("n_features"), F.count_if(F.col("status") != "unevaluable").alias("n_evaluated"), F.count_if(F.col("status") == "drifted").alias("n_drifted"), F.count_if("null_shift_flag").alias("n_null_shift"))
+    part = F.when(F.col("n_evaluated") > 0, F.col("n_drifted") / F.col("n_evaluated")).otherwise(0.0)
+    out = one.crossJoin(F.broadcast(score_psi.select(F.col("psi").alias("score_psi")))).withColumn("share_drifted", part)  # one row each
+    retrain = F.coalesce(F.col("score_psi") > most, F.lit(False)) | ((F.col("n_evaluated") > 0) & (F.col("share_drifted") >= share))
+    return out.select("n_features", "n_evaluated", "n_drifted", "share_drifted", "n_null_shift", "score_psi", retrain.alias("retrain"))
+
+
 def total_variation(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
     """(distance): half the sum of differences of shares."""
     both = a.select(F.col(value).alias("v"), F.lit(1).alias("a")).unionAll(b.select(F.col(value).alias("v"), F.lit(0).alias("a")))

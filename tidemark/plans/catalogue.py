@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
-from tidemark.functions import xml
-from tidemark.operators import dedup, features, graph, joins, lineage as accounts, merge, ports, quality, scoring, sequence
+from tidemark.functions import silver, xml
+from tidemark.operators import dedup, features, graph, joins, lineage as accounts, merge, ports, preprocess, quality, scoring, sequence
 from tidemark.sources.tables import table
 from tidemark.streaming.incremental import in_window
 
@@ -670,6 +670,62 @@ def cohort_sample(t):
     return t("customer").where(dedup.in_cohort(F.col("c_custkey"), "salt", 10, 3)).select("c_custkey")
 
 
+# Feeds
+
+ACCOUNT = silver.Feed(
+    {"id": ["id"], "timestamp": ["timestamp"], "change_key": ["change_key"], "change_type": ["change_type"], "notes": ["notes"]},
+    {"record_id": "long", "event_timestamp": "timestamp_ntz", "mno": "string", "subId": "string", "phone_number_AC_hash": "string", "event_type": "string", "event_date": "date", "source_name": "string", "schema_version": "string"},
+    frozenset({"id", "timestamp"}),
+    ["mno", *silver.BELL_NOTES],
+    source_name="account_changes",
+)
+
+
+@query("""SELECT CASE WHEN event_id % 11 > 0 THEN event_id END AS record_id, date_trunc('second', ts) AS event_timestamp, CASE event_id % 5 WHEN 0 THEN 'BELL' WHEN 1 THEN 'TELUS' WHEN 2 THEN 'BELL' WHEN 3 THEN 'ROGERS' END AS mno,
+CASE WHEN event_id % 5 = 2 THEN '7' WHEN event_id % 10 = 8 THEN '1' END AS "subId", CAST(user_id AS VARCHAR) AS "phone_number_AC_hash", upper(event_type) AS event_type, CAST(ts AS DATE) AS event_date, 'account_changes' AS source_name, '1' AS schema_version,
+event_id % 5 = 4 AS _bad_notes, event_id % 11 = 0 AS _bad_record_id, false AS _bad_event_timestamp, event_id % 10 = 8 AS _warn_rogers_notes FROM events""")
+def silver_account(t):
+    n = F.col("event_id") % 5
+    notes = F.when(n == 0, '{"mno": "bell_landline"}').when(n == 1, '{"mno": " telus ", "subId": "\\\\N"}').when(n == 2, '{"subId": 7}').when(F.col("event_id") % 10 == 8, '{"mno": "rogers", "subId": "1"}').when(n == 3, "\\N").otherwise("no json")
+    key = F.when(F.col("event_id") % 11 > 0, F.col("event_id").cast("string")).otherwise("x1")
+    raw = t("events").select(key.alias("ID"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"), F.concat(F.lit(" "), F.col("user_id").cast("string")).alias("change_key"), F.col("event_type").alias("change_type"), notes.alias("notes"))
+    return silver.account(raw, ACCOUNT, F.current_timestamp()).drop("_raw_payload", "_source_file", "_source_row_id")
+
+
+DEVICE = silver.Feed(
+    {c: [c] for c in ("id", "timestamp", "date", "change_key", "change_key_ats", "imei", "imsi", "related_id", "mno", "status", "notes")},
+    {"record_id": "long", "event_timestamp": "timestamp_ntz", "date": "date", "imei": "string", "mno": "string", "event_type": "string", "tac": "string", "event_date": "date"},
+    notes=["correlationId", "tac", "oldIMSI", "oldIMEI", "fromADCSnapshot"],
+)
+
+
+@query("""SELECT event_id AS record_id, CAST(date_trunc('day', ts) AS TIMESTAMP) AS event_timestamp, CASE WHEN event_id % 2 > 0 THEN CAST(ts AS DATE) END AS date, CAST(user_id AS VARCHAR) AS imei, 'BELL' AS mno, upper(event_type) AS event_type, CAST(event_id AS VARCHAR) AS tac, CAST(ts AS DATE) AS event_date,
+false AS _bad_notes, false AS _bad_record_id, false AS _bad_event_timestamp, event_id % 2 = 0 AS _bad_date FROM events""")
+def silver_device(t):
+    day = F.date_format("ts", "yyyy-MM-dd")
+    raw = t("events").select(F.col("event_id").alias("id"), day.alias("timestamp"), F.when(F.col("event_id") % 2 > 0, day).otherwise("2024-02-31").alias("date"), F.col("user_id").alias("imei"), F.lit("bell").alias("mno"), F.col("event_type").alias("status"), F.to_json(F.struct(F.col("event_id").alias("tac"))).alias("notes"))
+    return silver.device(raw, DEVICE, F.current_timestamp()).drop("_raw_payload", "_source_file", "_source_row_id")
+
+
+AUDIT = silver.Feed(
+    {c: [c] for c in ("id", "timestamp", "date", "processing_time", "timestamp_ms", "msisdn", "hashed_msisdn", "encrypted_msisdn", "brand", "source_ip", "request_id", "operation", "mno", "response_code", "partner_id", "service_provider_id")},
+    {"record_id": "string", "api_timestamp": "timestamp_ntz", "timestamp_ms": "timestamp_ntz", "processing_time_ms": "long", "partner_id": "string", "partner_name": "string", "api_type": "string"},
+    test_partners=["3"],
+    api_types={"PURCHASE": "BUY"},
+)
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS record_id, date_trunc('second', ts) AS api_timestamp, CASE WHEN event_id % 3 > 0 THEN TIMESTAMP '1970-01-01 00:00:01' END AS timestamp_ms, -5::BIGINT AS processing_time_ms, lpad(CAST(user_id % 9 AS VARCHAR), 10, '0') AS partner_id, n_name AS partner_name,
+CASE event_type WHEN 'purchase' THEN 'BUY' ELSE upper(event_type) END AS api_type, false AS _bad_api_timestamp, false AS _bad_date, false AS _bad_processing_time_ms, event_id % 3 = 0 AS _bad_timestamp_ms,
+event_type <> 'purchase' AS _warn_unknown_api, n_name IS NULL AS _warn_partner_reference, false AS _warn_provider_reference FROM events LEFT JOIN nation ON n_nationkey = user_id % 9 AND n_nationkey < 7 WHERE user_id % 9 <> 3""")
+def silver_audit(t):
+    raw = t("events").select(F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.lit("-5").alias("processing_time"), F.when(F.col("event_id") % 3 > 0, "1000").otherwise("999999999999999").alias("timestamp_ms"), (F.col("user_id") % 9).alias("partner_id"), F.col("event_type").alias("operation"))
+    partners = t("nation").where("n_nationkey < 7").select(F.lpad(F.col("n_nationkey").cast("string"), 10, "0").alias("partner_id"), F.col("n_name").alias("partner_name"))
+    providers = partners.select(F.col("partner_id").alias("service_provider_id")).limit(0)
+    kept, _ = silver.audit(raw, AUDIT, partners, providers)
+    return kept.drop("_raw_payload", "_source_file", "_source_row_id")
+
+
 # Scoring
 
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -812,6 +868,56 @@ def stratified_cap(t):
     return dedup.kept_positives(t("labels"), F.col("toxic") == 1, 200, "doc_id")
 
 
+def _drift_sql(col: str) -> str:
+    """Reference: linenumber <= 3; current: the others, the discount null on every tenth of them and the quantity shifted."""
+    now = {"l_quantity": "l_quantity + 10", "l_discount": "CASE WHEN l_orderkey % 5 > 0 THEN l_discount END"}.get(col, col)
+    return f"""SELECT '{col}' AS feature, nulls_r AS reference_null_share, nulls_c AS batch_null_share, abs(nulls_c - nulls_r) AS null_share_shift, psi FROM (
+WITH r AS (SELECT CAST({col} AS DOUBLE) AS v FROM lineitem WHERE l_linenumber <= 3), c AS (SELECT CAST({now} AS DOUBLE) AS v FROM lineitem WHERE l_linenumber > 3),
+e AS (SELECT list_distinct(quantile_cont(v, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges FROM r),
+b AS (SELECT 1 AS ref, len(list_filter(edges, lambda x: v > x)) AS bin FROM r, e WHERE v IS NOT NULL UNION ALL SELECT 0, len(list_filter(edges, lambda x: v > x)) FROM c, e WHERE v IS NOT NULL),
+n AS (SELECT sum(ref) AS nr, sum(1 - ref) AS nc FROM b), g AS (SELECT bin, sum(ref) AS r, sum(1 - ref) AS c FROM b GROUP BY bin),
+s AS (SELECT greatest(r / nr, 0.1 / greatest(nr, nc)) AS p, greatest(c / nc, 0.1 / greatest(nr, nc)) AS q FROM g, n)
+SELECT (SELECT avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) FROM r) AS nulls_r, (SELECT avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) FROM c) AS nulls_c, sum((q - p) * ln(q / p)) AS psi FROM s)"""
+
+
+DRIFT = "d AS (" + " UNION ALL ".join(_drift_sql(c) for c in LINE) + ")"
+
+
+def _drift(t) -> DataFrame:
+    line = t("lineitem")
+    now = line.where("l_linenumber > 3").withColumns({"l_quantity": F.col("l_quantity") + 10, "l_discount": F.when(F.col("l_orderkey") % 5 > 0, F.col("l_discount"))})
+    return scoring.feature_drift(line.where("l_linenumber <= 3"), now, LINE)
+
+
+@query(f"""WITH {DRIFT} SELECT feature, round(reference_null_share, 6) AS reference_null_share, round(batch_null_share, 6) AS batch_null_share, round(null_share_shift, 6) AS null_share_shift, round(psi, 6) AS psi,
+CASE WHEN psi > 0.2 THEN 'drifted' ELSE 'ok' END AS status, null_share_shift > 0.1 AS null_shift_flag FROM d""")
+def feature_drift(t):
+    return _drift(t)
+
+
+@query(f"""WITH {DRIFT}, a AS (SELECT count(*) AS n, count(*) FILTER (psi > 0.2) AS k, count(*) FILTER (null_share_shift > 0.1) AS z, max(CASE WHEN feature = 'l_tax' THEN psi END) AS p FROM d)
+SELECT n AS n_features, n AS n_evaluated, k AS n_drifted, round(k / n, 6) AS share_drifted, z AS n_null_shift, round(p, 6) AS score_psi, p > 0.2 OR k / n >= 0.25 AS retrain FROM a""")
+def retrain_decision(t):
+    found = _drift(t)
+    return scoring.retrain_decision(found, found.where("feature = 'l_tax'").select("psi"))
+
+
+RAW_ORDER = "SELECT o_orderkey, CASE WHEN o_orderkey % 3 > 0 THEN o_totalprice END AS price, CASE WHEN o_orderkey % 4 > 0 THEN o_custkey END AS visits_cnt, CASE WHEN o_orderkey % 5 > 0 THEN o_totalprice / 1000 END AS days_since_last, o_custkey * 2.0 AS cust_node_tenure_days, CASE WHEN o_orderkey % 7 > 0 THEN ln(o_totalprice) END AS hour_entropy FROM orders"
+FILLED_COLUMNS = ["price", "visits_cnt", "days_since_last", "hour_entropy"]
+
+
+@query(f"""WITH x AS ({RAW_ORDER}), f AS (SELECT o_orderkey, price IS NULL AS pm, visits_cnt IS NULL AS vm, days_since_last IS NULL AS dm, hour_entropy IS NULL AS hm, CAST(coalesce(price, (SELECT quantile_cont(price, 0.5) FROM x)) AS DOUBLE) AS price, CAST(coalesce(visits_cnt, 0) AS DOUBLE) AS visits_cnt,
+CAST(coalesce(days_since_last, cust_node_tenure_days) AS DOUBLE) AS days_since_last, coalesce(hour_entropy, (SELECT avg(hour_entropy) FROM x)) AS hour_entropy FROM x)
+SELECT o_orderkey, {", ".join(f"round(({c} - (SELECT quantile_cont({c}, 0.5) FROM f)) / (SELECT quantile_cont({c}, 0.95) - quantile_cont({c}, 0.05) FROM f), 6) AS {c}" for c in FILLED_COLUMNS)},
+CAST(pm AS BIGINT) AS price_missing, CAST(vm AS BIGINT) AS visits_cnt_missing, CAST(dm AS BIGINT) AS days_since_last_missing, CAST(hm AS BIGINT) AS hour_entropy_missing FROM f""")
+def preprocessed(t):
+    k = F.col("o_orderkey")
+    price = F.col("o_totalprice")
+    df = t("orders").select("o_orderkey", F.when(k % 3 > 0, price).alias("price"), F.when(k % 4 > 0, F.col("o_custkey")).alias("visits_cnt"), F.when(k % 5 > 0, price / 1000).alias("days_since_last"), (F.col("o_custkey") * 2.0).alias("cust_node_tenure_days"), F.when(k % 7 > 0, F.log(price)).alias("hour_entropy"))
+    fitted = preprocess.fit(df, FILLED_COLUMNS, preprocess.variant("domain_impute_with_missing_indicators_robust_scaler"))
+    return fitted.apply(df).drop("cust_node_tenure_days")
+
+
 @query("""
 WITH f AS (SELECT source, min(doc_id) AS doc_id FROM documents JOIN labels USING (doc_id) WHERE toxic = 1 GROUP BY source)
 SELECT d.doc_id, 1::BIGINT AS label FROM f d UNION ALL SELECT doc_id, 0 FROM documents JOIN labels USING (doc_id) WHERE toxic = 0 AND lang NOT IN (SELECT lang FROM documents JOIN f USING (doc_id) WHERE lang = 'de')""")
