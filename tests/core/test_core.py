@@ -13,7 +13,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 import __spark_entry__
 from tidemark.functions import clean
 from tidemark.functions import silver, xml
-from tidemark.operators import dedup, features, graph, joins, lineage, merge, ports, preprocess, quality, scoring, sequence
+from tidemark.operators import dedup, eligibility, features, graph, joins, lineage, merge, ports, preprocess, quality, scoring, sequence
 from tidemark.plans import catalogue
 from tidemark.sources import files
 from tidemark.streaming.incremental import in_window, publish_stream
@@ -554,3 +554,30 @@ def test_drift_of_columns_without_values(spark):
     assert got == {"x": ("ok", 0.0, False), "y": ("unevaluable", 1.0, True), "z": ("unevaluable", 0.0, False)}
     one = scoring.retrain_decision(scoring.feature_drift(a, b, ["x", "y"]), spark.createDataFrame([(None,)], "psi double")).collect()
     assert [(r.n_features, r.n_evaluated, r.n_drifted, r.retrain) for r in one] == [(2, 1, 0, False)]
+
+
+# Edges and eligibility
+
+
+def test_edges_of_changes_and_of_lives(spark):
+    side = lambda rows: spark.createDataFrame([(i, k, c, T0 + dt.timedelta(days=d), x) for i, k, c, d, x in rows], "id string, key string, carrier string, ts timestamp, correlation string")
+    froms = side([("f1", "p", "A", 0, "x"), ("f2", "q", "A", 0, " "), ("f3", "r", "B", 9, None)])
+    tos = side([("t1", "q", "A", 1, "x"), ("t2", "p", "A", 1, "x"), ("t3", "s", "B", 1, "x"), ("t4", "u", "A", 1, " "), ("t5", "s", "B", 10, None)])
+    found = lineage.correlation_edges(froms, tos)
+    assert [(e.from_id, e.to_id) for e in found.collect()] == [("f1", "t1")]
+    stated = spark.createDataFrame([("r", "s", "b", T0 + dt.timedelta(days=9.5)), ("r", "s", "b", T0 + dt.timedelta(days=9.5)), ("r", "r", "b", T0), ("p", " ", "a", T0), (None, "s", "b", T0), ("p", "q", None, T0)], "was string, becomes string, carrier string, ts timestamp")
+    assert [(e.from_id, e.to_id) for e in lineage.counterparty_edges(froms, tos, stated, 0.5).collect()] == [("f3", "t5")]
+    assert lineage.counterparty_edges(froms, tos, stated, 0.25).collect() == []
+    lives = spark.createDataFrame([("l1", "start", "s1", "left", "f1"), ("l2", "came", "t1", None, None), ("l3", "start", "t1", "other", "f1")], "lifecycle_uid string, start_kind string, start_id string, end_kind string, end_id string")
+    assert [(e.from_uid, e.to_uid) for e in lineage.life_edges(found, lives, "left", "came").collect()] == [("l1", "l2")]
+
+
+def test_eligibility():
+    say = lambda n, k="double", **how: eligibility.verdict(n, k, **how)
+    assert say("Customer_ID") == ("join_key", False) and say("fraud_timestamp") == ("label_leakage", False) and say("__x") == ("provenance", False)
+    assert say("made", provenance=["made"]) == ("provenance", False) and say("created_ts") == ("timestamp_pattern", False) and say("imei") == ("id_pattern", False)
+    assert say("cust_days_since_account_created") == ("", True) and say("distinct_cnt_phone") == ("id_pattern", False)
+    assert say("x", "string") == ("not_numeric", False) and say("x", "decimal(10,2)") == ("", False) and say("x", "array<int>") == ("not_numeric", False)
+    assert eligibility.eligible([("b", "int"), ("a", "double"), ("label", "int")]) == ["a", "b"]
+    assert eligibility.top([("b", 1.0), ("a", 1.0), ("c", 2.0)], 2) == ["c", "a"] and eligibility.top([], 3) == []
+    assert scoring.k_grid(100, 7, [10, 500], [0.001, 0.05]) == [1, 5, 7, 10] and scoring.k_grid(0, 3, [1]) == []

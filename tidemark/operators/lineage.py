@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import latest
-from tidemark.operators.joins import best_of
+from tidemark.operators.joins import best_of, point_in_interval
 
 HIGH, LOW = "HIGH", "LOW"
 
@@ -57,6 +57,47 @@ def firm_ends(lives: DataFrame, ports: DataFrame, key: str, life_id: str) -> Dat
     return lives.join(found, life_id, "left").withColumn("end_confidence", F.when(F.col("_firm"), HIGH).otherwise(F.col("end_confidence"))).drop("_firm")
 
 
+def _sides(froms: DataFrame, tos: DataFrame) -> tuple[DataFrame, DataFrame]:
+    named = lambda d, side: d.select(*[F.col(c).alias(f"{side}_{c}") for c in ("id", "key", "carrier", "ts", "correlation")])
+    return named(froms, "from"), named(tos, "to")
+
+
+def correlation_edges(froms: DataFrame, tos: DataFrame) -> DataFrame:
+    """(from_id, to_id, to_ts): the two sides of a change that share a correlation id and a carrier, on different numbers.
+
+    Both sides: id, key, carrier, ts, correlation. A blank id correlates nothing.
+    """
+    a, b = _sides(froms, tos)
+    given = lambda c: F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
+    same = (F.col("from_correlation") == F.col("to_correlation")) & (F.col("from_carrier") == F.col("to_carrier")) & (F.col("from_key") != F.col("to_key"))
+    return a.where(given("from_correlation")).join(b.where(given("to_correlation")), same).select("from_id", "to_id", "to_ts")
+
+
+def counterparty_edges(froms: DataFrame, tos: DataFrame, stated: DataFrame, days: float) -> DataFrame:
+    """(from_id, to_id, to_ts): sides of a change near a statement (was, becomes, carrier, ts) that one number became another.
+
+    Each side may be `days` away from the statement's moment; numbers and
+    moments meet by time ranges. A number that becomes itself or a blank one
+    states nothing.
+    """
+    a, b = _sides(froms, tos)
+    good = F.col("was").isNotNull() & (F.trim(F.col("becomes").cast("string")) != "") & (F.col("was") != F.col("becomes"))
+    margin = F.expr(f"INTERVAL {int(days * 86400)} SECONDS")
+    s = stated.where(good).select("was", "becomes", F.upper("carrier").alias("_c"), (F.col("ts") - margin).alias("_low"), (F.col("ts") + margin).alias("_high")).distinct()
+    pair = lambda k, c: F.when(F.col(k).isNotNull() & F.col(c).isNotNull(), F.struct(F.col(k).cast("string").alias("k"), F.col(c).alias("c")))
+    left = point_in_interval(a.withColumn("_pair", pair("from_key", "from_carrier")), s.withColumn("_pair", pair("was", "_c")), "_pair", "from_ts", "_low", "_high")
+    right = b.withColumn("_pair", pair("to_key", "to_carrier"))
+    found = point_in_interval(right, left.select("from_id", "_low", "_high", pair("becomes", "_c").alias("_pair")), "_pair", "to_ts", "_low", "_high")
+    return found.select("from_id", "to_id", "to_ts").distinct()
+
+
+def life_edges(edges: DataFrame, lives: DataFrame, end_kind: str, start_kind: str) -> DataFrame:
+    """Edges between events as edges between the lives that the one ended and the other began; others link nothing."""
+    closing = lives.where(F.col("end_kind") == end_kind).select(F.col("lifecycle_uid").alias("from_uid"), F.col("end_id").alias("from_id"))
+    opening = lives.where(F.col("start_kind") == start_kind).select(F.col("lifecycle_uid").alias("to_uid"), F.col("start_id").alias("to_id"))
+    return edges.join(closing, "from_id").join(opening, "to_id").where("from_uid <> to_uid")
+
+
 def best_edges(candidates: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """One successor an event: of (from_id, to_id, to_ts) by route, the first route listed wins, then the earlier successor."""
     out = None

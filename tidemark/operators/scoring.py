@@ -209,6 +209,12 @@ def top_k_metrics(df: DataFrame, row_id: str, score: str, label: str, ks: Sequen
     )
 
 
+def k_grid(rows: int, positives: int = 0, fixed: Sequence[int] = (), shares: Sequence[float] = ()) -> list[int]:
+    """The ks to report: fixed ones, shares of the rows (at least 1), and as many as there are positives; none beyond the rows."""
+    ks = {*map(int, fixed), *(max(1, round(rows * s)) for s in shares), int(positives)}
+    return sorted(k for k in ks if 1 <= k <= rows)
+
+
 def rank_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     """(n_pos, n_neg, auc): rank-sum area under the ROC curve, ties counting half, from counts of distinct scores."""
     good = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).select(F.col(score).cast("double").alias("s"), F.col(label).alias("y"))

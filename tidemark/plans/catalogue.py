@@ -426,6 +426,25 @@ def slice_closure(t):
 # Lineage
 
 
+def _sides(t) -> tuple[DataFrame, DataFrame]:
+    o = t("orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("key"), F.upper("o_orderpriority").alias("carrier"), F.col("o_orderdate").alias("ts"), F.floor(F.col("o_totalprice") / 100).cast("string").alias("correlation"), "o_orderstatus")
+    return o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'O'")
+
+
+@query("""SELECT a.o_orderkey AS from_id, b.o_orderkey AS to_id, b.o_orderdate AS to_ts FROM orders a JOIN orders b ON floor(a.o_totalprice / 100) = floor(b.o_totalprice / 100) AND a.o_orderpriority = b.o_orderpriority AND a.o_custkey <> b.o_custkey
+WHERE a.o_orderstatus = 'F' AND b.o_orderstatus = 'O'""")
+def correlation_edges(t):
+    return accounts.correlation_edges(*_sides(t))
+
+
+@query("""SELECT DISTINCT a.o_orderkey AS from_id, b.o_orderkey AS to_id, b.o_orderdate AS to_ts FROM orders p JOIN orders a ON a.o_custkey = p.o_custkey AND a.o_orderstatus = 'F' AND a.o_orderpriority = p.o_orderpriority
+  AND a.o_orderdate BETWEEN p.o_orderdate - INTERVAL 60 DAY AND p.o_orderdate + INTERVAL 60 DAY
+JOIN orders b ON b.o_custkey = p.o_custkey + 1 AND b.o_orderstatus = 'O' AND b.o_orderpriority = p.o_orderpriority AND b.o_orderdate BETWEEN p.o_orderdate - INTERVAL 60 DAY AND p.o_orderdate + INTERVAL 60 DAY""")
+def counterparty_edges(t):
+    stated = t("orders").select(F.col("o_custkey").alias("was"), (F.col("o_custkey") + 1).alias("becomes"), F.lower("o_orderpriority").alias("carrier"), F.col("o_orderdate").alias("ts"))
+    return accounts.counterparty_edges(*_sides(t), stated, 60)
+
+
 @query("""
 WITH RECURSIVE n AS (SELECT o_orderkey, lead(o_orderkey) OVER w AS nx, date_diff('day', CAST(o_orderdate AS DATE), CAST(lead(o_orderdate) OVER w AS DATE)) AS gap FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)),
 e AS (SELECT o_orderkey AS s, nx AS d, gap FROM n WHERE gap <= 30), heads AS (SELECT o_orderkey AS s FROM orders WHERE o_orderkey NOT IN (SELECT d FROM e)),
