@@ -581,3 +581,13 @@ def test_eligibility():
     assert eligibility.eligible([("b", "int"), ("a", "double"), ("label", "int")]) == ["a", "b"]
     assert eligibility.top([("b", 1.0), ("a", 1.0), ("c", 2.0)], 2) == ["c", "a"] and eligibility.top([], 3) == []
     assert scoring.k_grid(100, 7, [10, 500], [0.001, 0.05]) == [1, 5, 7, 10] and scoring.k_grid(0, 3, [1]) == []
+
+
+def test_slices_follow_every_kind_of_link(spark):
+    f = lambda rows: spark.createDataFrame(rows, "k string, p string")
+    pairs = spark.createDataFrame([("c", "d"), ("d", "d"), (None, "e"), ("x", "y")], "a string, b string")
+    links = {"one": f([("a", "1"), ("b", "1"), ("y", "2"), (None, "1")]), "two": f([("b", "2"), ("c", "2"), ("z", None)]), "pair": graph.pair_links(pairs, "a", "b", "k", "p")}
+    got = graph.slice_of([f([("a", "")]), f([(None, "")])], links, "k", "p")
+    assert sorted(r.k for r in got.collect()) == ["a", "b", "c", "d"]
+    with pytest.raises(RuntimeError):
+        graph.slice_of([f([("a", "")])], links, "k", "p", rounds=2)

@@ -48,7 +48,7 @@ def parse(text: str | None, key: str, history: str, entry: str) -> dict:
 def parsed(column: Column, key: str, history: str, entry: str) -> Column:
     """`PARSED` of an XML column, in Arrow batches: which documents are refused depends on rules that the built-in reader lacks."""
 
-    def run(texts):
+    def run(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([parse(t, key, history, entry) for t in texts], columns=["ok", "key", "leaves", "events"])
 
-    return F.pandas_udf(run, PARSED, F.PandasUDFType.SCALAR)(column)
+    return F.pandas_udf(run, PARSED)(column)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,3 +92,17 @@ def closure(seeds: DataFrame, links: DataFrame, key: str, partner: str, rounds:
             return found
         found, n = grown, now
     raise RuntimeError(f"the slice did not close in {rounds} rounds")
+
+
+def pair_links(pairs: DataFrame, a: str, b: str, key: str, partner: str) -> DataFrame:
+    """Pairs of keys as links: both ends share the pair as their partner, so it is followed from either; nulls link nothing."""
+    both = pairs.select(F.col(a).alias("_a"), F.col(b).alias("_b")).na.drop().where("_a <> _b").distinct()
+    shared = F.concat_ws("|", F.col("_a").cast("string"), F.col("_b").cast("string"))
+    return both.select(F.explode(F.array("_a", "_b")).alias(key), shared.alias(partner))
+
+
+def slice_of(seeds: Sequence[DataFrame], links: Mapping[str, DataFrame], key: str, partner: str, rounds: int = 5, most: int = 5_000_000) -> DataFrame:
+    """The closure of several seed tables under links of several kinds; partners of unlike kinds are never the same."""
+    start = reduce(DataFrame.unionByName, [s.select(key) for s in seeds]).na.drop()
+    kinds = [f.select(key, F.concat(F.lit(f"{kind}::"), F.col(partner).cast("string")).alias(partner)) for kind, f in sorted(links.items())]
+    return closure(start, reduce(DataFrame.unionByName, kinds).na.drop(), key, partner, rounds, most)

@@ -423,6 +423,17 @@ def slice_closure(t):
     return graph.closure(seeds, links, "c", "p", rounds=50)
 
 
+@query("""
+WITH RECURSIVE l AS (SELECT DISTINCT o_custkey AS c, 'price::' || CAST(floor(o_totalprice / 200) AS BIGINT) AS p FROM orders UNION SELECT c, 'step::' || a FROM (SELECT DISTINCT o_custkey AS a, unnest([o_custkey, o_custkey + 7]) AS c FROM orders WHERE o_orderstatus = 'P')),
+r AS (SELECT unnest([1, 3])::BIGINT AS c UNION SELECT b.c FROM r JOIN l a ON r.c = a.c JOIN l b ON a.p = b.p) SELECT DISTINCT c FROM r""")
+def slice_levels(t):
+    o = t("orders")
+    seeds = [o.select(F.lit(k).cast("long").alias("c")).limit(1) for k in (1, 3)]
+    price = o.select(F.col("o_custkey").alias("c"), F.floor(F.col("o_totalprice") / 200).alias("p")).distinct()
+    step = graph.pair_links(o.where("o_orderstatus = 'P'").select("o_custkey", (F.col("o_custkey") + 7).alias("b")), "o_custkey", "b", "c", "p")
+    return graph.slice_of(seeds, {"price": price, "step": step}, "c", "p", rounds=50)
+
+
 # Lineage
 
 
